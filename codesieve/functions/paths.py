@@ -4,10 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from codesieve import vocab
-
-
-def literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+from codesieve.functions.literals import literal_map
 
 
 def file_name(path: Column) -> Column:

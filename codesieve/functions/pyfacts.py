@@ -12,42 +12,10 @@ import warnings
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from codesieve import vocab
-
-ARG = pa.struct(
-    [
-        ("kind", pa.string()),  # 'name' or 'binop'; other arguments are left out
-        ("name", pa.string()),
-        ("left", pa.string()),  # operand names, null where an operand is not a plain name
-        ("right", pa.string()),
-        ("is_add", pa.bool_()),
-        ("plain_side", pa.bool_()),  # one side is a constant or a name
-    ]
-)
-FACT = pa.struct(
-    [
-        ("kind", pa.string()),  # call, assign, str, syntax_error, error, aborted
-        ("seq", pa.int32()),  # place in the pre-order walk
-        ("lineno", pa.int32()),
-        ("name", pa.string()),  # call: dotted name; assign: dotted name of a called value
-        ("args", pa.list_(ARG)),
-        ("kw_add", pa.bool_()),
-        ("targets", pa.list_(pa.string())),
-        ("value", pa.string()),  # assign: 'source', 'add' or 'str'
-        ("left", pa.string()),
-        ("right", pa.string()),
-        ("text", pa.string()),  # str: its value; errors: the message
-        ("line_concat", pa.bool_()),  # call: its line has a plus sign and a SQL verb
-        ("line_target", pa.string()),  # call: variable its line assigns from input(
-    ]
-)
-FACTS_DDL = (
-    "array<struct<kind:string,seq:int,lineno:int,name:string,"
-    "args:array<struct<kind:string,name:string,left:string,right:string,is_add:boolean,"
-    "plain_side:boolean>>,kw_add:boolean,targets:array<string>,value:string,left:string,"
-    "right:string,text:string,line_concat:boolean,line_target:string>>"
-)
+from codesieve.schemas import FACTS
 
 _CALLS = {*vocab.DANGEROUS_FUNCTIONS, *vocab.SYSTEM_CALLS, *vocab.TAINT_SOURCES}
 _SECRET_HINT = re.compile("(?i)key|password|secret|token")
@@ -177,6 +145,9 @@ def safe_facts(source: str | None) -> list[dict] | None:
         return [{"kind": "error", "seq": 0, "lineno": 1, "text": str(error)}]
 
 
-@F.arrow_udf(FACTS_DDL)
+_ARROW_FACTS = to_arrow_type(FACTS)
+
+
+@F.arrow_udf(FACTS)
 def py_facts(sources: pa.Array) -> pa.Array:
-    return pa.array((safe_facts(s.as_py()) for s in sources), pa.list_(FACT))
+    return pa.array((safe_facts(s.as_py()) for s in sources), _ARROW_FACTS)

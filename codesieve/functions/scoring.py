@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from codesieve import vocab
-from codesieve.functions.paths import literal_map
+from codesieve.functions.literals import literal_map
 
 
 def severity_rank(severity: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve.functions import paths as P
+from codesieve.functions.literals import literal_map
 from codesieve.operators.lines import explode_lines
 from codesieve.operators.patterns import Pattern, first_matches, to_findings
 from codesieve.operators.syntax import extract_facts, syntax_findings
@@ -58,11 +59,11 @@ def route_files(files: DataFrame, detectors: tuple = DEFAULT) -> DataFrame:
     return (
         files.withColumn(
             "by_extension",
-            F.try_element_at(P.literal_map(by_extension), P.extension(F.col("path"))),
+            F.try_element_at(literal_map(by_extension), P.extension(F.col("path"))),
         )
         .withColumn(
             "by_language",
-            F.try_element_at(P.literal_map(by_language), P.language(F.col("path"))),
+            F.try_element_at(literal_map(by_language), P.language(F.col("path"))),
         )
     )
 

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 from codesieve import vocab
 from codesieve.functions import paths as P
 from codesieve.functions import text as X
+from codesieve.functions.literals import literal_array, literal_map, literal_map_of_arrays
 
-PATH = F.col("path")
+def _path() -> Column:
+    return F.col("path")
 
 
 def with_language(files: DataFrame) -> DataFrame:
-    return files.withColumn("language", P.language(PATH))
+    return files.withColumn("language", P.language(_path()))
 
 
 def files_of_language(files: DataFrame, name: str) -> DataFrame:
@@ -19,8 +21,7 @@ def files_of_language(files: DataFrame, name: str) -> DataFrame:
 
 
 def default_excluded(path: Column) -> Column:
-    parts = F.array(*[F.lit(p) for p in vocab.EXCLUDED_PARTS])
-    return F.arrays_overlap(F.split(path, "/"), parts)
+    return F.arrays_overlap(F.split(path, "/"), literal_array(vocab.EXCLUDED_PARTS))
 
 
 def custom_excluded(path: Column, names: Column, mode: str = "substring") -> Column:
@@ -48,11 +49,8 @@ def within_depth(path: Column, max_depth) -> Column:
 
 def language_exclusions(primary: Column) -> Column:
     """Extra excluded names that come with a project's primary language."""
-    table = {k: F.array(*[F.lit(x) for x in v]) for k, v in vocab.EXCLUDED_BY_LANGUAGE.items()}
-    pairs = [x for k, v in table.items() for x in (F.lit(k), v)]
-    return F.coalesce(
-        F.try_element_at(F.create_map(*pairs), primary), F.array().cast("array<string>")
-    )
+    table = literal_map_of_arrays(vocab.EXCLUDED_BY_LANGUAGE)
+    return F.coalesce(F.try_element_at(table, primary), F.array().cast("array<string>"))
 
 
 def included(
@@ -89,15 +87,11 @@ def split_by_size(files: DataFrame, max_bytes: Column) -> tuple[DataFrame, DataF
 
 
 def is_code_file(path: Column) -> Column:
-    name = P.file_name(path)
-    test = F.lit(False)
-    for ext in vocab.CODE_EXTENSIONS:
-        test = test | F.endswith(name, F.lit(ext))
-    return test
+    return _code_language(path).isNotNull()
 
 
 def valid_projects(files: DataFrame) -> DataFrame:
-    return files.groupBy("project_id").agg(F.bool_or(is_code_file(PATH)).alias("valid"))
+    return files.groupBy("project_id").agg(F.bool_or(is_code_file(_path())).alias("valid"))
 
 
 # --- project detection ------------------------------------------------------------
@@ -111,7 +105,6 @@ def _indicator_hits(path: Column) -> Column:
 
     Exact names count only at the top of the project, glob names at every depth.
     """
-    name, top = P.file_name(path), ~F.contains(path, F.lit("/"))
     exact: dict[str, list[str]] = {}
     globs: list[tuple[str, str]] = []
     for lang, names in vocab.INDICATORS.items():
@@ -120,30 +113,33 @@ def _indicator_hits(path: Column) -> Column:
                 globs.append((indicator.replace("*", ""), lang))
             else:
                 exact.setdefault(indicator, []).append(lang)
-
-    def point(lang, points):
-        return F.struct(F.lit(lang).alias("language"), F.lit(points).alias("points"))
-
-    pairs = []
-    for indicator, langs in exact.items():
-        pairs += [
-            F.lit(indicator),
-            F.array(*[point(lang, vocab.INDICATOR_POINTS) for lang in langs]),
-        ]
-    exact_hits = F.when(top, F.try_element_at(F.create_map(*pairs), name))
-    hits = [
-        F.when(F.endswith(name, F.lit(end)), point(lang, vocab.GLOB_INDICATOR_POINTS))
+    top = F.when(~F.contains(path, F.lit("/")), P.file_name(path))
+    languages = F.coalesce(
+        F.try_element_at(literal_map_of_arrays(exact), top), F.array().cast("array<string>")
+    )
+    by_name = F.transform(
+        languages,
+        lambda lang: F.struct(
+            lang.alias("language"), F.lit(vocab.INDICATOR_POINTS).alias("points")
+        ),
+    )
+    by_glob = [
+        F.when(
+            F.endswith(path, F.lit(end)),
+            F.struct(
+                F.lit(lang).alias("language"), F.lit(vocab.GLOB_INDICATOR_POINTS).alias("points")
+            ),
+        )
         for end, lang in globs
     ]
-    none = F.array().cast("array<struct<language:string,points:int>>")
-    return F.concat(F.coalesce(exact_hits, none), F.array_compact(F.array(*hits)))
+    return F.concat(by_name, F.array_compact(F.array(*by_glob)))
 
 
 def _code_language(path: Column) -> Column:
     """Language of one of the counted code extensions, else null."""
-    name, case = P.file_name(path), None
+    case = None
     for ext, lang in _BY_CODE_EXTENSION.items():
-        test = F.endswith(name, F.lit(ext))
+        test = F.endswith(path, F.lit(ext))
         case = F.when(test, lang) if case is None else case.when(test, lang)
     return case
 
@@ -153,12 +149,12 @@ def language_evidence(files: DataFrame) -> DataFrame:
     partial sums, at most a dozen rows per project and map task. Projects without any
     evidence keep one row with a null language."""
     indicator = F.transform(
-        _indicator_hits(PATH),
+        _indicator_hits(_path()),
         lambda h: F.struct(
             h["language"].alias("language"), h["points"].alias("points"), F.lit(0).alias("n")
         ),
     )
-    code_language = _code_language(PATH)
+    code_language = _code_language(_path())
     code = F.when(
         code_language.isNotNull(),
         F.array(
@@ -184,7 +180,7 @@ def extension_counts(files: DataFrame) -> DataFrame:
 
 def detect_languages(files: DataFrame) -> DataFrame:
     """Primary language by indicators (else by code files) and the set of target languages."""
-    order = F.try_element_at(P.literal_map(_LANGUAGE_ORD), F.col("language"))
+    order = F.try_element_at(literal_map(_LANGUAGE_ORD), F.col("language"))
     best = F.max(F.when(F.col("points") > 0, F.struct("points", -order, "language")))
     most = F.max(F.when(F.col("n_files") > 0, F.struct("n_files", -order, "language")))
     unknown = F.lit(vocab.UNKNOWN_LANGUAGE)
@@ -208,7 +204,7 @@ def detect_languages(files: DataFrame) -> DataFrame:
 
 def declared_names(files: DataFrame) -> DataFrame:
     """Names that package.json or setup.py declare, for projects that have one."""
-    roots = files.where(PATH.isin("package.json", "setup.py")).select(
+    roots = files.where(_path().isin("package.json", "setup.py")).select(
         "project_id", "path", X.decode_text(F.col("content")).alias("text")
     )
     setup = F.regexp_extract("text", "name[\\s\\x1c-\\x1f]*=[\\s\\x1c-\\x1f]*[\"']([^\"']+)[\"']", 1)
@@ -236,7 +232,7 @@ def project_names(files: DataFrame) -> DataFrame:
 def project_info(files: DataFrame) -> DataFrame:
     """One row per project: validity, name, languages and size over all its files."""
     base = files.groupBy("project_id").agg(
-        F.bool_or(is_code_file(PATH)).alias("valid"),
+        F.bool_or(is_code_file(_path())).alias("valid"),
         (F.sum("size_bytes") / (1024 * 1024)).alias("size_mb"),
     )
     return _with_name(base.join(detect_languages(files), "project_id"), files).select(

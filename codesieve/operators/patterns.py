@@ -12,10 +12,14 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StringType
 
 from codesieve import packs
 from codesieve.functions import regex as R
 from codesieve.functions import text as X
+from codesieve.functions.literals import quote
+from codesieve.schemas import SPANS
 
 # Patterns unrolled into one projection. More patterns mean more passes, never fewer patterns.
 BLOCK = 200
@@ -59,8 +63,26 @@ def builtin_patterns() -> list[Pattern]:
     ]
 
 
+def shipped_patterns() -> list[Pattern]:
+    """Patterns of the packaged rules, which need no Spark job to load."""
+    rules = [r for r in packs.SHIPPED_RULES if r["rule_type"] == "regex"]
+    return [
+        Pattern(
+            PHASE_RULES, rule_ord, pattern_ord, r["id"], text, not r["case_sensitive"], False,
+            tuple(r["target_languages"]), r["severity"], r["description"], r["category"],
+            r["confidence_threshold"],
+        )
+        for rule_ord, r in enumerate(rules)
+        for pattern_ord, text in enumerate(r["patterns"])
+    ]
+
+
 def rule_patterns(rules: DataFrame) -> list[Pattern]:
-    """Usable patterns of the regex rules, in load order. Bad patterns are left out."""
+    """Usable patterns of the regex rules, in load order. Bad patterns are left out.
+
+    A rule set is configuration and is read as a stream of rows. Patterns beyond one block
+    cost more passes over the lines.
+    """
     rows = (
         rules.where(F.col("rule_type") == "regex")
         .orderBy("load_ord")
@@ -72,11 +94,11 @@ def rule_patterns(rules: DataFrame) -> list[Pattern]:
     )
     found = [
         Pattern(
-            PHASE_RULES, r.load_ord, pattern_ord, r.id, text, not r.case_sensitive,
+            PHASE_RULES, rule_ord, pattern_ord, r.id, text, not r.case_sensitive,
             bool(r.multiline), tuple(r.target_languages or ()), r.severity, r.description,
             r.category, r.confidence_threshold,
         )
-        for r in rows
+        for rule_ord, r in enumerate(rows)
         for pattern_ord, text in enumerate(r.patterns)
         if R.pattern_error(text) is None
     ]
@@ -97,7 +119,7 @@ def pattern_rejects(rules: DataFrame) -> DataFrame:
 
     check = R.pattern_error
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(StringType())
     def reason(texts: pa.Array) -> pa.Array:
         return pa.array([check(t) for t in texts.to_pylist()], pa.string())
 
@@ -109,64 +131,51 @@ def pattern_rejects(rules: DataFrame) -> DataFrame:
     )
 
 
-def _any(tests: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, tests)
-
-
 def _folded(line: Column) -> Column:
     """Lower case, with the four letters that case-insensitive matching ties to ASCII ones."""
     return F.when(X.is_ascii(line), F.lower(line)).otherwise(
-        F.lower(F.translate(line, "ſKİı", "skii"))
+        F.lower(F.translate(line, "ſKİı", "skii"))
     )
 
 
-def _has_anchor(patterns: list[Pattern]) -> Column:
-    """False only where none of the patterns can match."""
+def _has_anchor(patterns: list[Pattern]) -> str:
+    """SQL test that is false only where none of the patterns can match."""
     words = set()
     for p in patterns:
         if not R.anchors(p.text):
-            return F.lit(True)
+            return "true"
         words.update(R.anchors(p.text))
     shortest = [w for w in words if not any(o != w and o in w for o in words)]
-    return _any([F.contains("folded", F.lit(w)) for w in sorted(shortest)])
+    return "(" + " OR ".join(f"contains(folded, {quote(w)})" for w in sorted(shortest)) + ")"
 
 
-def _test(p: Pattern) -> Column:
-    test = F.rlike("line", F.lit(p.java)) if p.on_jvm else F.lit(True)
-    if R.anchors(p.text):
-        test = _has_anchor([p]) & test
+def _test(p: Pattern) -> str:
+    tests = []
     if p.languages:
-        test = F.col("language").isin(*p.languages) & test
-    return test
+        tests.append("language IN (" + ", ".join(quote(x) for x in p.languages) + ")")
+    tests.append(_has_anchor([p]))
+    if p.on_jvm:
+        tests.append(f"rlike(line, {quote(p.java)})")
+    return " AND ".join(tests)
 
 
 def _blocks(patterns: list[Pattern]) -> list[list[Pattern]]:
     return [patterns[i : i + BLOCK] for i in range(0, len(patterns), BLOCK)]
 
 
-def _explode_hits(lines: DataFrame, patterns: list[Pattern], hits: list[Column]) -> DataFrame:
-    """The gate is part of the generator: as a filter it would be pushed below `folded`,
-    which then would be computed once per anchor."""
+def _explode_hits(lines: DataFrame, patterns: list[Pattern], hits: list[str]) -> DataFrame:
+    """Lines times hits, where `hits` are SQL structs or NULL.
+
+    The gate is part of the generator: as a filter it would be pushed below `folded`,
+    which then would be computed once per anchor.
+    """
     folded = lines.withColumn("folded", _folded(F.col("line")))
-    found = F.when(_has_anchor(patterns), F.array_compact(F.array(*hits)))
+    found = F.expr(f"CASE WHEN {_has_anchor(patterns)} THEN array_compact(array({', '.join(hits)})) END")
     return folded.select(*lines.columns, F.explode(found).alias("hit")).select(
         *lines.columns, "hit.*"
     )
 
 
-def _describe(p: Pattern) -> list[Column]:
-    return [
-        F.lit(p.phase).alias("phase"),
-        F.lit(p.rule_ord).cast("int").alias("rule_ord"),
-        F.lit(p.pattern_ord).alias("pattern_ord"),
-        F.lit(p.rule_id).alias("rule_id"),
-        F.lit(p.severity).alias("severity"),
-        F.lit(p.message).alias("message"),
-        F.lit(p.category).alias("category"),
-        F.lit(p.confidence).cast("double").alias("confidence"),
-    ]
-
-
 def _rules_of(patterns: list[Pattern]) -> list[list[Pattern]]:
     grouped: dict = {}
     for p in patterns:
@@ -174,6 +183,21 @@ def _rules_of(patterns: list[Pattern]) -> list[list[Pattern]]:
     return list(grouped.values())
 
 
+def _describe(hits: DataFrame, patterns: list[Pattern]) -> DataFrame:
+    """Add the fields of the rule; `rule` is its place among the rules of the patterns."""
+    rows = []
+    for rule in _rules_of(patterns):
+        p = rule[0]
+        rows.append(
+            f"struct({p.phase} AS phase, {p.rule_ord} AS rule_ord, {quote(p.rule_id)} AS rule_id, "
+            f"{quote(p.severity)} AS severity, {quote(p.message)} AS message, "
+            f"{quote(p.category)} AS category, CAST({quote(p.confidence)} AS DOUBLE) AS confidence)"
+        )
+    kept = [c for c in hits.columns if c != "rule"]
+    table = F.expr(f"array({', '.join(rows)})")
+    return hits.withColumn("r", F.get(table, F.col("rule"))).select(*kept, "r.*")
+
+
 def first_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
     """The finding each rule keeps on each line: its first pattern in list order that hits.
 
@@ -182,28 +206,21 @@ def first_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
     outputs = []
     for block in _blocks([p for p in patterns if p.on_jvm]):
         hits = []
-        for rule in _rules_of(block):
-            case = None
-            for p in rule:
-                before = F.element_at(F.split("line", F.lit(p.java), 2), 1)
-                hit = F.struct(
-                    *_describe(p),
-                    F.lit(0).alias("match_ord"),
-                    (F.char_length(before) + 1).alias("column"),
-                )
-                case = F.when(_test(p), hit) if case is None else case.when(_test(p), hit)
-            hits.append(case)
-        outputs.append(_explode_hits(lines, block, hits))
+        for i, rule in enumerate(_rules_of(block)):
+            whens = " ".join(
+                f"WHEN {_test(p)} THEN struct({i} AS rule, {p.pattern_ord} AS pattern_ord, "
+                f"0 AS match_ord, char_length(split(line, {quote(p.java)}, 2)[0]) + 1 AS column)"
+                for p in rule
+            )
+            hits.append(f"CASE {whens} END")
+        outputs.append(_describe(_explode_hits(lines, block, hits), block))
     rest = [p for p in patterns if not p.on_jvm]
-    if rest:
+    if rest or not outputs:
+        found = all_matches(lines, rest or builtin_patterns())
         outputs.append(
-            all_matches(lines, rest)
-            .where("match_ord = 0")
-            .drop("start_column", "end_column", "matched_text")
-        )
-    if not outputs:
-        return all_matches(lines, builtin_patterns()).where(F.lit(False)).drop(
-            "start_column", "end_column", "matched_text"
+            found.where("match_ord = 0" if rest else "false").drop(
+                "start_column", "end_column", "matched_text"
+            )
         )
     return reduce(DataFrame.unionByName, outputs)
 
@@ -213,8 +230,9 @@ def all_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
 
     The JVM finds the (line, pattern) hits; only those are searched for spans.
     """
+    arrow_type = to_arrow_type(SPANS)
 
-    @F.arrow_udf("array<struct<start:int,stop:int,matched_text:string>>")
+    @F.arrow_udf(SPANS)
     def spans(line: pa.Array, pattern: pa.Array, flags: pa.Array) -> pa.Array:
         out = []
         for text, source, flag in zip(line.to_pylist(), pattern.to_pylist(), flags.to_pylist()):
@@ -224,25 +242,17 @@ def all_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
                     for m in re.finditer(source, text, flag)
                 ]
             )
-        return pa.array(
-            out,
-            pa.list_(
-                pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("matched_text", pa.string())])
-            ),
-        )
+        return pa.array(out, arrow_type)
 
     outputs = []
     for block in _blocks(patterns):
+        place = {id(p): i for i, rule in enumerate(_rules_of(block)) for p in rule}
         hits = [
-            F.when(
-                _test(p),
-                F.struct(
-                    *_describe(p), F.lit(p.text).alias("pattern"), F.lit(int(p.flags)).alias("flags")
-                ),
-            )
+            f"CASE WHEN {_test(p)} THEN struct({place[id(p)]} AS rule, {p.pattern_ord} AS pattern_ord, "
+            f"{quote(p.text)} AS pattern, {int(p.flags)} AS flags) END"
             for p in block
         ]
-        outputs.append(_explode_hits(lines, block, hits))
+        outputs.append(_describe(_explode_hits(lines, block, hits), block))
     hits = reduce(DataFrame.unionByName, outputs)
     return (
         hits.withColumn("spans", spans("line", "pattern", "flags"))

@@ -5,6 +5,7 @@ Everything about one file happens inside its row; rows are produced only for fin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from codesieve import vocab
 from codesieve.functions import regex as R
@@ -13,12 +14,7 @@ from codesieve.functions.pyfacts import py_facts
 from codesieve.operators.lines import with_text
 from codesieve.operators.patterns import PHASE_SYNTAX
 from codesieve.operators.taint import with_taint
-
-FINDING_DDL = (
-    "struct<line_number:int,rule_id:string,seq:int,idx:int,severity:string,message:string,"
-    "category:string,has_line:boolean>"
-)
-
+from codesieve.schemas import SYNTAX_FINDING
 
 def extract_facts(files: DataFrame) -> DataFrame:
     """(project_id, path, lines, facts) of Python files."""
@@ -143,7 +139,7 @@ def _secret_strings(f: Column) -> Column:
 
 
 def _none() -> Column:
-    return F.array().cast(f"array<{FINDING_DDL}>")
+    return F.array().cast(ArrayType(SYNTAX_FINDING))
 
 
 def _findings_of(f: Column, tainted: Column) -> Column:
@@ -163,7 +159,7 @@ def _findings_of(f: Column, tainted: Column) -> Column:
         .when(kind == "syntax_error", F.array(syntax))
         .when(kind == "error", F.array(error))
         .otherwise(_none())
-    ).cast(f"array<{FINDING_DDL}>")
+    ).cast(ArrayType(SYNTAX_FINDING))
 
 
 def detect(facts: DataFrame) -> DataFrame:

@@ -8,15 +8,15 @@ file-wide, depends on the order of statements and is never cleared.
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from codesieve import vocab
+from codesieve.schemas import FOLLOWED, TAINT
 
 # The fold compares every use with every tainted variable. Files where that product is larger
 # are followed with a hash table in an Arrow UDF instead; both give the same result.
 WIDE = 200_000
 
-TAINT_DDL = "array<struct<var:string,seq:int>>"
-
 
 def _is_event(f: Column) -> Column:
     return f["value"].isin("source", "add") | (
@@ -36,7 +36,7 @@ def _fold(events: Column) -> Column:
         fresh = F.transform(new, lambda v: F.struct(v.alias("var"), e["seq"].alias("seq")))
         return F.when(F.coalesce(hit, F.lit(False)), F.concat(known, fresh)).otherwise(known)
 
-    return F.aggregate(events, F.array().cast(TAINT_DDL), step)
+    return F.aggregate(events, F.array().cast(TAINT), step)
 
 
 def with_taint(files: DataFrame, wide: int = WIDE) -> DataFrame:
@@ -105,7 +105,10 @@ def follow_with_table(facts: list[dict]) -> tuple[dict[str, int], list[bool]]:
     return table, flags
 
 
-@F.arrow_udf("struct<taint:array<struct<var:string,seq:int>>,flags:array<boolean>>")
+_ARROW_FOLLOWED = to_arrow_type(FOLLOWED)
+
+
+@F.arrow_udf(FOLLOWED)
 def follow_wide(facts: pa.Array) -> pa.Array:
     out = []
     for value in facts:
@@ -116,6 +119,4 @@ def follow_wide(facts: pa.Array) -> pa.Array:
             out.append({"taint": taint, "flags": flags})
         else:
             out.append(None)
-    var = pa.struct([("var", pa.string()), ("seq", pa.int32())])
-    kind = pa.struct([("taint", pa.list_(var)), ("flags", pa.list_(pa.bool_()))])
-    return pa.array(out, kind)
+    return pa.array(out, _ARROW_FOLLOWED)

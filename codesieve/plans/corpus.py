@@ -7,6 +7,8 @@ grows with `events`. `SQL` is its twin for the DuckDB comparison.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codesieve.functions.literals import literal_array, quote
+
 LINES_PER_FILE = 20
 
 # Line templates by number; {u} is the user id, {v} is the user id modulo 3.
@@ -74,15 +76,11 @@ ROOT_FILES = [
 ]
 
 
-def _literals(values: list) -> F.Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of nine projects: (project_id, path, size_bytes, last_modified, content)."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id")
     tid = (F.col("event_id") * 7 + F.col("user_id") * 3) % 32
-    line = F.element_at(_literals(TEMPLATES), (tid + 1).cast("int"))
+    line = F.element_at(literal_array(TEMPLATES), (tid + 1).cast("int"))
     line = F.replace(line, F.lit("{u}"), F.col("user_id").cast("string"))
     line = F.replace(line, F.lit("{v}"), (F.col("user_id") % 3).cast("string"))
     file_no = F.expr(f"event_id div {LINES_PER_FILE}")
@@ -99,8 +97,8 @@ def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("rows", lambda r: r["line"]), "\n"),
         F.when(n % 13 == 5, "\n" + BROKEN_LINE).otherwise(""),
     )
-    directory = F.element_at(_literals(DIRECTORIES), (n % 10 + 1).cast("int"))
-    suffix = F.element_at(_literals(SUFFIXES), (F.expr("file_no div 10") % 6 + 1).cast("int"))
+    directory = F.element_at(literal_array(DIRECTORIES), (n % 10 + 1).cast("int"))
+    suffix = F.element_at(literal_array(SUFFIXES), (F.expr("file_no div 10") % 6 + 1).cast("int"))
     return per_file.select(
         F.concat(F.lit("proj"), n % 9).alias("project_id"),
         F.concat(directory, F.lit("/f"), n, suffix).alias("path"),
@@ -115,16 +113,11 @@ def corpus_root_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     number = F.expr(f"event_id div {LINES_PER_FILE}") % 9
     projects = events.groupBy(number.alias("number")).agg(F.min("ts").alias("last_modified"))
-    roots = F.array(
-        *[
-            F.struct(
-                F.lit(k).cast("bigint").alias("number"),
-                F.lit(name).alias("path"),
-                F.lit(content).alias("text"),
-            )
-            for k, name, content in ROOT_FILES
-        ]
-    )
+    rows = [
+        f"struct({k}L AS number, {quote(name)} AS path, {quote(content)} AS text)"
+        for k, name, content in ROOT_FILES
+    ]
+    roots = F.expr(f"array({', '.join(rows)})")
     mine = F.filter(roots, lambda r: r["number"] == F.col("number"))
     return projects.select("number", "last_modified", F.explode(mine).alias("r")).select(
         F.concat(F.lit("proj"), "number").alias("project_id"),
@@ -215,6 +208,8 @@ afile AS (
 cline AS (
   SELECT k.project_id, k.path, k.ext, l.file_no, l.line_number, l.line, l.tid, l.v
   FROM allline l JOIN fkey k USING (file_no)
+  -- an empty last line is only the break of the line before it
+  WHERE NOT (l.line = '' AND l.line_number = {LINES_PER_FILE} AND l.file_no % 13 <> 5)
 )
 """
 

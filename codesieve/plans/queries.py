@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from codesieve import vocab
 from codesieve.functions import paths as P
 from codesieve.functions import scoring as S
-from codesieve.functions import text as X
+from codesieve.functions.literals import literal_array
 from codesieve.operators import detectors as D
 from codesieve.operators import findings as FD
 from codesieve.operators import inventory as I
@@ -55,7 +55,7 @@ def scan_findings(spark, sf_dir):
     """De-duplicated findings of a full scan of the corpus."""
     files = C.corpus(spark, sf_dir)
     kept, _ = SCAN.split_oversize(SCAN.discover(files))
-    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules(SR.shipped_rules(spark))))
+    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules()))
 
 
 def by_file(findings):
@@ -75,7 +75,7 @@ def part_rules(spark, sf_dir):
     k, size = F.col("p_partkey"), F.col("p_size")
 
     def pick(values, index):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+        return F.element_at(literal_array(values), (index + 1).cast("int"))
 
     def names(*values):
         return F.array(*[F.lit(v) for v in values]).cast("array<string>")
@@ -433,14 +433,13 @@ def builtin_regex_hits(spark, sf_dir):
 @query
 def rule_regex_hits(spark, sf_dir):
     """First pattern per line and rule of the shipped pack, on every language a rule targets."""
-    rules = PT.rule_patterns(SR.shipped_rules(spark))
-    return PT.first_matches(code_lines(spark, sf_dir), rules).select(*HIT)
+    return PT.first_matches(code_lines(spark, sf_dir), PT.shipped_patterns()).select(*HIT)
 
 
 @query
 def match_spans(spark, sf_dir):
     """Every match of every pattern of both packs, with its span."""
-    patterns = SCAN.compile_rules(SR.shipped_rules(spark))
+    patterns = SCAN.compile_rules()
     found = PT.match_records(PT.all_matches(code_lines(spark, sf_dir), patterns))
     return found.select(
         *LINE_KEYS, "line_number", "phase", "rule_id", "pattern_ord", "match_ord", "column",
@@ -454,20 +453,41 @@ def match_spans(spark, sf_dir):
 def secret_hits_documents(spark, sf_dir):
     """Both packs over the whole text of `documents`."""
     lines = L.explode_lines(I.with_language(C.document_files(spark, sf_dir)), *LINE_KEYS, "language")
-    patterns = SCAN.compile_rules(SR.shipped_rules(spark))
+    patterns = SCAN.compile_rules()
     return PT.first_matches(lines, patterns).select(*HIT)
 
 
+# User rules as data: case-sensitive, without a language, with one pattern that is no regex.
+USER_RULES = [
+    ("GREETING", "LOW", ["Th[aeiou]n", "the, th"], True),
+    ("REPEATED", "INFO", ["[a-z]+tion [a-z]+tion", "(unclosed"], True),
+    ("SHOUTED", "MEDIUM", ["nti.nti"], False),
+]
+
+
+def user_rules(spark):
+    rows = [
+        (i, name, severity, "injection", "regex", texts, [], cased, False, 0.5, name)
+        for i, (name, severity, texts, cased) in enumerate(USER_RULES)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "load_ord bigint, id string, severity string, category string, rule_type string, "
+        "patterns array<string>, target_languages array<string>, case_sensitive boolean, "
+        "multiline boolean, confidence_threshold double, description string",
+    )
+
+
 @query
 def conversation_hits(spark, sf_dir):
-    """Both packs over chat turns, a project per role."""
+    """Built-in patterns and user rules over chat turns, a project per role."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
         F.col("role").alias("project_id"),
         F.concat(F.lit("c"), "conv_id", F.lit("/t"), "turn", F.lit(".py")).alias("path"),
         F.lit("python").alias("language"),
         F.col("text").cast("binary").alias("content"),
     )
-    patterns = SCAN.compile_rules(SR.shipped_rules(spark))
+    patterns = SCAN.compile_rules(user_rules(spark))
     return PT.first_matches(L.explode_lines(turns, *LINE_KEYS, "language"), patterns).select(*HIT)
 
 
@@ -552,7 +572,7 @@ def findings_all_files(spark, sf_dir):
     """Line patterns over all text files whose language a rule targets."""
     files = C.corpus(spark, sf_dir)
     kept, _ = SCAN.split_oversize(SCAN.discover(files, extensions=[".py", ".pyw", ".js"]))
-    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules(SR.shipped_rules(spark)))).select(*FOUND)
+    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules())).select(*FOUND)
 
 
 @query
@@ -669,7 +689,13 @@ def merged_totals(spark, sf_dir):
 
 @query
 def scan_errors(spark, sf_dir):
-    return SCAN.scan(C.corpus(spark, sf_dir)).errors
+    """Every top directory as a project: some have only excluded files; and `documents` under
+    the smallest size limit an option can have."""
+    top = F.substring_index("path", "/", 1)
+    parts = C.corpus_files(spark, sf_dir).withColumn("project_id", F.concat("project_id", F.lit("-"), top))
+    files = parts.unionByName(C.document_files(spark, sf_dir))
+    options = O.layer_options(files.select("project_id").distinct(), call={"max_file_size_mb": 0.01})
+    return SCAN.scan(files, options=options).errors
 
 
 @query
@@ -718,6 +744,6 @@ def incremental_scan(spark, sf_dir):
         F.col("text").cast("binary").alias("content"),
     )
     out = INC.new_output(spark)
-    patterns = SCAN.compile_rules(SR.shipped_rules(spark))
+    patterns = SCAN.compile_rules()
     INC.scan_increment(files, patterns, out, (D.LINE_PATTERNS,))
     return INC.increment_findings(spark, out).select(*FOUND)

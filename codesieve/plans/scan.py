@@ -14,7 +14,7 @@ from codesieve.operators import lines as L
 from codesieve.operators import options as O
 from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
-from codesieve.operators.patterns import Pattern, builtin_patterns, rule_patterns
+from codesieve.operators.patterns import Pattern, builtin_patterns, rule_patterns, shipped_patterns
 from codesieve.sources.rules import shipped_rules
 
 
@@ -62,8 +62,9 @@ def split_oversize(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept.drop("max_file_size_mb"), errors
 
 
-def compile_rules(rules: DataFrame) -> list[Pattern]:
-    return builtin_patterns() + rule_patterns(rules)
+def compile_rules(rules: DataFrame | None = None) -> list[Pattern]:
+    """Built-in patterns, then those of the rules (of the packaged rules if none are given)."""
+    return builtin_patterns() + (shipped_patterns() if rules is None else rule_patterns(rules))
 
 
 def detect(
@@ -146,11 +147,12 @@ def scan(
     Each table is a plan of its own. Write `findings` first and pass the written table to
     `summary_of` when all are wanted, so that sources are parsed once.
     """
+    patterns = compile_rules(rules)
     rules = shipped_rules(files.sparkSession) if rules is None else rules
     profiles = I.detect_languages(files)
     found = discover(files, options, extensions, exclusion_mode, profiles)
     kept, oversize = split_oversize(found)
-    findings = FD.dedup(detect(kept, compile_rules(rules), detectors), keep)
+    findings = FD.dedup(detect(kept, patterns, detectors), keep)
     if policy:
         findings = FD.apply_policy(findings, **policy)
     errors = oversize.unionByName(unsupported_projects(files, found))

@@ -5,10 +5,9 @@ import json
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from codesieve import packs, vocab
-from codesieve.schemas import RULE
+from codesieve.schemas import INT, LOADED_RULE, RAW_RULE, RULE, TEXT, TEXTS, extend
 
 try:
     import yaml
@@ -16,13 +15,6 @@ except ImportError:
     yaml = None
 
 
-def _extend(schema: StructType, ddl: str) -> StructType:
-    return StructType(schema.fields + StructType.fromDDL(ddl).fields)
-
-
-RAW_RULE = _extend(RULE, "_corrupt_record string")
-
-
 def shipped_rules(spark: SparkSession) -> DataFrame:
     """The packaged rules in load order. The table has a fixed handful of rows."""
     rows = []
@@ -38,7 +30,7 @@ def shipped_rules(spark: SparkSession) -> DataFrame:
             "last_updated": packs.SHIPPED_DATE,
         }
         rows.append([filled[f.name] for f in RULE.fields] + [load_ord])
-    return F.broadcast(spark.createDataFrame(rows, _extend(RULE, "load_ord bigint")))
+    return F.broadcast(spark.createDataFrame(rows, LOADED_RULE))
 
 
 def read_json_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -57,7 +49,7 @@ def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
     if yaml is None:
         raise ImportError("reading YAML rules needs PyYAML")
 
-    @F.arrow_udf("array<string>")
+    @F.arrow_udf(TEXTS)
     def documents(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts.to_pylist():
@@ -91,7 +83,7 @@ def read_rule_directory(spark: SparkSession, directory: str) -> DataFrame:
         more = _optional(lambda: read_yaml_rules(spark, f"{directory}/*.{ending}"))
         raw = more if raw is None else raw if more is None else raw.unionByName(more)
     if raw is None:
-        return spark.createDataFrame([], _extend(RAW_RULE, "source string, kind int"))
+        return spark.createDataFrame([], extend(RAW_RULE, source=TEXT, kind=INT))
     return raw
 
 

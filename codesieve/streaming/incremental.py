@@ -15,7 +15,8 @@ from codesieve.operators import findings as FD
 from codesieve.operators import scoring as SC
 from codesieve.operators.patterns import Pattern
 from codesieve.plans.scan import detect
-from codesieve.sources.files import BINARY_FILE, to_files
+from codesieve.schemas import BINARY_FILE
+from codesieve.sources.files import to_files
 
 
 def shared_folder(spark: SparkSession) -> str:
