@@ -62,8 +62,7 @@ def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
         return pa.array(out, pa.list_(pa.string()))
 
     return (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("source"), documents("value").alias("d"))
         .select("source", F.explode("d").alias("text"))
         .select(
@@ -146,3 +145,9 @@ def _one_of(column: str, values) -> F.Column:
 def write_rules(rules: DataFrame, path: str) -> None:
     """JSON lines with every field of the rule record (each line is also valid YAML)."""
     rules.select(*RULE.names).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def read_json_rules_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw rule rows of a JSON-lines folder, as `write_rules` makes it."""
+    raw = spark.read.schema(RAW_RULE).option("mode", "PERMISSIVE").json(path)
+    return raw.select("*", F.col("_metadata.file_name").alias("source"), F.lit(0).alias("kind"))
