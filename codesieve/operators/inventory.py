@@ -1,5 +1,7 @@
 """File inventory: language, inclusion, exclusion, size guard, project detection and counts."""
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,10 @@ def custom_excluded(path: Column, names: Column, mode: str = "substring") -> Col
     """Whether one of the names is inside the path ('segment': is one of its parts)."""
     if mode == "segment":
         return F.arrays_overlap(F.split(path, "/"), names)
-    return F.exists(names, lambda n: F.contains(path, n))
-
-
-def excluded(path: Column, names: Column, mode: str = "substring") -> Column:
-    return default_excluded(path) | F.coalesce(custom_excluded(path, names, mode), F.lit(False))
+    # One regex of quoted names. A lambda over `names` that also reads `path` would be a join
+    # condition the optimizer may push to the side that lacks `path`.
+    quoted = F.transform(names, lambda n: F.regexp_replace(n, r"(\W)", r"\\$1"))
+    return (F.size(names) > 0) & F.rlike(path, F.array_join(quoted, "|"))
 
 
 def matches_global_exclusions(path: Column) -> Column:
@@ -53,14 +54,28 @@ def language_exclusions(primary: Column) -> Column:
     return F.coalesce(F.try_element_at(table, primary), F.array().cast("array<string>"))
 
 
+def excluded_by_language(path: Column, primary: Column, mode: str = "substring") -> Column:
+    """The same test for the names that come with the primary language, as plain comparisons."""
+    hit = F.lit(False)
+    for lang, names in vocab.EXCLUDED_BY_LANGUAGE.items():
+        if mode == "segment":
+            inside = F.arrays_overlap(F.split(path, "/"), literal_array(names))
+        else:
+            inside = F.rlike(path, F.lit("|".join(re.escape(n) for n in names)))
+        hit = hit | ((primary == lang) & inside)
+    return hit
+
+
 def included(
     path: Column,
     targets: Column,
-    exclusions: Column,
+    exclusion: Column,
     extensions: list[str] | Column | None = None,
-    mode: str = "substring",
 ) -> Column:
-    """Include predicate: extension, not excluded, and a target language if any is set."""
+    """Include predicate: extension, not excluded, and a target language if any is set.
+
+    `exclusion` is the condition that comes on top of the default excluded names.
+    """
     if extensions is None:
         extensions = vocab.INCLUDED_EXTENSIONS
     by_extension = (
@@ -69,7 +84,8 @@ def included(
         else F.array_contains(extensions, P.extension(path))
     )
     wanted = (F.size(targets) == 0) | F.array_contains(targets, P.language(path))
-    return by_extension & ~excluded(path, exclusions, mode) & F.coalesce(wanted, F.lit(True))
+    kept = ~(default_excluded(path) | F.coalesce(exclusion, F.lit(False)))
+    return by_extension & kept & F.coalesce(wanted, F.lit(True))
 
 
 def split_by_size(files: DataFrame, max_bytes: Column) -> tuple[DataFrame, DataFrame]:

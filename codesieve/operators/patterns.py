@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType
 from codesieve import packs
 from codesieve.functions import regex as R
 from codesieve.functions import text as X
+from codesieve.functions.arrays import computed
 from codesieve.functions.literals import quote
 from codesieve.schemas import SPANS
 
@@ -256,7 +257,7 @@ def all_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
     hits = reduce(DataFrame.unionByName, outputs)
     return (
         hits.withColumn("spans", spans("line", "pattern", "flags"))
-        .select("*", F.posexplode("spans").alias("match_ord", "span"))
+        .select("*", F.posexplode(computed("spans")).alias("match_ord", "span"))
         .withColumn("column", F.col("span.start") + 1)
         .withColumn("start_column", F.col("span.start"))
         .withColumn("end_column", F.col("span.stop"))

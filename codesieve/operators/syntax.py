@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType
 from codesieve import vocab
 from codesieve.functions import regex as R
 from codesieve.functions import text as X
+from codesieve.functions.arrays import computed
 from codesieve.functions.pyfacts import py_facts
 from codesieve.operators.lines import with_text
 from codesieve.operators.patterns import PHASE_SYNTAX
@@ -29,7 +30,7 @@ def extract_facts(files: DataFrame) -> DataFrame:
 
 def facts_table(facts: DataFrame) -> DataFrame:
     """One row per fact."""
-    return facts.select("project_id", "path", F.explode("facts").alias("f")).select(
+    return facts.select("project_id", "path", F.explode(computed("facts")).alias("f")).select(
         "project_id", "path", "f.*"
     )
 
@@ -38,7 +39,7 @@ def taint_table(facts: DataFrame) -> DataFrame:
     """One row per tainted variable of a file, with the place where it became tainted."""
     return (
         with_taint(facts)
-        .select("project_id", "path", F.explode("taint").alias("t"))
+        .select("project_id", "path", F.explode(computed("taint")).alias("t"))
         .select("project_id", "path", "t.*")
     )
 
@@ -176,7 +177,7 @@ def all_syntax_findings(facts: DataFrame) -> DataFrame:
     """Every finding before de-duplication, without its line."""
     return (
         detect(facts)
-        .select("project_id", F.col("path").alias("file_path"), F.explode("found").alias("f"))
+        .select("project_id", F.col("path").alias("file_path"), F.explode(computed("found")).alias("f"))
         .select("project_id", "file_path", "f.*")
         .drop("has_line")
     )

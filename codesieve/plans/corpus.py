@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve.functions.literals import literal_array, quote
+from codesieve.sources.files import spread
 
 LINES_PER_FILE = 20
 
@@ -84,11 +85,13 @@ def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.replace(line, F.lit("{u}"), F.col("user_id").cast("string"))
     line = F.replace(line, F.lit("{v}"), (F.col("user_id") % 3).cast("string"))
     file_no = F.expr(f"event_id div {LINES_PER_FILE}")
+    # The partition count is fixed because reading source costs far more than its size tells.
     # A file is exactly LINES_PER_FILE events, so the collected group has a fixed size.
     per_file = (
         events.select(
             file_no.alias("file_no"), "ts", F.struct("event_id", line.alias("line")).alias("row")
         )
+        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_no")
         .groupBy("file_no")
         .agg(F.min("ts").alias("last_modified"), F.array_sort(F.collect_list("row")).alias("rows"))
     )
@@ -134,7 +137,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `documents` table seen as text files, one project per source."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    return spread(documents).select(
         F.col("source").alias("project_id"),
         F.concat(F.lit("docs/d"), "doc_id", F.lit(".py")).alias("path"),
         F.octet_length("text").cast("bigint").alias("size_bytes"),

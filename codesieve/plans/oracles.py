@@ -145,6 +145,11 @@ ORACLES["included_files"] = inv("SELECT project_id, path, language, size_bytes F
 ORACLES["excluded_files"] = inv(
     "SELECT project_id, path, by_default, by_language FROM flagged WHERE by_default OR by_language"
 )
+ORACLES["custom_exclusions"] = inv(
+    """SELECT project_id, path FROM included
+       WHERE NOT (CAST(project_id[5] AS INTEGER) % 2 = 0
+                  AND (contains(path, 'lib/a') OR contains(path, 'dev')))"""
+)
 ORACLES["depth_limited"] = inv("SELECT project_id, path, depth FROM typed WHERE depth <= 1")
 ORACLES["oversize_errors"] = with_corpus(
     f"""SELECT project_id, path, 'file_too_large' AS reason,

@@ -1,6 +1,6 @@
 """The whole scan as one lazy plan per result table."""
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,6 @@ from codesieve.operators.patterns import Pattern, builtin_patterns, rule_pattern
 from codesieve.sources.rules import shipped_rules
 
 
-class ScanResult(NamedTuple):
-    findings: DataFrame
-    errors: DataFrame
-    summary: DataFrame
-    stats: DataFrame
-
-
 def discover(
     files: DataFrame,
     options: DataFrame | None = None,
@@ -34,25 +27,31 @@ def discover(
 ) -> DataFrame:
     """Files a scan looks at, with their language and the size limit of their project.
 
-    Project profiles have one row per project. Spark joins them to the files by broadcast if
+    Project profiles have one row per project, and may name `excluded_paths` of their own. Spark joins them to the files by broadcast if
     they are small and by a shuffle of the files otherwise, where AQE splits a huge project.
     """
     profiles = I.detect_languages(files) if profiles is None else profiles
-    options = O.layer_options(profiles) if options is None else options
-    limits = O.clamp_options(options).select("project_id", "max_file_size_mb", "max_depth")
+    limits = ["max_file_size_mb", "max_depth"]
+    if options is not None:
+        profiles = profiles.join(O.clamp_options(options).select("project_id", *limits), "project_id")
+    else:
+        defaults = {n: F.lit(vocab.OPTION_BOUNDS[n][2]).cast("double") for n in limits}
+        profiles = profiles.withColumns(defaults)
     wanted = extensions or vocab.INCLUDED_EXTENSIONS
     by_path = (
         P.extension(F.col("path")).isin(*wanted) & ~I.default_excluded(F.col("path"))
     )
-    exclusions = I.language_exclusions(F.col("primary_language"))
+    exclusion = I.excluded_by_language(F.col("path"), F.col("primary_language"), exclusion_mode)
+    if "excluded_paths" in profiles.columns:
+        own = I.custom_excluded(F.col("path"), F.col("excluded_paths"), exclusion_mode)
+        exclusion = exclusion | F.coalesce(own, F.lit(False))
     return (
         files.where(by_path)
         .join(profiles, "project_id")
-        .join(limits, "project_id")
-        .where(I.included(F.col("path"), F.col("target_languages"), exclusions, wanted, exclusion_mode))
+        .where(I.included(F.col("path"), F.col("target_languages"), exclusion, wanted))
         .where(I.within_depth(F.col("path"), F.col("max_depth")))
         .withColumn("language", P.language(F.col("path")))
-        .drop("primary_language", "target_languages", "max_depth")
+        .drop("primary_language", "target_languages", "max_depth", "excluded_paths")
     )
 
 
@@ -78,11 +77,10 @@ def detect(
     return FD.union_findings(*parts)
 
 
-def unsupported_projects(files: DataFrame, found: DataFrame) -> DataFrame:
+def unsupported_projects(profiles: DataFrame, found: DataFrame) -> DataFrame:
     """Projects without a single file to analyze: an error row instead of a perfect score."""
     return (
-        files.select("project_id")
-        .distinct()
+        profiles.select("project_id")
         .join(found.select("project_id").distinct(), "project_id", "left_anti")
         .select(
             "project_id",
@@ -106,7 +104,7 @@ def scan_stats(
         )
     )
     skipped = (
-        errors.where("path is not null").groupBy("project_id").agg(F.count("*").alias("files_skipped"))
+        errors.groupBy("project_id").agg(F.count("*").alias("files_skipped"))
     )
     return (
         applied.join(counted, "project_id", "left")
@@ -132,45 +130,70 @@ def rules_applied(profiles: DataFrame, rules: DataFrame) -> DataFrame:
     return profiles.select("project_id").join(counted, "project_id", "left").fillna(0)
 
 
-def scan(
-    files: DataFrame,
-    rules: DataFrame | None = None,
-    options: DataFrame | None = None,
-    extensions: list[str] | None = None,
-    exclusion_mode: str = "substring",
-    keep: str = "first",
-    policy: dict | None = None,
-    detectors: tuple = D.DEFAULT,
-) -> ScanResult:
-    """Findings, errors, summary and stats of all projects in `files`.
-
-    Each table is a plan of its own. Write `findings` first and pass the written table to
-    `summary_of` when all are wanted, so that sources are parsed once.
-    """
-    patterns = compile_rules(rules)
-    rules = shipped_rules(files.sparkSession) if rules is None else rules
-    profiles = I.detect_languages(files)
-    found = discover(files, options, extensions, exclusion_mode, profiles)
-    kept, oversize = split_oversize(found)
-    findings = FD.dedup(detect(kept, patterns, detectors), keep)
-    if policy:
-        findings = FD.apply_policy(findings, **policy)
-    errors = oversize.unionByName(unsupported_projects(files, found))
-    return ScanResult(
-        findings,
-        errors,
-        summary_of(findings, found, errors, profiles),
-        scan_stats(kept, errors, findings, rules_applied(profiles, rules)),
-    )
-
-
-def summary_of(
-    findings: DataFrame, found: DataFrame, errors: DataFrame, profiles: DataFrame
-) -> DataFrame:
+def summary_of(findings: DataFrame, profiles: DataFrame, unsupported: DataFrame) -> DataFrame:
     """Classified summary; a project that could not be analyzed has no score."""
-    unsupported = errors.where("reason = 'unsupported_language'").select(
-        "project_id", F.lit(True).alias("unsupported")
-    )
-    summary = SC.report_summary(findings, profiles).join(unsupported, "project_id", "left")
+    flags = unsupported.select("project_id", F.lit(True).alias("unsupported"))
+    summary = SC.report_summary(findings, profiles).join(flags, "project_id", "left")
     score = F.when(F.col("unsupported").isNull(), F.col("security_score"))
     return SC.classify(summary.withColumn("security_score", score).drop("unsupported"))
+
+
+class Scan:
+    """Findings, errors, summary and stats of all projects in `files`, each a lazy table.
+
+    `write` stores the findings once; what is asked for afterwards reads them back instead of
+    scanning the sources again.
+    """
+
+    def __init__(
+        self,
+        files: DataFrame,
+        rules: DataFrame | None = None,
+        options: DataFrame | None = None,
+        extensions: list[str] | None = None,
+        exclusion_mode: str = "substring",
+        keep: str = "first",
+        policy: dict | None = None,
+        detectors: tuple = D.DEFAULT,
+        profiles: DataFrame | None = None,
+    ):
+        self.files, self.keep, self.policy, self.detectors = files, keep, policy, detectors
+        self.rules = rules
+        self.profiles = I.detect_languages(files) if profiles is None else profiles
+        self.found = discover(files, options, extensions, exclusion_mode, self.profiles)
+        self.kept, self.oversize = split_oversize(self.found)
+
+    @cached_property
+    def findings(self) -> DataFrame:
+        raw = detect(self.kept, compile_rules(self.rules), self.detectors)
+        found = FD.dedup(raw, self.keep)
+        return FD.apply_policy(found, **self.policy) if self.policy else found
+
+    @cached_property
+    def unsupported(self) -> DataFrame:
+        return unsupported_projects(self.profiles, self.found)
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return self.oversize.unionByName(self.unsupported)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return summary_of(self.findings, self.profiles, self.unsupported)
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        rules = self.rules if self.rules is not None else shipped_rules(self.files.sparkSession)
+        applied = rules_applied(self.profiles, rules)
+        return scan_stats(self.kept, self.oversize, self.findings, applied)
+
+    def write(self, path: str) -> "Scan":
+        self.findings.write.mode("overwrite").parquet(path)
+        for name in ("summary", "stats"):
+            self.__dict__.pop(name, None)
+        self.findings = self.files.sparkSession.read.parquet(path)
+        return self
+
+
+def scan(files: DataFrame, **how) -> Scan:
+    return Scan(files, **how)

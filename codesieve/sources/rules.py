@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve import packs, vocab
+from codesieve.functions.arrays import computed
 from codesieve.schemas import INT, LOADED_RULE, RAW_RULE, RULE, TEXT, TEXTS, extend
 
 try:
@@ -64,7 +65,7 @@ def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("source"), documents("value").alias("d"))
-        .select("source", F.explode("d").alias("text"))
+        .select("source", F.explode(computed("d")).alias("text"))
         .select(
             F.from_json(
                 "text", RAW_RULE, {"columnNameOfCorruptRecord": "_corrupt_record"}

@@ -385,6 +385,11 @@ def test_plan_shapes(spark, make_files, tmp_path):
         plan = plan_of(detect(files, compile_rules()))
         assert "Exchange" not in plan and "Join" not in plan
         assert "ReadSchema: struct<project_id:string,path:string,content:binary>" in plan
+    from codesieve.operators import syntax as SY
+
+    facts = SY.extract_facts(files)
+    for df, n in ((SY.facts_table(facts), 1), (SY.taint_table(facts), 2), (SY.all_syntax_findings(facts), 2)):
+        assert plan_of(df).count("ArrowEvalPython") == n
     found = line_pattern_findings(files, compile_rules())
     top = plan_of(top_per_project(dedup(found), 3))
     assert "WindowGroupLimit" in top
@@ -402,6 +407,16 @@ def test_one_huge_line_stays_linear(spark, make_files):
     assert [(r.rule_id, len(r.code_snippet)) for r in found] == [("DANGEROUS_FUNCTION_EVAL", len(text))]
 
 
+def test_written_findings_are_read_back(spark, make_files):
+    from codesieve.plans.scan import scan
+
+    files = make_files({f"m{i}.py": "eval(x)\n" for i in range(3)})
+    fresh, written = scan(files), scan(files).write(new_dir() + "/findings")
+    assert "FileScan parquet" in plan_of(written.findings)
+    assert fresh.summary.collect() == written.summary.collect()
+    assert fresh.stats.collect() == written.stats.collect()
+
+
 def test_result_does_not_depend_on_partitions(spark, make_files):
     from codesieve.plans.scan import scan
 
