@@ -287,7 +287,7 @@ UNION ALL SELECT 'severity', severity, {_COUNTS} FROM prule GROUP BY 2
 UNION ALL SELECT 'rule_type', rule_type, {_COUNTS} FROM prule GROUP BY 2"""
 ORACLES["rules_filtered"] = PART + """
 SELECT id, load_ord, severity, category FROM prule
-WHERE category LIKE '%injection%' AND list_contains(target_languages, 'python')
+WHERE category LIKE '%in%' AND list_contains(target_languages, 'python')
   AND severity = 'HIGH' AND enabled"""
 ISSUES = f""", issue AS (
   SELECT id, 'error' AS level, 'duplicate_id' AS issue,

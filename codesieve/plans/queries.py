@@ -369,7 +369,7 @@ def rules_stats(spark, sf_dir):
 
 @query
 def rules_filtered(spark, sf_dir):
-    found = RU.filter_catalog(part_rules(spark, sf_dir), "INJECTION", "Python", "HIGH", True)
+    found = RU.filter_catalog(part_rules(spark, sf_dir), "IN", "Python", "HIGH", True)
     return found.select("id", "load_ord", "severity", "category")
 
 

@@ -77,11 +77,16 @@ def detect(
     return FD.union_findings(*parts)
 
 
+def known_language() -> F.Column:
+    return F.col("language") != vocab.UNKNOWN_LANGUAGE
+
+
 def unsupported_projects(profiles: DataFrame, found: DataFrame) -> DataFrame:
     """Projects without a single file to analyze: an error row instead of a perfect score."""
+    supported = found.where(known_language()).select("project_id").distinct()
     return (
         profiles.select("project_id")
-        .join(found.select("project_id").distinct(), "project_id", "left_anti")
+        .join(supported, "project_id", "left_anti")
         .select(
             "project_id",
             F.lit(None).cast("string").alias("path"),
@@ -92,7 +97,7 @@ def unsupported_projects(profiles: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def scan_stats(
-    kept: DataFrame, errors: DataFrame, findings: DataFrame, applied: DataFrame
+    kept: DataFrame, skipped: DataFrame, findings: DataFrame, applied: DataFrame
 ) -> DataFrame:
     """Files analyzed and skipped, lines scanned, rules applied and triggered per project."""
     counted = (
@@ -103,9 +108,7 @@ def scan_stats(
             F.sum("n_newlines").alias("total_lines_scanned"),
         )
     )
-    skipped = (
-        errors.groupBy("project_id").agg(F.count("*").alias("files_skipped"))
-    )
+    skipped = skipped.groupBy("project_id").agg(F.count("*").alias("files_skipped"))
     return (
         applied.join(counted, "project_id", "left")
         .join(skipped, "project_id", "left")
@@ -161,7 +164,12 @@ class Scan:
         self.rules = rules
         self.profiles = I.detect_languages(files) if profiles is None else profiles
         self.found = discover(files, options, extensions, exclusion_mode, self.profiles)
-        self.kept, self.oversize = split_oversize(self.found)
+        within, self.oversize = split_oversize(self.found)
+        # Files no detector knows (a project of nothing but such files) are skipped.
+        self.kept = within.where(known_language())
+        self.skipped = self.oversize.select("project_id", "path").unionByName(
+            within.where(~known_language()).select("project_id", "path")
+        )
 
     @cached_property
     def findings(self) -> DataFrame:
@@ -185,7 +193,7 @@ class Scan:
     def stats(self) -> DataFrame:
         rules = self.rules if self.rules is not None else shipped_rules(self.files.sparkSession)
         applied = rules_applied(self.profiles, rules)
-        return scan_stats(self.kept, self.oversize, self.findings, applied)
+        return scan_stats(self.kept, self.skipped, self.findings, applied)
 
     def write(self, path: str) -> "Scan":
         self.findings.write.mode("overwrite").parquet(path)

@@ -199,6 +199,17 @@ def test_project_without_supported_files_has_no_score(make_files):
     assert row.security_score is None and row.score_class is None
 
 
+def test_project_of_unknown_files_is_skipped(make_files):
+    """A suffix that is included but has no language gives skipped files and no score."""
+    from codesieve.plans.scan import scan
+
+    result = scan(make_files({"tool.pyw": "eval(x)\n"}, "w"))
+    assert result.findings.count() == 0
+    assert [r.reason for r in result.errors.collect()] == ["unsupported_language"]
+    (stats,) = result.stats.collect()
+    assert (stats.files_analyzed, stats.files_skipped) == (0, 1)
+
+
 def test_lines_agree_with_python(spark, make_files):
     from codesieve.operators.lines import explode_lines, line_counts
 
