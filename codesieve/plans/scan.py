@@ -18,6 +18,22 @@ from codesieve.operators.patterns import Pattern, builtin_patterns, rule_pattern
 from codesieve.sources.rules import shipped_rules
 
 
+# Project profiles up to this size travel to the files; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _with_profiles(files: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Files with the profile of their project.
+
+    The estimate of an aggregated table is as large as its input, so left alone Spark would
+    shuffle the source text before it learns that the profiles are few. Their size is
+    measured first, which reads paths only.
+    """
+    size = profiles.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    small = (size or 0) <= BROADCAST_BYTES
+    return files.join(F.broadcast(profiles) if small else profiles, "project_id")
+
+
 def discover(
     files: DataFrame,
     options: DataFrame | None = None,
@@ -27,8 +43,9 @@ def discover(
 ) -> DataFrame:
     """Files a scan looks at, with their language and the size limit of their project.
 
-    Project profiles have one row per project, and may name `excluded_paths` of their own. Spark joins them to the files by broadcast if
-    they are small and by a shuffle of the files otherwise, where AQE splits a huge project.
+    Project profiles have one row per project, and may name `excluded_paths` of their own.
+    They are broadcast when their measured size allows it; beyond that the files are shuffled
+    by project, and AQE splits a huge project.
     """
     profiles = I.detect_languages(files) if profiles is None else profiles
     limits = ["max_file_size_mb", "max_depth"]
@@ -46,8 +63,7 @@ def discover(
         own = I.custom_excluded(F.col("path"), F.col("excluded_paths"), exclusion_mode)
         exclusion = exclusion | F.coalesce(own, F.lit(False))
     return (
-        files.where(by_path)
-        .join(profiles, "project_id")
+        _with_profiles(files.where(by_path), profiles)
         .where(I.included(F.col("path"), F.col("target_languages"), exclusion, wanted))
         .where(I.within_depth(F.col("path"), F.col("max_depth")))
         .withColumn("language", P.language(F.col("path")))

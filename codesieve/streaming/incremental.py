@@ -16,7 +16,7 @@ from codesieve.operators import scoring as SC
 from codesieve.operators.patterns import Pattern
 from codesieve.plans.scan import detect
 from codesieve.schemas import BINARY_FILE
-from codesieve.sources.files import to_files
+from codesieve.sources.files import spread, to_files
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,7 +52,7 @@ def scan_increment(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        with_language = batch.withColumn("language", P.language(F.col("path")))
+        with_language = spread(batch).withColumn("language", P.language(F.col("path")))
         findings = FD.dedup(detect(with_language, patterns, detectors))
         target = f"{out}/findings/batch={batch_id}"
         findings.write.mode("overwrite").parquet(target)

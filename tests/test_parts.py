@@ -417,6 +417,18 @@ def test_written_findings_are_read_back(spark, make_files):
     assert fresh.stats.collect() == written.stats.collect()
 
 
+def test_profiles_are_broadcast_only_when_small(spark, make_files, monkeypatch):
+    from codesieve.plans import scan as SCAN
+
+    files = make_files({"a.py": "eval(x)\n", "src/b.py": "y = 1\n"})
+    few = SCAN.discover(files)
+    monkeypatch.setattr(SCAN, "BROADCAST_BYTES", 0)
+    many = SCAN.discover(files)
+    assert "ResolvedHint (strategy=broadcast)" in few._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
 def test_result_does_not_depend_on_partitions(spark, make_files):
     from codesieve.plans.scan import scan
 
