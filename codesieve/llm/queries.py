@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import line_dedup, ngram_quality
+from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_quality, temperature_mix
 from codesieve.llm.common import table
 
 
@@ -21,7 +21,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.judged_table(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "surprise")
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary that is installed on every machine; the operator takes any path."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe_tree.decode(bpe_tree.encode(docs, path).drop("text"), path)
+    joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every taken copy of every document, at most two epochs a source more than the largest source."""
+    order, _ = temperature_mix.mix(table(spark, sf_dir, "documents"))
+    return order.select("doc_id", "source", "n_tokens", "epoch", "ahead")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": op4_bpe,
+    "op5_license_scan": op5_license_scan,
+    "op6_temperature_mix": op6_temperature_mix,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -41,7 +69,78 @@ WITH split AS (
 )
 """
 
+
+
+def license_sql() -> str:
+    """Every block against every template, without filters."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = "regexp_extract_all(translate(coalesce({0}, ''), '%s', '%s'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')" % (upper, lower)
+    places = " || ".join(
+        f"[x FOR x IN range(len(words)) IF {' AND '.join(f'words[x + {k + 1}] = {chr(39)}{w}{chr(39)}' for k, w in enumerate(phrase.split(' ')))}]"
+        for phrase in license_scan.PHRASES
+    )
+    base = " || ".join(
+        f"CASE WHEN len([x FOR x IN range(len(words)) IF {' AND '.join(f'words[x + {k + 1}] = {chr(39)}{w}{chr(39)}' for k, w in enumerate(phrase.split(' ')))}]) > 0 THEN ['{label}'] ELSE [] END"
+        for phrase, label in license_scan.PHRASES.items()
+    )
+    rows = ", ".join(f"('{label}', {license_scan.template_words(text)})" for label, text in license_scan.TEMPLATES)
+    return f"""
+WITH docs AS (SELECT doc_id, text, {words.format("text")} AS words FROM documents),
+based AS (SELECT doc_id, len(words) AS n_words, {places} AS places, {base} AS base FROM docs),
+templates(label, tokens) AS (VALUES {rows}),
+lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM docs),
+blocks AS (SELECT doc_id, {words.format("line")} AS words FROM lines),
+hits AS (SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS part
+         FROM blocks, templates WHERE len(list_intersect(words, tokens)) >= ceil({license_scan.THRESHOLD} * len(tokens) - 1e-9)),
+best AS (SELECT doc_id, list(DISTINCT label) AS more, max(part) AS part FROM hits GROUP BY doc_id)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ',') AS labels,
+       CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(part, 0.0) END AS score
+FROM based LEFT JOIN best USING (doc_id)
+"""
+
+
+MIX_SQL = f"""
+WITH RECURSIVE toks AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM documents
+), totals AS (
+  SELECT source, sum(n_tokens)::BIGINT AS total, count(*) AS n_docs FROM toks GROUP BY source
+), every AS (SELECT sum(total)::DOUBLE AS t FROM totals
+), shares AS (SELECT list(total / t) AS ps FROM totals, every WHERE total > 0
+), steps(n, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT n + 1, CASE WHEN flat THEN middle ELSE low END, CASE WHEN flat THEN high ELSE middle END
+  FROM (SELECT n, low, high, (low + high) / 2 AS middle,
+               list_max([pow(p, (low + high) / 2) / p FOR p IN ps]) / list_min([pow(p, (low + high) / 2) / p FOR p IN ps])
+                 > {temperature_mix.MAX_REPEATS} AS flat
+        FROM steps, shares WHERE n < {temperature_mix.STEPS})
+), fitted AS (
+  SELECT CASE WHEN list_max([1 / p FOR p IN ps]) / list_min([1 / p FOR p IN ps]) > {temperature_mix.MAX_REPEATS}
+              THEN high ELSE 0.0 END AS a, ps FROM steps, shares WHERE n = {temperature_mix.STEPS}
+), plan AS (
+  SELECT source, total, n_docs,
+         CASE WHEN total > 0 THEN round(pow(total / t, a) * list_max([pow(p, 1 - a) FOR p IN ps]) * t)::BIGINT ELSE 0 END AS budget
+  FROM totals, every, fitted
+), copies AS (
+  SELECT doc_id, toks.source, n_tokens, total, n_docs, budget,
+         unnest(range(greatest(CASE WHEN total > 0 THEN ceil(budget / total) ELSE 1 END, 1)::INT)) AS epoch
+  FROM toks JOIN plan ON toks.source IS NOT DISTINCT FROM plan.source
+), keyed AS (
+  SELECT *, md5('{temperature_mix.SEED}:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key FROM copies
+), blocked AS (
+  SELECT *, floor(('0x' || substr(key, 1, 8))::BIGINT * greatest(ceil(n_docs / {temperature_mix.BLOCK_ROWS}), 1) / 4294967296.0)::BIGINT AS block FROM keyed
+), placed AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY block, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead FROM blocked
+)
+SELECT doc_id, source, n_tokens, epoch::INT AS epoch, ahead FROM placed
+WHERE CASE WHEN total > 0 THEN ahead < budget - epoch * total OR budget - epoch * total >= total ELSE true END
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_license_scan": license_sql(),
+    "op6_temperature_mix": MIX_SQL,
     "op9_line_dedup": LINES_SQL
     + """
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
