@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_quality, temperature_mix
+from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_quality, temperature_mix, toxicity
 from codesieve.llm.common import table
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_temperature_mix": op6_temperature_mix,
+    "op7_toxicity": op7_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
