@@ -192,21 +192,25 @@ def fit(positive: list[str], negative: list[str], n_landmarks: int = LANDMARKS)
 
 def word_scores(text: str, weights: np.ndarray, bias: float) -> tuple[list[int], np.ndarray]:
     """(starts of words, decision value of each)."""
-    starts = [m.start() for m in WORDS.finditer(text)]
-    return starts, _decide(_codes(text), starts, len(text), weights) + bias
+    spans = [m.span() for m in WORDS.finditer(text)]
+    starts = [a for a, _ in spans]
+    scores = _decide(_codes(text), starts, len(text), weights) + bias
+    near = np.flatnonzero(scores > 0)
+    if len(near):  # exact norms, in which repeated sequences of a word count together
+        rows, keys, values = _vectors([text[slice(*spans[i])] for i in near])
+        scores[near] = np.bincount(rows, values * weights[keys], len(near)) + bias
+    return starts, scores
 
 
 def _decide(codes: np.ndarray, starts: list[int], n: int, weights: np.ndarray) -> np.ndarray:
-    """Per word the sum of its sequences' weights over the norm of the word's own vector (repeats taken apart)."""
+    """Per word the sum of its sequences' weights over the norm its vector has if no sequence repeats: a bound if positive."""
     if not starts:
         return np.empty(0)
     number = np.repeat(np.arange(len(starts) + 1), np.diff([0, *starts, n])) - 1
-    space = np.ones(n, bool)
     total, norm = np.zeros(n), np.zeros(n)
     for at, key, w in sequences(codes, number):
         total[at] += w * weights[key]
         norm[at] += w * w
-    del space
     sums, norms = np.add.reduceat(total, starts), np.add.reduceat(norm, starts)
     return sums / np.sqrt(np.maximum(norms, 1e-12))
 
