@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_quality, temperature_mix, toxicity
+from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_join, ngram_quality, temperature_mix, toxicity
 from codesieve.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.judged_table(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "surprise")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_classes(docs, k=4, percent=85)
+
+
 def tokenizer_path() -> str:
     """The public byte-level vocabulary that is installed on every machine; the operator takes any path."""
     import public_tokenizers
@@ -35,7 +40,7 @@ def tokenizer_path() -> str:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = bpe_tree.decode(bpe_tree.encode(docs, path).drop("text"), path)
+    rows = bpe_tree.encode(docs, path, decoded=True).drop("text")
     joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -51,6 +56,7 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_join": op2_ngram_join,
     "op4_bpe": op4_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_temperature_mix": op6_temperature_mix,
