@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_join, ngram_quality, temperature_mix, toxicity
+from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_join, ngram_quality, suffix_dedup, temperature_mix, toxicity
 from codesieve.llm.common import table
 
 
@@ -15,6 +15,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("runs").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_temperature_mix": op6_temperature_mix,
     "op7_toxicity": op7_toxicity,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
