@@ -25,7 +25,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.llm.common import ascii_lower, whole
+from codesieve.llm.common import ascii_lower, stored, whole
 
 THRESHOLD = 0.8
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,7 +101,7 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thres
     sets = [template_words(text) for _, text in templates]
     vocabulary = sorted({w for s in sets for w in s})
     least = min(required(len(s), threshold) for s in sets)
-    found = blocks(docs, vocabulary)
+    found = stored(blocks(docs, vocabulary))  # read twice: for the counts and for the join
     counted = found.select(F.explode("found").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = {r["word"]: r["n"] for r in counted.collect()}  # at most one row per template word
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
