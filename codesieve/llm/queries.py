@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import bpe_tree, license_scan, line_dedup, ngram_join, ngram_quality, suffix_dedup, temperature_mix, toxicity
+from codesieve.llm import bpe_tree, kmeans_tree, license_scan, line_dedup, ngram_join, ngram_quality, suffix_dedup, temperature_mix, toxicity
 from codesieve.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(docs, k=4, percent=85)
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def tokenizer_path() -> str:
     """The public byte-level vocabulary that is installed on every machine; the operator takes any path."""
     import public_tokenizers
@@ -62,6 +66,7 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
+    "op3_nearest": op3_nearest,
     "op4_bpe": op4_bpe,
     "op5_license_scan": op5_license_scan,
     "op6_temperature_mix": op6_temperature_mix,
