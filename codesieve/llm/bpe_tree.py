@@ -27,16 +27,19 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codesieve.llm.common import whole
 
 LEAF = 64
 CHUNK = 32_768
 CACHED_PIECES = 200_000
+SLICE = 400
 LOOK_AHEAD = 3
 # The byte-level pattern, with white space spelled out.
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -200,20 +203,36 @@ class Bpe:
             width *= 2
 
 
-def _encoded(rows: DataFrame, path: str) -> DataFrame:
-    @F.pandas_udf("array<int>")
-    def encode_batch(texts: pd.Series) -> pd.Series:
-        bpe = Bpe.load(path)
-        return pd.Series([np.array(bpe.encode(t or ""), np.int32) for t in texts], dtype=object)
-
-    return rows.withColumn("ids", encode_batch(whole(F.col("text"))))
+def _encoded(rows: DataFrame, path: str, decoded: bool) -> DataFrame:
+    """rows with ids and, if asked for, decoded; batches leave in slices of SLICE rows to bound a worker's memory."""
 
-
-def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
-    """docs with ids, the token ids of text. path names a tokenizer file that every executor has."""
-    own = docs.drop("ids", "_row", "_at", "_part")
+    def encode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = Bpe.load(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                ids = [bpe.encode(t or "") for t in part.column("text").to_pylist()]
+                columns = [*part.columns, pa.array([np.array(x, np.int32) for x in ids], pa.list_(pa.int32()))]
+                names = [*part.schema.names, "ids"]
+                if decoded:
+                    columns.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = T.StructType([*rows.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    if decoded:
+        schema = schema.add("decoded", T.StringType())
+    return rows.mapInArrow(encode_batches, schema)
+
+
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK, decoded: bool = False) -> DataFrame:
+    """docs with ids, the token ids of text, and with decoded, the text of these ids, if asked for.
+
+    path names a tokenizer file that every executor has.
+    """
+    own = docs.drop("ids", "_row", "_at", "_part", *(["decoded"] if decoded else []))
     long_text = F.length(whole(F.col("text"))) > chunk
-    short = _encoded(own.where(~long_text), path)
+    short = _encoded(own.where(~long_text), path, decoded)
     long_rows = own.where(long_text).withColumn("_row", F.monotonically_increasing_id())
     leaves = long_rows.select("_row", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("_at", "_part"))
     kept = own.columns
@@ -241,7 +260,8 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
 
     dealt = leaves.repartition("_row", "_at").select("_row", "_at", cut("_part").alias("_pieces"))
     whole_ids = dealt.groupBy("_row").applyInPandas(join, "_row long, ids array<int>")
-    return short.unionByName(long_rows.join(whole_ids, "_row").select(*kept, "ids"))
+    long = long_rows.join(whole_ids, "_row").select(*kept, "ids")
+    return short.unionByName(decode(long, path) if decoded else long)
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
