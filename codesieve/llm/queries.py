@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import bpe_tree, kmeans_tree, license_scan, line_dedup, ngram_join, ngram_quality, suffix_dedup, temperature_mix, toxicity
+from codesieve.llm import bpe_tree, html_wrapper, kmeans_tree, license_scan, line_dedup, ngram_join, ngram_quality, suffix_dedup, temperature_mix, toxicity
 from codesieve.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_quality.judged_table(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "surprise")
 
 
+def op1_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.jaccard_classes(docs, k=4, percent=85)
@@ -65,6 +69,7 @@ def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_wrapper": op1_html_wrapper,
     "op2_ngram_join": op2_ngram_join,
     "op3_nearest": op3_nearest,
     "op4_bpe": op4_bpe,
