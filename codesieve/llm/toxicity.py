@@ -43,8 +43,8 @@ from codesieve.llm.common import stored, whole
 ORDER, SPAN, DECAY = 4, 6, 0.6
 GRAM = 4
 TRAIN_ROWS = 15_000
-POSITIVE_WORDS, NEGATIVE_WORDS, LANDMARKS = 3_000, 12_000, 400
-HARD_WORDS, ROUNDS, GAPPED_WORDS = 4_000, 4, 60
+POSITIVE_WORDS, NEGATIVE_WORDS, LANDMARKS = 3_000, 10_000, 300
+HARD_WORDS, ROUNDS, GAPPED_WORDS = 3_000, 4, 60
 THRESHOLD = 0.7
 LETTERS = 32
 CHUNK = 2 << 20
@@ -133,8 +133,8 @@ def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     dense = np.zeros((len(used) + 1, len(landmarks)))
     dense[at, rows] = values
     out = np.zeros((len(words), len(landmarks)))
-    for start in range(0, len(words), 4000):
-        r, k, v = _vectors(words[start : start + 4000])
+    for start in range(0, len(words), 250):  # bounds the products held at once
+        r, k, v = _vectors(words[start : start + 250])
         where = np.minimum(np.searchsorted(used, k), len(used) - 1) if len(used) else np.zeros(len(k), int)
         hit = used[where] == k if len(used) else np.zeros(len(k), bool)
         np.add.at(out, start + r[hit], v[hit, None] * dense[where[hit]])
@@ -151,9 +151,10 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, clean_weight: float =
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         active = y * (x @ w) < 1
-        xa = x[active] * share[active, None]
-        grad_free = xa.T @ y[active]
-        new = np.linalg.solve(np.eye(x.shape[1]) + xa.T @ x[active], grad_free)
+        near = x[active]
+        pull = near.T @ (share[active] * y[active])
+        near *= np.sqrt(share[active])[:, None]
+        new = np.linalg.solve(np.eye(x.shape[1]) + near.T @ near, pull)
         if np.abs(new - w).max() < 1e-8:
             return new
         w = new
