@@ -21,6 +21,9 @@ with warnings.catch_warnings():
 _EXTRA_BLANKS = "\\x1c-\\x1f"
 
 
+_NAMED = re.compile(r"\(\?P=(\w+)\)")
+
+
 def pattern_error(pattern: str) -> str | None:
     """Why a pattern cannot be used, or None."""
     try:
@@ -34,7 +37,6 @@ def pattern_error(pattern: str) -> str | None:
 
 def to_java(pattern: str) -> str:
     """Spell a Python pattern for Java where the two dialects differ."""
-    pattern = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
     out, in_class, i = [], False, 0
     while i < len(pattern):
         pair = pattern[i : i + 2]
@@ -50,6 +52,12 @@ def to_java(pattern: str) -> str:
                 out.append("[^\\s" + _EXTRA_BLANKS + "]")
             else:
                 out.append(pair)
+        elif not in_class and pattern.startswith("(?P<", i):
+            step = 4
+            out.append("(?<")
+        elif not in_class and (named := _NAMED.match(pattern, i)):
+            step = len(named[0])
+            out.append(f"\\k<{named[1]}>")
         elif in_class and (ch == "[" or pair == "&&"):
             out.append("\\" + ch)
         else:

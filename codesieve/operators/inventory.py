@@ -89,15 +89,15 @@ def included(
 
 
 def split_by_size(files: DataFrame, max_bytes: Column) -> tuple[DataFrame, DataFrame]:
-    """Files within the limit, and one error row per file over it."""
-    too_big = F.col("size_bytes") > max_bytes
+    """Files within the limit, and one error row per file over it or of unknown size."""
+    size = F.col("size_bytes")
+    too_big = F.coalesce(size > max_bytes, F.lit(True))
+    oversize = F.format_string(vocab.MSG_OVERSIZE, size)
     errors = files.where(too_big).select(
         "project_id",
         "path",
-        F.lit("file_too_large").alias("reason"),
-        F.concat("path", F.lit(": "), F.format_string(vocab.MSG_OVERSIZE, F.col("size_bytes"))).alias(
-            "message"
-        ),
+        F.when(size.isNull(), "unreadable").otherwise("file_too_large").alias("reason"),
+        F.concat("path", F.lit(": "), F.when(size.isNull(), "no size").otherwise(oversize)).alias("message"),
     )
     return files.where(~too_big), errors
 

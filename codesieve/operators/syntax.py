@@ -149,16 +149,11 @@ def _findings_of(f: Column, tainted: Column) -> Column:
         f, 0, F.lit("SYNTAX_ERROR"), F.lit("LOW"),
         F.format_string(vocab.MSG_SYNTAX, f["text"]), "syntax", has_line=False,
     )
-    error = _finding(
-        f, 0, F.lit("ANALYSIS_ERROR"), F.lit("INFO"),
-        F.format_string(vocab.MSG_ANALYSIS_ERROR, f["text"]), "error", has_line=False,
-    )
     return (
         F.when(kind == "call", _call_findings(f, tainted))
         .when(kind == "assign", _secret_names(f))
         .when(kind == "str", _secret_strings(f))
         .when(kind == "syntax_error", F.array(syntax))
-        .when(kind == "error", F.array(error))
         .otherwise(_none())
     ).cast(ArrayType(SYNTAX_FINDING))
 
@@ -223,7 +218,11 @@ def syntax_findings(facts: DataFrame) -> DataFrame:
 
 
 def fact_errors(facts: DataFrame) -> DataFrame:
-    """Files whose syntax could not be followed at all (too deep for the parser)."""
-    return facts_table(facts).where("kind = 'aborted'").select(
-        "project_id", "path", F.lit("syntax_aborted").alias("reason"), F.col("text").alias("message")
+    """Files whose syntax could not be followed (too deep for the parser), and failures while following it."""
+    failed = F.format_string(vocab.MSG_ANALYSIS_ERROR, F.col("text"))
+    return facts_table(facts).where("kind in ('aborted', 'error')").select(
+        "project_id",
+        "path",
+        F.when(F.col("kind") == "error", "analysis_error").otherwise("syntax_aborted").alias("reason"),
+        F.when(F.col("kind") == "error", failed).otherwise(F.col("text")).alias("message"),
     )

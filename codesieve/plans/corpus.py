@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve.functions.literals import literal_array, quote
+from codesieve.operators import options as O
 from codesieve.sources.files import spread
 
 LINES_PER_FILE = 20
@@ -135,6 +136,33 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_files(spark, sf_dir).unionByName(corpus_root_files(spark, sf_dir))
 
 
+def troubled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each 20th file of the corpus, in turn: no size, no content, syntax that is too deep, a NUL
+    byte, one that is too large for the smallest limit."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 400 = 0")
+    n = F.expr("event_id div 400")
+    kind = n % 5
+    text = (
+        F.when(kind == 2, F.concat(F.lit("x = "), F.repeat(F.lit("-"), F.lit(100_000)), F.lit("1\n")))
+        .when(kind == 3, F.lit("a = 1\neval(b)\x00\n"))
+        .when(kind == 4, F.repeat(F.lit("# filler\n"), F.lit(13_000)))
+        .otherwise(F.lit("eval(c)\n"))
+    )
+    return events.select(
+        F.concat(F.lit("trouble"), n % 3).alias("project_id"),
+        F.concat(F.lit("t/f"), n, F.lit(".py")).alias("path"),
+        F.when(kind != 0, F.octet_length(text).cast("bigint")).alias("size_bytes"),
+        F.col("ts").alias("last_modified"),
+        F.when(kind != 1, text.cast("binary")).alias("content"),
+    )
+
+
+def some_options(files: DataFrame) -> DataFrame:
+    """The smallest size limit for one project; the others have no row."""
+    one = files.where("project_id = 'trouble0'").select("project_id").distinct()
+    return O.layer_options(one, call={"max_file_size_mb": 0.1})
+
+
 def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The `documents` table seen as text files, one project per source."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")

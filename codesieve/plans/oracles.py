@@ -740,12 +740,38 @@ ORACLES["scan_stats"] = scan_sql(
                 WHERE i.project_id = p.project_id) AS BIGINT) AS total_lines_scanned
         FROM profile p"""
 )
+
+TROUBLED = """
+trouble AS (
+  SELECT event_id // 400 AS n, (event_id // 400) % 5 AS kind, 'trouble' || ((event_id // 400) % 3) AS project_id,
+         't/f' || (event_id // 400) || '.py' AS path
+  FROM events WHERE event_id % 400 = 0
+)"""
+ORACLES["troubled_findings"] = f"""WITH {TROUBLED}
+SELECT project_id, path, what FROM trouble JOIN (VALUES
+  (0, 'unreadable'), (1, 'unreadable'), (2, 'syntax_aborted'), (3, 'SYNTAX_ERROR')) AS w(kind, what) USING (kind)"""
+ORACLES["file_accounting"] = inv(
+    f"""SELECT p.project_id,
+          (SELECT count(*) FROM afile a WHERE a.project_id = p.project_id) AS files_in,
+          (SELECT count(*) FROM included i WHERE i.project_id = p.project_id) AS analyzed,
+          (SELECT count(*) FROM afile a WHERE a.project_id = p.project_id)
+            - (SELECT count(*) FROM included i WHERE i.project_id = p.project_id) AS excluded,
+          0 AS unknown_language, 0 AS file_too_large, 0 AS unreadable, 0 AS syntax_aborted, 0 AS analysis_error
+        FROM profile p
+        UNION ALL
+        SELECT project_id, count(*), count(*) FILTER (kind = 3 OR kind = 4 AND project_id <> 'trouble0'), 0, 0,
+          count(*) FILTER (kind = 4 AND project_id = 'trouble0'), count(*) FILTER (kind IN (0, 1)),
+          count(*) FILTER (kind = 2), 0
+        FROM trouble GROUP BY project_id""",
+    "," + TROUBLED,
+)
 _ZEROS = [f"{s.lower()}_count" for s in vocab.SEVERITIES] + ["total_findings"]
 ORACLES["scan_summary"] = scan_sql(
     f"""SELECT project_id, {", ".join(_ZEROS)}, security_score, {CLASS} AS score_class,
           v.score_label, {BAND} AS score_band,
-          {GATE.format(c='critical_count', h='high_count')} AS gate_code,
-          total_findings = 0 AS is_clean, critical_count > 0 AS has_critical_issues
+          CASE WHEN security_score IS NOT NULL THEN {GATE.format(c='critical_count', h='high_count')} END AS gate_code,
+          CASE WHEN security_score IS NOT NULL THEN total_findings = 0 END AS is_clean,
+          CASE WHEN security_score IS NOT NULL THEN critical_count > 0 END AS has_critical_issues
         FROM (SELECT p.project_id, {", ".join(f"coalesce(s.{z}, 0) AS {z}" for z in _ZEROS)},
                 CASE WHEN p.project_id IN (SELECT project_id FROM included)
                      THEN CAST(coalesce(s.security_score, 100.0) AS DOUBLE) END AS security_score

@@ -694,19 +694,36 @@ def rules_triggered(spark, sf_dir):
 def merged_totals(spark, sf_dir):
     """Totals of two halves of the findings, merged; equal to the totals of all."""
     found = scan_findings(spark, sf_dir)
-    first = SC.severity_totals(found.where("line_number <= 10"))
-    return SC.summarize(SC.add_findings(first, found.where("line_number > 10")))
+    early = F.coalesce(F.col("line_number") <= 10, F.lit(True))
+    first = SC.severity_totals(found.where(early))
+    return SC.summarize(SC.add_findings(first, found.where(~early)))
 
 
 @query
 def scan_errors(spark, sf_dir):
     """Every top directory as a project: some have only excluded files; and `documents` under
-    the smallest size limit an option can have."""
+    the smallest size limit an option can have; without the files whose syntax cannot be followed."""
     top = F.substring_index("path", "/", 1)
     parts = C.corpus_files(spark, sf_dir).withColumn("project_id", F.concat("project_id", F.lit("-"), top))
     files = parts.unionByName(C.document_files(spark, sf_dir))
     options = O.layer_options(files.select("project_id").distinct(), call={"max_file_size_mb": 0.01})
-    return SCAN.scan(files, options=options).errors
+    result = SCAN.scan(files, options=options)
+    return result.oversize.unionByName(result.unsupported)
+
+
+@query
+def file_accounting(spark, sf_dir):
+    """Every file of the corpus and of some that cannot be read, once: analyzed, excluded or an error."""
+    files = C.corpus(spark, sf_dir).unionByName(C.troubled_files(spark, sf_dir))
+    return SCAN.scan(files, options=C.some_options(files)).accounting
+
+
+@query
+def troubled_findings(spark, sf_dir):
+    """Findings and errors of files with NUL bytes, missing content or size, and syntax that is too deep."""
+    result = SCAN.scan(C.troubled_files(spark, sf_dir))
+    found = result.findings.select("project_id", F.col("file_path").alias("path"), F.col("rule_id").alias("what"))
+    return found.unionByName(result.errors.select("project_id", "path", F.col("reason").alias("what")))
 
 
 @query

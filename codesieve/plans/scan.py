@@ -14,6 +14,7 @@ from codesieve.operators import lines as L
 from codesieve.operators import options as O
 from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
+from codesieve.operators import syntax as SY
 from codesieve.operators.patterns import Pattern, builtin_patterns, rule_patterns, shipped_patterns
 from codesieve.sources.rules import shipped_rules
 
@@ -50,10 +51,12 @@ def discover(
     profiles = I.detect_languages(files) if profiles is None else profiles
     limits = ["max_file_size_mb", "max_depth"]
     if options is not None:
-        profiles = profiles.join(O.clamp_options(options).select("project_id", *limits), "project_id")
+        profiles = profiles.join(O.clamp_options(options).select("project_id", *limits), "project_id", "left")
     else:
-        defaults = {n: F.lit(vocab.OPTION_BOUNDS[n][2]).cast("double") for n in limits}
-        profiles = profiles.withColumns(defaults)
+        profiles = profiles.withColumns({n: F.lit(None).cast("double") for n in limits})
+    # A project without a row or a value of its own has the default.
+    defaults = {n: F.coalesce(n, F.lit(vocab.OPTION_BOUNDS[n][2]).cast("double")) for n in limits}
+    profiles = profiles.withColumns(defaults)
     wanted = extensions or vocab.INCLUDED_EXTENSIONS
     by_path = (
         P.extension(F.col("path")).isin(*wanted) & ~I.default_excluded(F.col("path"))
@@ -149,12 +152,45 @@ def rules_applied(profiles: DataFrame, rules: DataFrame) -> DataFrame:
     return profiles.select("project_id").join(counted, "project_id", "left").fillna(0)
 
 
+def fact_problems(kept: DataFrame) -> DataFrame:
+    """Error rows of kept files whose content is missing or whose syntax could not be followed."""
+    missing = kept.where(F.col("content").isNull()).select(
+        "project_id",
+        "path",
+        F.lit("unreadable").alias("reason"),
+        F.concat("path", F.lit(": no content")).alias("message"),
+    )
+    python = kept.where((F.col("language") == "python") & F.col("content").isNotNull())
+    return missing.unionByName(SY.fact_errors(SY.extract_facts(python)))
+
+
+def file_accounting(files: DataFrame, found: DataFrame, skipped: DataFrame, errors: DataFrame) -> DataFrame:
+    """Per project: files in, analyzed, excluded, of unknown language, and errors by reason.
+
+    Every file is in exactly one of these; `errors` has file rows with a reason.
+    """
+    per_reason = [F.count_if(F.col("reason") == r).alias(r) for r in vocab.FILE_ERRORS]
+    lost = errors.where(F.col("path").isNotNull()).groupBy("project_id").agg(*per_reason)
+    return (
+        files.groupBy("project_id").agg(F.count("*").alias("files_in"))
+        .join(found.groupBy("project_id").agg(F.count("*").alias("n_found")), "project_id", "left")
+        .join(skipped.groupBy("project_id").agg(F.count("*").alias("unknown_language")), "project_id", "left")
+        .join(lost, "project_id", "left")
+        .fillna(0)
+        .withColumn("excluded", F.col("files_in") - F.col("n_found"))
+        .withColumn("analyzed", sum((-F.col(c) for c in ["unknown_language", *vocab.FILE_ERRORS]), F.col("n_found")))
+        .select("project_id", "files_in", "analyzed", "excluded", "unknown_language", *vocab.FILE_ERRORS)
+    )
+
+
 def summary_of(findings: DataFrame, profiles: DataFrame, unsupported: DataFrame) -> DataFrame:
-    """Classified summary; a project that could not be analyzed has no score."""
+    """Classified summary; a project that could not be analyzed has no score and no verdict."""
     flags = unsupported.select("project_id", F.lit(True).alias("unsupported"))
     summary = SC.report_summary(findings, profiles).join(flags, "project_id", "left")
     score = F.when(F.col("unsupported").isNull(), F.col("security_score"))
-    return SC.classify(summary.withColumn("security_score", score).drop("unsupported"))
+    classified = SC.classify(summary.withColumn("security_score", score))
+    verdict = {c: F.when(F.col("unsupported").isNull(), F.col(c)) for c in ("gate_code", "is_clean", "has_critical_issues")}
+    return classified.withColumns(verdict).drop("unsupported")
 
 
 class Scan:
@@ -183,8 +219,9 @@ class Scan:
         within, self.oversize = split_oversize(self.found)
         # Files no detector knows (a project of nothing but such files) are skipped.
         self.kept = within.where(known_language())
+        self.unknown = within.where(~known_language())
         self.skipped = self.oversize.select("project_id", "path").unionByName(
-            within.where(~known_language()).select("project_id", "path")
+            self.unknown.select("project_id", "path")
         )
 
     @cached_property
@@ -199,7 +236,15 @@ class Scan:
 
     @cached_property
     def errors(self) -> DataFrame:
-        return self.oversize.unionByName(self.unsupported)
+        return self.oversize.unionByName(self.problems).unionByName(self.unsupported)
+
+    @cached_property
+    def problems(self) -> DataFrame:
+        return fact_problems(self.kept)
+
+    @cached_property
+    def accounting(self) -> DataFrame:
+        return file_accounting(self.files, self.found, self.unknown, self.oversize.unionByName(self.problems))
 
     @cached_property
     def summary(self) -> DataFrame:

@@ -79,8 +79,9 @@ def read_yaml_rules(spark: SparkSession, path: str) -> DataFrame:
 def read_rule_directory(spark: SparkSession, directory: str) -> DataFrame:
     """Raw rules of all *.json files of a directory, then of its *.yaml and *.yml files."""
     raw = _optional(lambda: read_json_rules(spark, f"{directory}/*.json"))
-    for ending in ("yaml", "yml"):
+    for kind, ending in enumerate(("yaml", "yml"), 1):
         more = _optional(lambda: read_yaml_rules(spark, f"{directory}/*.{ending}"))
+        more = more if more is None else more.withColumn("kind", F.lit(kind))
         raw = more if raw is None else raw if more is None else raw.unionByName(more)
     if raw is None:
         return spark.createDataFrame([], extend(RAW_RULE, source=TEXT, kind=INT))

@@ -4,6 +4,7 @@ Each micro-batch finds, de-duplicates and appends the findings of its files, sin
 finding depends on another file. Roll-ups stay additive totals per batch.
 """
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,13 @@ from codesieve.sources.files import spread, to_files
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, or the session's own if the cluster names none."""
+    """The cluster's shared folder; a local session that names none gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    return warehouse.rstrip("/") + "/_checkpoints"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="increment-")
 
 
 def stream_files(

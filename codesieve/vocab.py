@@ -161,3 +161,6 @@ REPORT_VERSION = "1.0.0"
 
 # Rule families that a vulnerable project is expected to trigger.
 EXPECTED_FAMILIES = ["SQL_INJECTION", "HARDCODED", "COMMAND_INJECTION", "DANGEROUS_FUNCTION"]
+
+# Reasons for which a file is not analyzed.
+FILE_ERRORS = ["file_too_large", "unreadable", "syntax_aborted", "analysis_error"]
