@@ -81,8 +81,8 @@ def shipped_patterns() -> list[Pattern]:
 def rule_patterns(rules: DataFrame) -> list[Pattern]:
     """Usable patterns of the regex rules, in load order. Bad patterns are left out.
 
-    A rule set is configuration and is read as a stream of rows. Patterns beyond one block
-    cost more passes over the lines.
+    A rule set is configuration: it is read as a stream of rows and becomes part of the plan, so it
+    should stay within some thousands of patterns.
     """
     rows = (
         rules.where(F.col("rule_type") == "regex")
@@ -160,18 +160,16 @@ def _test(p: Pattern) -> str:
     return " AND ".join(tests)
 
 
-def _blocks(patterns: list[Pattern]) -> list[list[Pattern]]:
-    return [patterns[i : i + BLOCK] for i in range(0, len(patterns), BLOCK)]
-
-
 def _explode_hits(lines: DataFrame, patterns: list[Pattern], hits: list[str]) -> DataFrame:
-    """Lines times hits, where `hits` are SQL structs or NULL.
+    """Lines times hits, where `hits` are SQL structs or NULL, in one pass for any number of them.
 
+    Blocks of hits are arrays of their own, so that no generated method grows with the rule set.
     The gate is part of the generator: as a filter it would be pushed below `folded`,
     which then would be computed once per anchor.
     """
     folded = lines.withColumn("folded", _folded(F.col("line")))
-    found = F.expr(f"CASE WHEN {_has_anchor(patterns)} THEN array_compact(array({', '.join(hits)})) END")
+    blocks = [f"array({', '.join(hits[i : i + BLOCK])})" for i in range(0, len(hits), BLOCK)]
+    found = F.expr(f"CASE WHEN {_has_anchor(patterns)} THEN array_compact(concat({', '.join(blocks)})) END")
     return folded.select(*lines.columns, F.explode(found).alias("hit")).select(
         *lines.columns, "hit.*"
     )
@@ -204,17 +202,16 @@ def first_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
 
     This is the part of keep-first de-duplication that needs no other row.
     """
-    outputs = []
-    for block in _blocks([p for p in patterns if p.on_jvm]):
-        hits = []
-        for i, rule in enumerate(_rules_of(block)):
-            whens = " ".join(
-                f"WHEN {_test(p)} THEN struct({i} AS rule, {p.pattern_ord} AS pattern_ord, "
-                f"0 AS match_ord, char_length(split(line, {quote(p.java)}, 2)[0]) + 1 AS column)"
-                for p in rule
-            )
-            hits.append(f"CASE {whens} END")
-        outputs.append(_describe(_explode_hits(lines, block, hits), block))
+    outputs, fast, hits = [], [p for p in patterns if p.on_jvm], []
+    for i, rule in enumerate(_rules_of(fast)):
+        whens = " ".join(
+            f"WHEN {_test(p)} THEN struct({i} AS rule, {p.pattern_ord} AS pattern_ord, "
+            f"0 AS match_ord, char_length(split(line, {quote(p.java)}, 2)[0]) + 1 AS column)"
+            for p in rule
+        )
+        hits.append(f"CASE {whens} END")
+    if hits:
+        outputs.append(_describe(_explode_hits(lines, fast, hits), fast))
     rest = [p for p in patterns if not p.on_jvm]
     if rest or not outputs:
         found = all_matches(lines, rest or builtin_patterns())
@@ -245,16 +242,13 @@ def all_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
             )
         return pa.array(out, arrow_type)
 
-    outputs = []
-    for block in _blocks(patterns):
-        place = {id(p): i for i, rule in enumerate(_rules_of(block)) for p in rule}
-        hits = [
-            f"CASE WHEN {_test(p)} THEN struct({place[id(p)]} AS rule, {p.pattern_ord} AS pattern_ord, "
-            f"{quote(p.text)} AS pattern, {int(p.flags)} AS flags) END"
-            for p in block
-        ]
-        outputs.append(_describe(_explode_hits(lines, block, hits), block))
-    hits = reduce(DataFrame.unionByName, outputs)
+    place = {id(p): i for i, rule in enumerate(_rules_of(patterns)) for p in rule}
+    tests = [
+        f"CASE WHEN {_test(p)} THEN struct({place[id(p)]} AS rule, {p.pattern_ord} AS pattern_ord, "
+        f"{quote(p.text)} AS pattern, {int(p.flags)} AS flags) END"
+        for p in patterns
+    ]
+    hits = _describe(_explode_hits(lines, patterns, tests), patterns)
     return (
         hits.withColumn("spans", spans("line", "pattern", "flags"))
         .select("*", F.posexplode(computed("spans")).alias("match_ord", "span"))

@@ -1,89 +1,30 @@
 """Untrusted input inside a file: sources, propagation through '+', and use in calls.
 
-A file's facts are one array in walking order, so following a variable is a fold over
-that array inside the row: nothing is shuffled and no file needs another one. Taint is
+A file's facts are one array in walking order, so variables are followed inside the row, in time
+linear in its facts: nothing is shuffled and no file needs another one. Taint is
 file-wide, depends on the order of statements and is never cleared.
 """
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from codesieve import vocab
-from codesieve.schemas import FOLLOWED, TAINT
+from codesieve.schemas import FOLLOWED
 
-# The fold compares every use with every tainted variable. Files where that product is larger
-# are followed with a hash table in an Arrow UDF instead; both give the same result.
-WIDE = 200_000
 
-
-def _is_event(f: Column) -> Column:
-    return f["value"].isin("source", "add") | (
-        f["line_target"].isNotNull() & f["name"].isin(*vocab.TAINT_SOURCES)
-    )
-
-
-def _fold(events: Column) -> Column:
-    """Tainted variables with the place where each first became tainted."""
-
-    def step(known: Column, e: Column) -> Column:
-        hit = (F.coalesce(e["value"], F.lit("")) != "add") | F.exists(
-            known, lambda t: (t["var"] == e["left"]) | (t["var"] == e["right"])
-        )
-        names = F.coalesce(F.array_distinct(e["targets"]), F.array(e["line_target"]))
-        new = F.filter(names, lambda v: ~F.exists(known, lambda t: t["var"] == v))
-        fresh = F.transform(new, lambda v: F.struct(v.alias("var"), e["seq"].alias("seq")))
-        return F.when(F.coalesce(hit, F.lit(False)), F.concat(known, fresh)).otherwise(known)
-
-    return F.aggregate(events, F.array().cast(TAINT), step)
-
-
-def with_taint(files: DataFrame, wide: int = WIDE) -> DataFrame:
+def with_taint(files: DataFrame) -> DataFrame:
     """Add to rows that have `facts`: `taint`, the array of (var, seq), and `flags`, which says
-    for each fact whether its arguments decide for tainted."""
-    is_wide = F.size("events") * F.size("facts").cast("bigint") > wide
-    followed = (
-        files.withColumn("events", F.filter("facts", _is_event))
-        .withColumn("followed", follow_wide(F.when(is_wide, F.col("facts"))))
-        .withColumn(
-            "taint",
-            F.when(F.col("followed").isNull(), _fold(F.col("events"))).otherwise(
-                F.col("followed.taint")
-            ),
-        )
-    )
-    narrow = F.transform("facts", argument_is_tainted)
-    return followed.withColumn(
-        "flags",
-        F.when(F.col("followed").isNull(), narrow).otherwise(F.col("followed.flags")),
-    ).drop("events", "followed")
-
-
-def argument_is_tainted(call: Column) -> Column:
-    """First plain-name argument that is tainted, or whatever the first binary operation says.
-
-    Reads the columns `taint`; arguments after the first binary operation do not count.
+    for each fact whether its arguments decide for tainted: the first plain-name argument that is
+    tainted, or whatever the first binary operation says; arguments after that do not count.
     """
-    first = F.array_position(F.transform(call["args"], lambda a: a["kind"]), "binop")
-    deciding = F.slice(
-        call["args"], F.lit(1), F.when(first > 0, first.cast("int")).otherwise(F.size(call["args"]))
-    )
-
-    def known(var: Column) -> Column:
-        return F.exists("taint", lambda t: (t["var"] == var) & (t["seq"] < call["seq"]))
-
-    hit = F.exists(
-        deciding,
-        lambda a: F.when(a["kind"] == "name", known(a["name"])).otherwise(
-            F.coalesce(known(a["left"]), F.lit(False)) | F.coalesce(known(a["right"]), F.lit(False))
-        ),
-    )
-    return F.coalesce(hit, F.lit(False))
+    followed = files.withColumn("followed", follow("facts"))
+    return followed.withColumns({"taint": F.col("followed.taint"), "flags": F.col("followed.flags")}).drop("followed")
 
 
 def follow_with_table(facts: list[dict]) -> tuple[dict[str, int], list[bool]]:
-    """Same rules as the fold, with a hash table: variable -> place, and a flag per fact."""
+    """Follow the facts in walking order with a table: variable -> place; and a flag per fact."""
     table: dict[str, int] = {}
     flags = []
     for f in facts:
@@ -109,7 +50,7 @@ _ARROW_FOLLOWED = to_arrow_type(FOLLOWED)
 
 
 @F.arrow_udf(FOLLOWED)
-def follow_wide(facts: pa.Array) -> pa.Array:
+def follow(facts: pa.Array) -> pa.Array:
     out = []
     for value in facts:
         rows = value.as_py()

@@ -1,5 +1,6 @@
 """Functions, rule sources, sinks, options and plan shapes."""
 
+import dataclasses
 import json
 import random
 import re
@@ -140,7 +141,7 @@ def test_more_patterns_than_a_block(spark, make_files, monkeypatch):
     assert in_blocks == kept(PT.first_matches(lines, every)) and whole
 
 
-def test_wide_files_are_followed_the_same_way(spark, make_files):
+def test_taint_equals_a_plain_walk(spark, make_files):
     from codesieve.operators.syntax import extract_facts
     from codesieve.operators.taint import with_taint
 
@@ -166,11 +167,40 @@ def test_wide_files_are_followed_the_same_way(spark, make_files):
             )
         sources[f"f{k}.py"] = "\n".join(lines)
     facts = extract_facts(make_files(sources))
-    show = lambda df: sorted(
-        (r.path, sorted(map(tuple, r.taint)), [bool(x) for x in r.flags]) for r in df.collect()
-    )
-    narrow, wide = show(with_taint(facts, wide=10**9)), show(with_taint(facts, wide=-1))
-    assert narrow == wide and any(any(flags) for _, _, flags in narrow)
+    sources_of_taint = ("input", "raw_input")
+    some_flag = False
+    for row in with_taint(facts).collect():
+        tainted, flags = [], []
+        for f in row.facts:
+            names = lambda a: [a.name] if a.kind == "name" else [a.left, a.right]
+            args = list(f.args or [])
+            ends = [i for i, a in enumerate(args) if a.kind == "binop"]
+            deciding = args[: ends[0] + 1] if ends else args
+            flags.append(any(n in dict(tainted) for a in deciding for n in names(a)))
+            new = []
+            if f.value == "source" or (f.value == "add" and {f.left, f.right} & set(dict(tainted))):
+                new = f.targets
+            elif f.value is None and f.line_target and f.name in sources_of_taint:
+                new = [f.line_target]
+            tainted += [(n, f.seq) for n in dict.fromkeys(new) if n not in dict(tainted)]
+        assert sorted(map(tuple, row.taint)) == sorted(tainted)
+        assert [bool(x) for x in row.flags] == flags
+        some_flag |= any(flags)
+    assert some_flag
+
+
+def test_many_patterns_are_one_scan(spark, tmp_path):
+    from codesieve.operators import patterns as PT
+    from codesieve.operators.lines import explode_lines
+
+    rows = [("p", f"a{i}.py", f"word{i} = 1\n".encode(), "python") for i in range(450)]
+    spark.createDataFrame(rows, "project_id string, path string, content binary, language string").write.parquet(f"{tmp_path}/t")
+    lines = explode_lines(spark.read.parquet(f"{tmp_path}/t"), "project_id", "path", "language")
+    model = PT.builtin_patterns()[0]
+    many = [dataclasses.replace(model, rule_ord=i, rule_id=f"R{i}", text=f"word{i} ") for i in range(450)]
+    found = PT.first_matches(lines, many)
+    assert plan_of(found).count("FileScan parquet") == 1
+    assert {r.rule_id for r in found.collect()} == {f"R{i}" for i in range(450)}
 
 
 def test_dedup_keeps_the_first_and_is_idempotent(spark):
