@@ -607,6 +607,7 @@ def scan_sql(body: str, more: str = "", **how) -> str:
 ALL_FOUND = scan_sql(f"SELECT {FOUND} FROM found")
 ORACLES["findings_dedup"] = ALL_FOUND
 ORACLES["finding_roundtrip"] = ALL_FOUND
+ORACLES["incremental_corpus"] = ALL_FOUND
 ORACLES["findings_max_severity"] = scan_sql(
     f"SELECT {FOUND} FROM found", keep="sev.rank, phase, rule_ord, pattern_ord"
 )

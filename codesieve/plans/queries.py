@@ -759,6 +759,17 @@ def finding_roundtrip(spark, sf_dir):
     return RP.parse_findings(RP.finding_json(scan_findings(spark, sf_dir))).select(*FOUND)
 
 
+@query
+def incremental_corpus(spark, sf_dir):
+    """The code corpus arriving as a stream of files: the same findings as those of a full scan."""
+    out = INC.new_output(spark)
+    files = C.corpus(spark, sf_dir)
+    files.write.parquet(f"{out}/arrived")
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 4).parquet(f"{out}/arrived")
+    INC.scan_increment(stream, SCAN.compile_rules(), f"{out}/scan", profiles=I.detect_languages(spark.read.parquet(f"{out}/arrived")))
+    return INC.increment_findings(spark, f"{out}/scan").select(*FOUND)
+
+
 @query
 def incremental_scan(spark, sf_dir):
     """`documents` as a stream of files, scanned batch by batch into the shared folder."""

@@ -8,14 +8,12 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from codesieve.functions import paths as P
 from codesieve.operators import detectors as D
 from codesieve.operators import findings as FD
 from codesieve.operators import scoring as SC
 from codesieve.operators.patterns import Pattern
-from codesieve.plans.scan import detect
+from codesieve.plans.scan import detect, discover, fact_problems, known_language, split_oversize
 from codesieve.schemas import BINARY_FILE
 from codesieve.sources.files import spread, to_files
 
@@ -45,17 +43,29 @@ def stream_files(
 
 
 def scan_increment(
-    files: DataFrame, patterns: list[Pattern], out: str, detectors: tuple = D.DEFAULT
+    files: DataFrame,
+    patterns: list[Pattern],
+    out: str,
+    detectors: tuple = D.DEFAULT,
+    profiles: DataFrame | None = None,
+    **discovery,
 ) -> None:
-    """Run the waiting input to its end, adding to `out/findings` and `out/totals`.
+    """Run the waiting input to its end, adding to `out/findings`, `out/errors` and `out/totals`.
+
+    Files of a batch are chosen as in a scan: by extension, exclusions, target languages, depth and
+    size; `discovery` takes the options of `discover`. `profiles` are those of the projects; without
+    them each batch is profiled by the files it brings.
 
     A batch writes its own directory and overwrites it when it is run again, so a restart
     after a lost driver neither loses nor doubles findings.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        with_language = spread(batch).withColumn("language", P.language(F.col("path")))
-        findings = FD.dedup(detect(with_language, patterns, detectors))
+        found = discover(spread(batch), profiles=profiles, **discovery)
+        within, oversize = split_oversize(found)
+        kept = within.where(known_language())
+        oversize.unionByName(fact_problems(kept)).write.mode("overwrite").parquet(f"{out}/errors/batch={batch_id}")
+        findings = FD.dedup(detect(kept, patterns, detectors))
         target = f"{out}/findings/batch={batch_id}"
         findings.write.mode("overwrite").parquet(target)
         written = batch.sparkSession.read.parquet(target)
