@@ -2,7 +2,7 @@
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve import vocab
@@ -16,6 +16,7 @@ from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
 from codesieve.operators import syntax as SY
 from codesieve.operators.patterns import Pattern, builtin_patterns, rule_patterns, shipped_patterns
+from codesieve.sources import files as FS
 from codesieve.sources.rules import shipped_rules
 
 
@@ -211,12 +212,19 @@ class Scan:
         policy: dict | None = None,
         detectors: tuple = D.DEFAULT,
         profiles: DataFrame | None = None,
+        listing: DataFrame | None = None,
     ):
-        self.files, self.keep, self.policy, self.detectors = files, keep, policy, detectors
+        """`listing` has all files without content, where `files` has only those worth opening."""
+        self.keep, self.policy, self.detectors = keep, policy, detectors
         self.rules = rules
-        self.profiles = I.detect_languages(files) if profiles is None else profiles
-        self.found = discover(files, options, extensions, exclusion_mode, self.profiles)
-        within, self.oversize = split_oversize(self.found)
+        self.files = files if listing is None else listing
+        self.profiles = I.detect_languages(self.files) if profiles is None else profiles
+        how = (options, extensions, exclusion_mode, self.profiles)
+        opened = discover(files, *how)
+        self.found = opened if listing is None else discover(listing, *how)
+        within, self.oversize = split_oversize(opened)
+        if listing is not None:
+            _, self.oversize = split_oversize(self.found)
         # Files no detector knows (a project of nothing but such files) are skipped.
         self.kept = within.where(known_language())
         self.unknown = within.where(~known_language())
@@ -266,3 +274,12 @@ class Scan:
 
 def scan(files: DataFrame, **how) -> Scan:
     return Scan(files, **how)
+
+
+def scan_directory(spark: SparkSession, root: str, project_depth: int = 0, extensions: list[str] | None = None, **how) -> Scan:
+    """Scan a tree of repositories. Profiles and size errors come from the file list; only files of a
+    wanted extension within the largest size limit are opened, by filters the source applies itself."""
+    most = int(vocab.OPTION_BOUNDS["max_file_size_mb"][1] * 1024 * 1024)
+    glob = FS.glob_of(extensions or vocab.INCLUDED_EXTENSIONS)
+    files = FS.read_files(spark, root, project_depth, glob=glob, max_bytes=most)
+    return Scan(files, listing=FS.list_files(spark, root, project_depth), extensions=extensions, **how)

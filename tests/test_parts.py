@@ -2,6 +2,7 @@
 
 import dataclasses
 import json
+import os
 import random
 import re
 import tempfile
@@ -466,3 +467,28 @@ def test_result_does_not_depend_on_partitions(spark, make_files):
     one = scan(files.repartition(1)).findings
     many = scan(files.repartition(13)).findings
     assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
+def test_directory_scan_opens_only_wanted_files(spark):
+    from codesieve.plans.scan import scan, scan_directory
+    from codesieve.sources.files import read_files
+
+    root = new_dir()
+    for path, text in {"p/a.py": "eval(x)\n", "p/B.PY": "exec(y)\n", "p/pic.png": "x" * 100, "q/big.py": "#" * 200_000, "q/lib.js": "eval(z)"}.items():
+        os.makedirs(os.path.dirname(f"{root}/{path}"), exist_ok=True)
+        with open(f"{root}/{path}", "w") as f:
+            f.write(text)
+    options = spark.createDataFrame([("q", 0.1, 10.0)], "project_id string, max_file_size_mb double, max_depth double")
+    for name in ("max_workers", "timeout_seconds", "min_confidence"):
+        options = options.withColumn(name, F.lit(None).cast("double")) if name not in options.columns else options
+    from codesieve.operators.options import layer_options
+
+    options = layer_options(options.select("project_id"), options)
+    pruned = scan_directory(spark, root, 1, options=options)
+    plain = scan(read_files(spark, root, 1), options=options)
+    for name in ("findings", "errors", "summary", "accounting"):
+        rows = [sorted(map(str, getattr(s, name).drop("last_modified").collect())) for s in (pruned, plain)]
+        assert rows[0] == rows[1], name
+    assert {(r.path, r.reason) for r in pruned.errors.collect()} == {("big.py", "file_too_large")}
+    scans = [x for x in plan_of(pruned.findings).split("FileScan binaryFile")[1:] if "content#" in x.split("]")[0]]
+    assert scans and all("LessThanOrEqual(length,104857600)" in x for x in scans)
