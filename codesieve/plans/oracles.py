@@ -681,6 +681,30 @@ SUMMARY_COLUMNS = ", ".join(
      "CAST(security_score AS DOUBLE) AS security_score"]
 )
 ORACLES["report_roundtrip"] = scan_sql(f"SELECT {SUMMARY_COLUMNS} FROM ({SUMMARY})")
+ORACLES["report_json"] = scan_sql(
+    f"""SELECT h.project_id, h.part, h.n_parts, to_json({{
+          'target_path': h.project_id, 'scan_started_at': '2024-01-01T00:00:00', 'scan_duration': NULL,
+          'analyzer_version': {q(vocab.REPORT_VERSION)},
+          'summary': {{'total_findings': total_findings, {", ".join(f"'{s.lower()}_count': {s.lower()}_count" for s in vocab.SEVERITIES)},
+                      'security_score': security_score}},
+          'findings': coalesce(findings, [])}})::VARCHAR AS json
+        FROM (SELECT *, unnest(range(n_parts))::INTEGER AS part FROM totals) h LEFT JOIN dealt d USING (project_id, part)""",
+    f""",
+totals AS (
+  SELECT p.project_id, {", ".join(f"coalesce({s.lower()}_count, 0) AS {s.lower()}_count" for s in vocab.SEVERITIES)},
+         coalesce(total_findings, 0) AS total_findings, CAST(coalesce(security_score, 100.0) AS DOUBLE) AS security_score,
+         greatest(ceil(coalesce(total_findings, 0) / 200), 1)::INTEGER AS n_parts
+  FROM profile p LEFT JOIN ({SUMMARY}) s USING (project_id)
+),
+dealt AS (
+  SELECT f.project_id,
+         (('0x' || substr(md5(f.file_path || ':' || coalesce(f.line_number || ':', '') || f.rule_id), 1, 8))::BIGINT % t.n_parts)::INTEGER AS part,
+         list({{'file_path': file_path, 'line_number': line_number, 'column': "column", 'rule_id': rule_id, 'severity': severity,
+               'message': message, 'category': category, 'cwe_id': NULL, 'confidence': confidence, 'code_snippet': code_snippet,
+               'found_at': NULL}} ORDER BY file_path, line_number NULLS FIRST, rule_id) AS findings
+  FROM found f JOIN totals t USING (project_id) GROUP BY ALL
+)""",
+)
 ORACLES["merged_totals"] = scan_sql(f"SELECT {SUMMARY_COLUMNS} FROM ({SUMMARY})")
 FILE_SCORES = """,
 fscore AS (

@@ -78,6 +78,45 @@ def report_json(
     )
 
 
+PART_SIZE = 1000
+
+
+def report_parts(
+    findings: DataFrame,
+    projects: DataFrame,
+    started_at=None,
+    duration: float | None = None,
+    part_size: int = PART_SIZE,
+) -> DataFrame:
+    """(project_id, part, n_parts, json): a project's report in documents of about part_size findings.
+
+    Each part has the header and the summary of the whole project. Findings are dealt to parts by a
+    hash of their place, so no task gathers a project; a project without findings has one empty part.
+    """
+    parts = F.greatest(F.ceil(F.col("total_findings") / part_size), F.lit(1)).cast("int")
+    header = report_summary(findings, projects).withColumn("n_parts", parts)
+    place = F.concat_ws(":", "file_path", F.col("line_number").cast("string"), "rule_id")
+    number = F.conv(F.substring(F.md5(place.cast("binary")), 1, 8), 16, 10).cast("long")
+    dealt = with_found_at(findings).join(header.select("project_id", "n_parts"), "project_id")
+    order = F.struct("file_path", "line_number", "rule_id", finding_struct().alias("f"))
+    gathered = dealt.groupBy("project_id", (number % F.col("n_parts")).cast("int").alias("part")).agg(
+        F.transform(F.array_sort(F.collect_list(order)), lambda x: x["f"]).alias("findings")
+    )
+    started = F.lit(started_at).cast("timestamp") if started_at else F.current_timestamp()
+    document = F.struct(
+        F.col("project_id").alias("target_path"),
+        iso_text(started).alias("scan_started_at"),
+        F.lit(duration).cast("double").alias("scan_duration"),
+        F.lit(vocab.REPORT_VERSION).alias("analyzer_version"),
+        F.struct(*_COUNTS, "security_score").alias("summary"),
+        F.coalesce("findings", F.array().cast(REPORT_JSON["findings"].dataType)).alias("findings"),
+    )
+    numbered = header.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+    return numbered.join(gathered, ["project_id", "part"], "left").select(
+        "project_id", "part", "n_parts", F.to_json(document, _JSON).alias("json")
+    )
+
+
 def write_reports(findings: DataFrame, projects: DataFrame, path: str, **header) -> None:
     report_json(findings, projects, **header).select("json").write.mode("overwrite").text(path)
 
