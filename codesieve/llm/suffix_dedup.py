@@ -10,7 +10,8 @@ anchors, so equal windows have equal anchors at equal places. Then:
 1. Anchors are dealt by hash with a digest of their context, LEFT bytes before and WIDTH bytes from the anchor,
    which holds all windows around it. Of anchors with equal contexts only the first stays in question: in the
    others every window is repeated. Anchors that stand alone are dropped.
-2. Where one hash has several contexts, the first anchor of each is looked up in its text, and all suffixes that
+2. Where one hash has several contexts that agree in the 40 bytes on one side, the first anchor of each is
+   looked up in its text, and all suffixes that
    begin in its context are sorted within their hash: multikey quicksort by eight bytes at a time to SHALLOW
    bytes, where suffixes that stand alone are left aside; the groups that remain share a long prefix and are
    ordered by a blind trie, which branches at the first byte in which a suffix differs from the first one of
@@ -21,7 +22,7 @@ Groups of more than GROUP contexts are not sorted in one task: their windows are
 takes the first of each (partial minima, then a join).
 
 Nulls: a null text has no bytes; documents without id keep all bytes and take no part. Rows that repeat an
-id count as one document for the order; equal rows are cut alike. Texts below WIDTH bytes keep all.
+id count as one document for the order, and a start in both as one earlier than the other; equal rows are cut alike. Texts below WIDTH bytes keep all.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.llm.common import stored
@@ -41,6 +42,8 @@ LEFT = WIDTH - K
 SHALLOW = 24
 GROUP = 100_000
 SEGMENT = 1 << 20
+BUFFER = 1 << 15
+SLICE = 500
 PAD = 192
 
 
@@ -75,58 +78,83 @@ def _join(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(position, K-byte hash, 16-byte hashes) of a text's anchors; data has PAD bytes around the text."""
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(positions, their K-byte hashes, 16-byte hashes everywhere) of the anchors in a buffer.
+
+    Windows may begin at starts[i] up to before ends[i]; around each such range the buffer has PAD bytes.
+    """
     sixteen, gram = _grams(data)
-    n = len(data) - 2 * PAD
-    inside = gram[PAD : PAD + n - K + 1]
-    low = _slide(inside, LEFT + 1, np.minimum)  # one per window
+    low = _slide(gram, LEFT + 1, np.minimum)  # one per window
+    steps = np.zeros(len(low) + 1, np.int8)
+    steps[starts] += 1
+    steps[ends] -= 1
+    low[np.cumsum(steps[:-1]) == 0] = 0
     edge = np.zeros(LEFT, np.uint64)
     best = _slide(np.r_[edge, low, edge], LEFT + 1, np.maximum)
-    at = np.flatnonzero(best == inside)
-    return at, inside[at], sixteen, np.int64(n)
-
-
-def _segments(raw: bytes) -> Iterator[tuple[int, bytes]]:
-    """Overlapping pieces of a long text, so that every window and its context are in one piece whole."""
-    if len(raw) >= WIDTH:
-        for start in range(0, max(1, len(raw) - WIDTH + 1), SEGMENT):
-            yield start, raw
+    at = np.flatnonzero((best == gram) & (best > 0))
+    return at, gram[at], sixteen
+
+
+def _pieces(raw: bytes) -> Iterator[tuple[int, int, int, int]]:
+    """(first byte, last byte, first window, last window) of overlapping pieces of a text; bytes hold all contexts."""
+    last = len(raw) - WIDTH + 1
+    for start in range(0, last, SEGMENT):
+        end = min(last, start + SEGMENT)
+        yield max(0, start - LEFT), min(len(raw), end + LEFT + 2 * WIDTH), start, end
+
+
+def _posted(pieces: list[tuple]) -> tuple[np.ndarray, ...]:
+    """h, context, halves, doc_id, rid, p and again of the anchors of (doc_id, rid, length, first byte, first and last window, bytes)."""
+    pad = b"\0" * PAD
+    data = np.frombuffer(pad + pad.join(x[6] for x in pieces) + pad, np.uint8)
+    doc, rid, length, first, low, high = (np.array(c, np.int64) for c in list(zip(*pieces, strict=True))[:6])
+    sizes = np.array([len(x[6]) for x in pieces])
+    base = PAD + np.r_[0, np.cumsum(sizes + PAD)[:-1]]  # where each piece's bytes begin
+    at, gram, sixteen = anchors(data, base + low - first, base + high - first)
+    own = np.searchsorted(base, at, side="right") - 1
+    p = at - base[own] + first[own]
+    context = np.minimum(p, LEFT).astype(np.uint64) * np.uint64(256) + np.minimum(length[own] - p, WIDTH).astype(np.uint64)
+    for offset in (*range(-LEFT, WIDTH - 16, 16), WIDTH - 16):
+        context = _mix(context ^ sixteen[at + offset])
+    left, right = (_mix(_mix(sixteen[at + a] ^ _mix(sixteen[at + b])) ^ sixteen[at + c]) for a, b, c in ((-40, -24, -16), (K, K + 16, K + 24)))
+    halves = (left & np.uint64(0xFFFFFFFF00000000)) | (right >> np.uint64(32))
+    # Later anchors of a text with the context of an earlier one: repeated for certain, and not to be compared.
+    again = np.ones(len(at), np.int64)
+    again[np.unique(_mix(gram ^ _mix(context + own.astype(np.uint64))), return_index=True)[1]] = 0
+    gram = np.where(again == 1, _mix(gram + _mix(p.astype(np.uint64) + own.astype(np.uint64))), gram)  # dealt anywhere
+    return gram.view(np.int64), context.view(np.int64), halves.view(np.int64), doc[own], rid[own], p, again
+
+
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 def posts(docs: DataFrame) -> DataFrame:
-    """(h, context, doc_id, rid, p): the anchors of every text."""
+    """(h, context, halves, doc_id, rid, p, again): the anchors of every text.
+
+    again is 1 for those whose context the text has before; their h is arbitrary, so that a text that repeats
+    two words a million times makes no hot key. halves has two 32-bit hashes: of the 40 bytes before the anchor and of the 40 bytes behind its K bytes. Every
+    window around the anchor holds one of both whole.
+    """
+    names = ["h", "context", "halves", "doc_id", "rid", "p", "again"]
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pad = b"\0" * PAD
-        for batch in batches:
-            out: list[tuple[np.ndarray, ...]] = []
-            held = 0
+        for batch in _slices(batches):
+            pieces, held = [], 0
             for doc_id, rid, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rid", "text")), strict=True):
                 raw = (text or "").encode()
-                for start, _ in _segments(raw):
-                    low, high = max(0, start - PAD), min(len(raw), start + SEGMENT + WIDTH + PAD)
-                    padded = np.frombuffer(pad + raw[low:high] + pad, np.uint8)
-                    at, gram, sixteen, _ = anchors(padded)
-                    p = at + low
-                    keep = (p >= start) & (p < start + SEGMENT + WIDTH)
-                    at, gram, p = at[keep], gram[keep], p[keep]
-                    mixed = np.minimum(p, LEFT).astype(np.uint64) * np.uint64(256) + np.minimum(len(raw) - p, WIDTH).astype(np.uint64)
-                    for offset in (*range(-LEFT, WIDTH - 16, 16), WIDTH - 16):
-                        mixed = _mix(mixed ^ sixteen[at + PAD + offset])
-                    out.append((gram.view(np.int64), mixed.view(np.int64), np.full(len(p), doc_id), np.full(len(p), rid), p.astype(np.int64)))
-                    held += len(p)
-                if held > 200_000:
-                    yield _batch(out)
-                    out, held = [], 0
-            if out:
-                yield _batch(out)
-
-    def _batch(out: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["h", "context", "doc_id", "rid", "p"])
-
-    return docs.mapInArrow(post, "h long, context long, doc_id long, rid long, p long")
+                for first, last, low, high in _pieces(raw):
+                    pieces.append((doc_id, rid, len(raw), first, low, high, raw[first:last]))
+                    held += last - first
+                    if held > BUFFER:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in _posted(pieces)], names)
+                        pieces, held = [], 0
+            if pieces:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in _posted(pieces)], names)
+
+    return docs.mapInArrow(post, ", ".join(f"{c} long" for c in names))
 
 
 def contexts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -134,7 +162,7 @@ def contexts(docs: DataFrame, firsts: DataFrame) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["h", "doc_id", "rid", "p", "n_left", "bytes"]
-        for batch in batches:
+        for batch in _slices(batches):
             rows: list[tuple] = []
             for doc_id, rid, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rid", "text", "places")), strict=True):
                 raw = (text or "").encode()
@@ -193,19 +221,21 @@ def sorted_groups(text: np.ndarray, at: np.ndarray, group: np.ndarray) -> np.nda
             _, group = np.unique((group.astype(np.int64) * WIDTH + branch) * 256 + byte, return_inverse=True)
             several = np.bincount(group)[group] > 1
             left, group = left[several], group[several]
+    alone = np.bincount(out[out >= 0], minlength=1)[out] == 1
+    out[alone & (out >= 0)] = -1
     return out
 
 
 def repeated_windows(frame: pd.DataFrame) -> pd.DataFrame:
     """Per context (rows: h, doc_id, rid, p, n_left, bytes) its outermost repeated windows, as (rid, start, end)."""
-    frame = frame.sort_values(["doc_id", "p"], kind="stable").reset_index(drop=True)
+    frame = frame.sort_values(["doc_id", "p", "rid"], kind="stable").reset_index(drop=True)
     sizes = frame["bytes"].str.len().to_numpy()
     n_left = frame["n_left"].to_numpy()
     base = np.r_[0, np.cumsum(sizes)[:-1]]
     text = np.frombuffer(b"".join(frame["bytes"]) + b"\0" * WIDTH, np.uint8)
     group = np.unique(frame["h"].to_numpy(), return_inverse=True)[1]
     low, high = np.full(len(frame), WIDTH), np.full(len(frame), -1)  # bytes of the outermost windows before the anchor
-    place = frame[["doc_id", "p"]].to_numpy()
+    place = frame[["doc_id", "p", "rid"]].to_numpy()
     for o in range(LEFT + 1):
         own = np.flatnonzero((n_left >= o) & (sizes - n_left >= WIDTH - o))
         if len(own) < 2:
@@ -262,22 +292,23 @@ def marked_windows(found: DataFrame, group_size: int = GROUP) -> DataFrame:
 
     rows = found.join(large, "h", "left_semi").mapInPandas(windows, "h long, doc_id long, rid long, p long, o long, window binary")
     rows = rows.select("h", "doc_id", "rid", "p", "o", F.sha2("window", 256).alias("window"))
-    firsts = rows.groupBy("h", "o", "window").agg(F.min(F.struct("doc_id", "p")).alias("lead"))
-    again = rows.join(firsts, ["h", "o", "window"]).where("doc_id <> lead.doc_id or p <> lead.p")
+    firsts = rows.groupBy("h", "o", "window").agg(F.min(F.struct("doc_id", "p", "rid")).alias("lead"))
+    again = rows.join(firsts, ["h", "o", "window"]).where("not (doc_id = lead.doc_id and p = lead.p and rid = lead.rid)")
     return marks.unionByName(again.select("rid", (F.col("p") - F.col("o")).alias("start"), (F.col("p") - F.col("o") + WIDTH).alias("end")))
 
 
 def repeated_spans(docs: DataFrame, group_size: int = GROUP) -> DataFrame:
     """(rid, spans): per document (with doc_id, rid, text) the byte ranges of repeated windows, not yet merged."""
     posted = posts(docs.where("doc_id is not null")).repartition("h")
-    classes = posted.groupBy("h", "context").agg(F.min(F.struct("doc_id", "p", "rid")).alias("lead"), F.count("*").alias("n"))
-    several = classes.groupBy("h").agg(F.count("*").alias("n_classes"), F.sum("n").alias("n_anchors")).where("n_anchors > 1")
-    inner = classes.join(several, "h").select("h", "context", "lead", "n_classes")
-    first = (F.col("doc_id") == F.col("lead.doc_id")) & (F.col("p") == F.col("lead.p"))
-    table = posted.join(inner, ["h", "context"]).select("h", "doc_id", "rid", "p", first.alias("first"), "n_classes")
-    table = stored(table.where("not first or n_classes > 1"))
-    whole = table.where("not first").select("rid", F.greatest(F.col("p") - LEFT, F.lit(0)).alias("start"), (F.col("p") + WIDTH).alias("end"))
-    asked = table.where("first").select("h", "rid", "p")
+    own, alike = Window.partitionBy("h"), Window.partitionBy("h", "context")
+    place = F.struct("doc_id", "p", "rid")
+    table = posted.withColumn("first", place == F.min(place).over(alike)).withColumn("mixed", F.min("context").over(own) != F.max("context").over(own))
+    table = stored(table.where("again = 1 or not first or mixed").drop("mixed", "context"))
+    whole = table.where("again = 1 or not first").select("rid", F.greatest(F.col("p") - LEFT, F.lit(0)).alias("start"), (F.col("p") + WIDTH).alias("end"))
+    # A window that two contexts share holds one half of both: others need not be looked up.
+    asked = table.where("again = 0 and first").select("h", "rid", "p", F.shiftrightunsigned("halves", 32).alias("left"), F.expr("halves & 4294967295").alias("right"))
+    near = [F.count("*").over(Window.partitionBy("h", side)) > 1 for side in ("left", "right")]
+    asked = asked.repartition("h").withColumn("near", near[0]).withColumn("near_too", near[1]).where("near or near_too").select("h", "rid", "p")
     marks = marked_windows(stored(contexts(docs, asked)), group_size)
     both = whole.unionByName(marks)
     return both.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -301,17 +332,15 @@ def remove_repeats(docs: DataFrame, group_size: int = GROUP) -> DataFrame:
     spans = stored(repeated_spans(keyed, group_size))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                rows = []
-                for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
-                    raw = (text or "").encode()
-                    runs = merged(np.array([(x["start"], x["end"]) for x in spans or []], np.int64).reshape(-1, 2), len(raw))
-                    edges = [0, *(x for run in runs for x in run), len(raw)]
-                    kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                    rows.append({"doc_id": doc_id, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "runs": [{"start": a, "end": b} for a, b in runs], "kept": kept})
-                yield pa.RecordBatch.from_pylist(rows, schema)
+        for batch in _slices(batches):
+            rows = []
+            for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
+                raw = (text or "").encode()
+                runs = merged(np.array([(x["start"], x["end"]) for x in spans or []], np.int64).reshape(-1, 2), len(raw))
+                edges = [0, *(x for run in runs for x in run), len(raw)]
+                kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                rows.append({"doc_id": doc_id, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "runs": [{"start": a, "end": b} for a, b in runs], "kept": kept})
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     run = pa.struct([("start", pa.int64()), ("end", pa.int64())])
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("runs", pa.list_(run)), ("kept", pa.binary())])
