@@ -4,21 +4,23 @@ A document's set holds its distinct k-word shingles (words lower-cased A-Z; the
 fewer words; nothing without words). Two documents link if 100 * intersection >= percent * union.
 
 A set of n shingles shares at least T = ceil(percent / 100 * n) of them with any partner. Its shingles are
-lists of documents in an inverted index. DivideSkip sets the T - 2 longest lists of a query apart: a partner
-stands in at least two of the n - T + 2 short ones, which are merged by a heap that skips ids seen once,
-and then the long lists are probed by binary search until T is reached or out of reach. For this all sets
-are ordered alike: shingles by hash, but those that Spark counted most often (LONG_LISTS of them, from
+lists of documents in an inverted index. DivideSkip sets the T - k longest lists of a query apart: a partner
+stands in at least k of the n - T + k short ones, which are merged by a heap that skips ids seen too rarely,
+and then the long lists are probed by binary search until T is reached or out of reach; k is SHORT_SHARED, or T
+where that is less, and for a pair the smaller of both. For this all sets are ordered alike: shingles by hash, but those that Spark counted most often (LONG_LISTS of them, from
 counts over all texts; they steer cost, never results) last.
 
 The steps, each a Spark job over rows that are dealt by shingle or by set:
 
 1. Documents with equal sets become one node, named by a 64-bit digest of the set and its size.
 2. Every node posts its short lists. Lists with one node end here.
-3. Star round: each list's smallest node is the candidate of the list's other nodes; those found in two or more
+3. Star round: each list's smallest node is the candidate of the list's other nodes; those found in k or more
    lists are verified. This ties large groups of near copies together with a pair per node instead of all pairs.
-4. Search round: in lists with nodes of several of the components found so far, the heap merge finds for each node
-   every candidate in another component, and the probes verify them. Links inside a component change nothing,
-   so skipping them loses none. Lists travel in chunks of CHUNK nodes.
+4. Search round: nodes of lists that still hold several components are placed in blocks of about BLOCK nodes
+   that share lists. A node asks the blocks with which it shares k short lists; there the heap merge over the
+   block's inverted index finds its candidates in other components, and the probes verify them. Links inside a
+   component change nothing, so skipping them loses none, and pairs are never rows: a block returns only links
+   that tie components.
 5. Components of all links by alternating large and small stars, with written tables between rounds.
 
 Nulls: a null text has an empty set; a null doc_id gets a null component and takes no part. Rows that
@@ -28,10 +30,13 @@ repeat an id belong to one document if equal; else the id links with what any of
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +44,10 @@ from codesieve.llm.common import stored
 
 WORDS, PERCENT = 5, 80
 LONG_LISTS = 200_000
-LOCAL_REPEATS = 4
-LIST_CHUNK = 512
-TEXT_CHUNK = 4 << 20
+LOCAL_REPEATS = 3
+BLOCK = 256
+SHORT_SHARED = 8
+TEXT_CHUNK = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -88,25 +94,34 @@ def digest(s: np.ndarray) -> int:
     return int(_mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
-def _batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of about TEXT_CHUNK characters, so that a worker holds the words of one slice at a time."""
     for batch in batches:
-        size = batch["text"].str.len().fillna(0).cumsum().to_numpy() // TEXT_CHUNK
-        for _, part in batch.groupby(size, sort=False):
-            yield part
+        sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes, dtype=np.int64) // TEXT_CHUNK
+        edges = [*np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)] if len(part) else []
+        for start, end in zip(edges, edges[1:], strict=False):
+            yield batch.slice(start, end - start)
 
 
-def profiles(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of documents (doc_id, node, n) and, with a null doc_id, of shingles common in one batch (node, n = count)."""
+def _rows(names: list[str], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
 
-    def profile(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _batches(batches):
-            sets = shingle_sets(part["text"].tolist(), k)
-            yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "node": [digest(s) for s in sets], "n": [len(s) for s in sets]}).astype({"doc_id": "Int64"})
+def profiles(docs: DataFrame, k: int) -> DataFrame:
+    """Rows of documents (doc_id, node, n) and, with a null doc_id, of shingles common in one slice (node, n = count)."""
+    names = ["doc_id", "node", "n"]
+
+    def profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            sets = shingle_sets(part.column("text").to_pylist(), k)
+            nodes, sizes = (np.array([f(s) for s in sets], np.int64) for f in (digest, len))
+            yield _rows(names, part.column("doc_id"), nodes, sizes)
             seen, count = np.unique(np.concatenate(sets), return_counts=True)
             many = count >= LOCAL_REPEATS
-            yield pd.DataFrame({"doc_id": pd.array([None] * int(many.sum()), "Int64"), "node": seen[many].view(np.int64), "n": count[many]})
+            yield _rows(names, pa.nulls(int(many.sum()), pa.int64()), seen[many].view(np.int64), count[many].astype(np.int64))
 
-    return docs.select("doc_id", "text").mapInPandas(profile, "doc_id long, node long, n long")
+    return docs.select("doc_id", "text").mapInArrow(profile, "doc_id long, node long, n long")
 
 
 def _ordered(s: np.ndarray, long_lists: np.ndarray) -> np.ndarray:
@@ -121,19 +136,17 @@ def _ordered(s: np.ndarray, long_lists: np.ndarray) -> np.ndarray:
 def short_lists(docs: DataFrame, long_lists, k: int, percent: int) -> DataFrame:
     """(shingle, node, n): what each document posts."""
 
-    def post(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _batches(batches):
-            s_out, node_out, n_out = [], [], []
-            for s in shingle_sets(part["text"].tolist(), k):
-                if len(s) > 1:  # a set of one links with equal sets only
-                    short = _ordered(s, long_lists.value)[: len(s) - least_shared(len(s), percent) + 2]
-                    s_out.append(short)
-                    node_out.append(np.full(len(short), digest(s)))
-                    n_out.append(np.full(len(short), len(s)))
-            if s_out:
-                yield pd.DataFrame({"shingle": np.concatenate(s_out).view(np.int64), "node": np.concatenate(node_out), "n": np.concatenate(n_out)})
+    def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            sets = [s for s in shingle_sets(part.column("text").to_pylist(), k) if len(s) > 1]  # a set of one links with equal sets only
+            least = [least_shared(len(s), percent) for s in sets]
+            short = [_ordered(s, long_lists.value)[: len(s) - t + min(SHORT_SHARED, t)] for s, t in zip(sets, least, strict=True)]
+            if sets:
+                times = [len(s) for s in short]
+                nodes, sizes = (np.repeat(np.array([f(s) for s in sets], np.int64), times) for f in (digest, len))
+                yield _rows(["shingle", "node", "n"], np.concatenate(short).view(np.int64), nodes, sizes)
 
-    return docs.where("doc_id is not null").select("text").mapInPandas(post, "shingle long, node long, n long")
+    return docs.where("doc_id is not null").select("text").mapInArrow(post, "shingle long, node long, n long")
 
 
 def _fits(a: str, b: str, percent: int) -> str:
@@ -141,27 +154,31 @@ def _fits(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def node_sets(docs: DataFrame, nodes: DataFrame, first: DataFrame, long_lists, k: int) -> DataFrame:
+def _needed(n: str, percent: int) -> str:
+    """k: short lists that a set of n shares with any partner at least."""
+    return f"least({SHORT_SHARED}, ({n} * {percent} + 99) div 100)"
+
+
+def node_sets(docs: DataFrame, nodes: DataFrame, first: DataFrame, k: int) -> DataFrame:
     """(node, items): the sets of the nodes, sorted by hash, read again from each node's first document."""
 
-    def sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _batches(batches):
-            found = shingle_sets(part["text"].tolist(), k)
-            yield pd.DataFrame({"node": [digest(s) for s in found], "items": [s.tobytes() for s in found]})
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            found = shingle_sets(part.column("text").to_pylist(), k)
+            yield _rows(["node", "items"], np.array([digest(s) for s in found], np.int64), pa.array([s.tobytes() for s in found], pa.binary()))
 
-    wanted = first.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
+    wanted = first.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("_id"))
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id"))
-    found = rows.select("text", "_node").select("text").mapInPandas(sets, "node long, items binary")
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))
+    return rows.select("text").mapInArrow(sets, "node long, items binary")
 
 
-def merge_skip(lists: list[np.ndarray], least: int) -> list[tuple[int, int]]:
+def merge_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
     """(id, lists that hold it) for ids in at least `least` of the sorted lists, by a heap of list heads.
 
     Where fewer than `least` heads are equal, the smaller heads jump by binary search to the smallest head
     that could still be found often enough.
     """
-    heap = [(int(x[0]), i) for i, x in enumerate(lists) if len(x)]
+    heap = [(x[0], i) for i, x in enumerate(lists) if x]
     heapq.heapify(heap)
     at = [0] * len(lists)
     out = []
@@ -180,9 +197,9 @@ def merge_skip(lists: list[np.ndarray], least: int) -> list[tuple[int, int]]:
                 break
             target = heap[0][0]
         for i in popped:
-            at[i] += int(np.searchsorted(lists[i][at[i] :], target))
+            at[i] = bisect_left(lists[i], target, at[i])
             if at[i] < len(lists[i]):
-                heapq.heappush(heap, (int(lists[i][at[i]]), i))
+                heapq.heappush(heap, (lists[i][at[i]], i))
     return out
 
 
@@ -202,6 +219,10 @@ def probe(query: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return shared >= need
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link."""
 
@@ -211,26 +232,99 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("left"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("right"))
-    return pairs.join(a, "a").join(b, "b").where(linked("left", "right")).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(linked("left", "right")).select("a", "b").distinct()
+
+
+def _short(items: np.ndarray, long_lists: np.ndarray, percent: int) -> list[int]:
+    """The shingles of a set's short lists."""
+    t = least_shared(len(items), percent)
+    return _ordered(items, long_lists)[: len(items) - t + min(SHORT_SHARED, t)].tolist()
+
+
+class Block:
+    """The sets of one block of nodes with an inverted index of their short lists."""
+
+    def __init__(self, long_lists: np.ndarray, percent: int):
+        self.long_lists, self.percent = long_lists, percent
+        self.nodes: list[int] = []
+        self.parts: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.index: dict[int, list[int]] = {}
+        self.joined: dict[int, int] = {}  # components tied by links found here
+
+    def add(self, node: int, part: int, items: np.ndarray) -> None:
+        for s in _short(items, self.long_lists, self.percent):
+            self.index.setdefault(s, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.parts.append(part)
+        self.sets.append(items)
+
+    def _find(self, part: int) -> int:
+        while (up := self.joined.get(part, part)) != part:
+            part = up
+        return part
+
+    def links(self, node: int, part: int, items: np.ndarray) -> Iterator[int]:
+        """Later nodes of the block, in components not tied to this one yet, that link with the given set."""
+        n = len(items)
+        smallest = least_shared(n, self.percent)
+        least = min(SHORT_SHARED, least_shared(smallest, self.percent))
+        lists = [self.index[s] for s in _short(items, self.long_lists, self.percent) if s in self.index]
+        for i, _ in merge_skip(lists, least):
+            m = len(self.sets[i])
+            if self.nodes[i] > node and 100 * min(n, m) >= self.percent * max(n, m):
+                own, other = self._find(part), self._find(self.parts[i])
+                if own != other and probe(items, self.sets[i], self.percent):
+                    self.joined[max(own, other)] = min(own, other)
+                    yield self.nodes[i]
+
+
+def _placed(rest: DataFrame) -> DataFrame:
+    """rest (shingle, node, n, part) with the block of each node.
+
+    A node's block is that of one of its lists, a large one if it has any, cut into parts of BLOCK nodes;
+    so nodes that share lists share few blocks.
+    """
+    sizes = rest.groupBy("shingle").agg(F.count("*").alias("size"))
+    choice = F.struct((F.col("size") <= 64).alias("small"), "shingle", "size")
+    home = rest.join(sizes, "shingle").groupBy("node").agg(F.min(choice).alias("home"))
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("home.size") / BLOCK))
+    return rest.join(home.select("node", F.xxhash64("home.shingle", salt).alias("block")), "node")
 
 
-def _searched(entries: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a < b, of different components with at least two common short lists.
+def _asked(placed: DataFrame, percent: int) -> DataFrame:
+    """(node, part, block): blocks with which a node shares enough short lists, with other components in them."""
+    lists = placed.groupBy("shingle", F.col("block").alias("asked")).agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    met = placed.select("shingle", "node", "n", "part").join(lists, "shingle").where("low <> part or high <> part")
+    least = _needed(f"(n * {percent} + 99) div 100", percent)
+    counted = met.groupBy("node", "n", "part", F.col("asked").alias("block")).agg(F.count("*").alias("lists"))
+    return counted.where(f"lists >= {least}").select("node", "part", "block")
 
-    entries: shingle, node, n, part. A list's nodes are dealt into chunks; each node of the list meets every chunk.
-    """
-    n_chunks = entries.groupBy("shingle").agg(F.ceil(F.count("*") / LIST_CHUNK).cast("int").alias("n_chunks"))
-    dealt = entries.join(n_chunks, "shingle").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n_chunks")).cast("int"))
-    lists = dealt.groupBy("shingle", "chunk").agg(F.sort_array(F.collect_list(F.struct("node", "n", "part"))).alias("list"))
-    asks = dealt.select("shingle", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk"), F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-    other = F.filter("list", lambda x: (x["node"] > F.col("a")) & (x["part"] != F.col("part_a")) & (100 * F.least(x["n"], F.col("n_a")) >= percent * F.greatest(x["n"], F.col("n_a"))))
-    found = asks.join(lists, ["shingle", "chunk"]).select("a", "chunk", F.transform(other, lambda x: x["node"]).alias("nodes")).where(F.size("nodes") > 0)
 
-    @F.pandas_udf("array<long>")
-    def merged(lists: pd.Series) -> pd.Series:
-        return pd.Series([[i for i, _ in merge_skip([np.asarray(x, np.int64) for x in own], 2)] for own in lists], dtype=object)
+def _searched(placed: DataFrame, asked: DataFrame, sets: DataFrame, long_lists, percent: int) -> DataFrame:
+    """Links (a, b) between components, found block by block.
+
+    The sets of a block travel ahead of the sets that ask for it; a task holds one block and one batch.
+    """
 
-    return found.groupBy("a").agg(F.collect_list("nodes").alias("lists")).where(F.size("lists") > 1).select("a", F.explode(merged("lists")).alias("b"))
+    def search(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, block = None, None
+        for batch in batches:
+            found = []
+            for own, asks, node, part, raw in batch[["block", "asks", "node", "part", "items"]].itertuples(index=False):
+                if own != key:
+                    key, block = own, Block(long_lists.value, percent)
+                items = np.frombuffer(raw, np.uint64)
+                if asks:
+                    found += [(node, other) for other in block.links(node, part, items)]
+                else:
+                    block.add(node, part, items)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    active = asked.select("node").distinct()
+    homes = placed.select("node", "part", "block").distinct().join(active, "node").join(asked.select("block").distinct(), "block")
+    rows = homes.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True))).join(sets, "node")
+    return rows.repartition("block").sortWithinPartitions("block", "asks", "node").mapInPandas(search, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -270,16 +364,22 @@ def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     shared = posted.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("most"))
     shared = shared.where("least.node <> most").select("shingle", F.col("least.node").alias("centre"), F.col("least.n").alias("n_centre"))
     entries = stored(posted.join(shared, "shingle").distinct())
-    sets = stored(node_sets(docs, entries.select("node").distinct(), first, long_lists, k))
 
-    near = entries.where(f"node <> centre and {_fits('n', 'n_centre', percent)}").groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*").alias("lists"))
-    star = stored(_verified(near.where("lists >= 2").select("a", "b"), sets, percent))
+    near = entries.where(f"node <> centre and {_fits('n', 'n_centre', percent)}").groupBy(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "n_centre")
+    near = near.agg(F.count("*").alias("lists")).where(f"lists >= least({_needed('n', percent)}, {_needed('n_centre', percent)})")
+    near = stored(near.select("a", "b"))
+    sets = stored(node_sets(docs, _ends(near), first, k))
+    star = stored(_verified(near, sets, percent))
     parts = components(star)
 
     named = entries.join(parts, "node", "left").select("shingle", "node", "n", F.coalesce("part", "node").alias("part"))
     mixed = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("shingle")
     rest = stored(named.join(mixed, "shingle", "left_semi"))
-    more = stored(_verified(_searched(rest, percent), sets, percent))
+    placed = stored(_placed(rest))
+    asked = stored(_asked(placed, percent))
+    others = node_sets(docs, asked.select("node").distinct().join(sets.select("node"), "node", "left_anti"), first, k)
+    every = sets.unionByName(stored(others)).dropDuplicates(["node"])
+    more = stored(_searched(placed, asked, every, long_lists, percent))
     links = star.unionByName(more)
 
     # Documents reach each other through nodes; an id that several rows share ties their nodes together too.
