@@ -8,6 +8,7 @@ judge (null id) stay, as each operator's docstring says.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,29 @@ from codesieve.llm.common import stored, table, whole
 from codesieve.llm.queries import tokenizer_path
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """The stage, with columns beyond those of documents out of the way of the operators' own names."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        aside = {c: f"_extra{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        out = stage(spark, docs.withColumnsRenamed(aside), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in aside.items()})
+
+    return run_stage
+
+
+@keeps_columns
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return ngram_quality.keep_good(docs)
 
 
+@keeps_columns
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that an earlier document has; n_chars follows the text."""
     kept = line_dedup.dedup_lines(docs)
@@ -32,6 +51,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return kept.select(*docs.columns)
 
 
+@keeps_columns
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (five words, similarity 0.8 or more) the document with the smallest id.
 
@@ -42,6 +62,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+@keeps_columns
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of small sources up to twice, by temperature weights."""
     order, _ = temperature_mix.mix(docs, max_repeats=2.0)
@@ -58,7 +79,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", without_repeated_lines),
     ("ngram_join", one_of_near_copies),

@@ -106,7 +106,7 @@ def test_merge_skip_and_probe():
 
     rng = np.random.default_rng(2)
     for _ in range(200):
-        lists = [np.unique(rng.integers(0, 60, rng.integers(0, 30))) for _ in range(rng.integers(1, 8))]
+        lists = [np.unique(rng.integers(0, 60, rng.integers(0, 30))).tolist() for _ in range(rng.integers(1, 8))]
         least = int(rng.integers(1, 5))
         counts = Counter(int(x) for own in lists for x in own)
         assert ngram_join.merge_skip(lists, least) == sorted((x, n) for x, n in counts.items() if n >= least)
@@ -324,6 +324,18 @@ def test_pipeline(spark, rows, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "temperature_mix", "bpe"]
 
 
+def test_stages_keep_clashing_columns(spark, clashing, no_docs):
+    import corpus_pipeline
+
+    docs = clashing.cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        assert {r["kept"] for r in out.collect()} == {"own"}
+        assert stage(spark, no_docs, "").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
 def test_kept_hash():
     assert line_dedup.sha256_hex("é") == hashlib.sha256("é".encode()).hexdigest()
     assert os.path.exists(tokenizer_path())
