@@ -284,7 +284,9 @@ def main_text(source: str | None, reference: str | None, template: Iterable[str]
 def extract(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text) of every page."""
     pages = pages.select("page_id", "url", "html")
-    known = wrappers(pages, constant, min_pages).select(F.col("host").alias("_host"), "reference", "template")
+    # One small row per host, written so that Spark sees its size: it is broadcast if that is small and else
+    # joined by a shuffle in which a host with many pages is split.
+    known = stored(wrappers(pages, constant, min_pages)).select(F.col("host").alias("_host"), "reference", "template")
 
     @F.pandas_udf("string")
     def text(pages: pd.Series, references: pd.Series, templates: pd.Series) -> pd.Series:
