@@ -218,6 +218,7 @@ def _encoded(rows: DataFrame, path: str, decoded: bool) -> DataFrame:
                     columns.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.known.clear()  # the worker may serve other tasks next
 
     schema = T.StructType([*rows.schema, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     if decoded:

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from codesieve.llm.common import stored
 MIN_CHARS = 10
 SHARD_KEYS = 200_000
 SALTS = 16
+SLICE = 500
 SPACES = " \t\n\x0b\x0c\r"
 TO_LOWER = {c: c + 32 for c in range(65, 91)}
 KEY = ["h", "g"]
@@ -136,19 +138,20 @@ def digest(key: str) -> tuple[int, int]:
 def postings(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """(h, g, doc_id): the distinct keys of each document row that has an id."""
 
-    def keys(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["h", "g", "doc_id"]
+
+    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, gs, ids = [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                for key in {k for line in (text or "").split("\n") if len(k := line_key(line)) >= min_chars}:
-                    h, g = digest(key)
-                    hs.append(h)
-                    gs.append(g)
-                    ids.append(doc_id)
-            yield pd.DataFrame({"h": hs, "g": gs, "doc_id": ids}, dtype=np.int64)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                rows = []
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    own = {k for line in (text or "").split("\n") if len(k := line_key(line)) >= min_chars}
+                    rows += [(*digest(k), doc_id) for k in own]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 3, names)
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInPandas(keys, "h long, g long, doc_id long")
+    return rows.mapInArrow(keys, "h long, g long, doc_id long")
 
 
 def reference_counts(posted: DataFrame) -> DataFrame:

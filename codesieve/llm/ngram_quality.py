@@ -26,6 +26,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +39,10 @@ LOW, HIGH = 2.5, 11.0
 LOW_SLACK, HIGH_SLACK = 0.6, 2.5
 LEAST_SPREAD = 0.04
 MIN_WORDS = 20
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "surprise"]
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -87,11 +90,12 @@ def _keys(codes: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _chunks(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Pieces of a batch with about CHUNK characters each."""
-    size = frame["text"].str.len().cumsum().to_numpy() // CHUNK
-    for _, part in frame.groupby(size, sort=False):
-        yield part
+def _slices(texts: pa.Array) -> list[tuple[int, int]]:
+    """Ranges of about CHUNK characters each, so that a worker holds the words of one range at a time."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // CHUNK
+    edges = [*np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist(), len(part)] if len(part) else []
+    return list(zip(edges, edges[1:], strict=False))
 
 
 def _own_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -108,20 +112,21 @@ def _own_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def count_ngrams(docs: DataFrame) -> DataFrame:
     """(lang, key, n) over all characters of all texts."""
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, rows in batch.groupby("lang", sort=False):
-                seen = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-                for part in _chunks(rows):
-                    keys, n = np.unique(_own_keys(part["text"].tolist())[0], return_counts=True)
-                    seen[0].append(keys)
-                    seen[1].append(n)
-                keys, at = np.unique(np.concatenate(seen[0]), return_inverse=True)
-                n = np.bincount(at, np.concatenate(seen[1]), len(keys)).astype(np.int64)
-                yield pd.DataFrame({"lang": lang, "key": keys.astype(np.int64), "n": n})
+            seen: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+            for start, end in _slices(batch.column("text")):
+                langs, texts = (batch.column(c).slice(start, end - start).to_pylist() for c in ("lang", "text"))
+                for lang in set(langs):
+                    own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
+                    seen.setdefault(lang, []).append(np.unique(_own_keys(own)[0], return_counts=True))
+            for lang, parts in seen.items():
+                keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "key", "n"])
 
     texts = docs.select(whole(F.col("lang")).alias("lang"), "text").where("length(text) > 0")
-    parts = texts.mapInPandas(count, "lang string, key long, n long")
+    parts = texts.mapInArrow(count, "lang string, key long, n long")
     return parts.groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
@@ -214,7 +219,7 @@ def _repeat_words(hashes: np.ndarray, starts: np.ndarray, width: int = 8) -> np.
     return np.diff(np.r_[0, np.cumsum(words)][starts])
 
 
-def _base(texts: list[str]) -> pd.DataFrame:
+def _base(texts: list[str]) -> dict[str, np.ndarray]:
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     words = [b.split() for b in raw]
     n_words = np.array([len(w) for w in words], np.int64)
@@ -225,49 +230,39 @@ def _base(texts: list[str]) -> pd.DataFrame:
     for b in raw:
         lines = [x for x in b.split(b"\n") if x.strip()]
         dup.append(len(lines) - len(set(lines)))
-    return pd.DataFrame(
-        {
-            "n_words": n_words,
-            "word_chars": [len(t) - sum(map(t.count, SPACES)) for t in texts],
-            "n_symbols": [sum(map(t.count, SYMBOLS)) for t in texts],
-            "n_dup_lines": dup,
-            "n_repeat_words": _repeat_words(hashes, np.cumsum(np.r_[0, n_words])),
-        }
-    )
-
-
-def _dense(tables: dict[str, np.ndarray], models: dict[str, dict[str, np.ndarray]], lang: str) -> np.ndarray:
-    """All A**4 log-probabilities of a language, looked up once in its sorted arrays; the latest six are held."""
-    if lang not in tables:
-        while len(tables) > 5:
-            tables.pop(next(iter(tables)))
-        parts = np.array_split(np.arange(A**ORDER), 16)
-        tables[lang] = np.concatenate([log_probability(models[lang], q).astype(np.float32) for q in parts])
-    return tables[lang]
+    columns = {
+        "n_words": n_words,
+        "word_chars": [len(t) - sum(map(t.count, SPACES)) for t in texts],
+        "n_symbols": [sum(map(t.count, SYMBOLS)) for t in texts],
+        "n_dup_lines": dup,
+        "n_repeat_words": _repeat_words(hashes, np.cumsum(np.r_[0, n_words])),
+    }
+    return {name: np.array(values, np.int64) for name, values in columns.items()}
 
 
 def scored(docs: DataFrame, models: dict[str, dict[str, np.ndarray]]) -> DataFrame:
     """docs with a struct column `quality`: the base counts and surprise (nats per character, null if empty)."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    tables: dict[str, np.ndarray] = {}  # of the task at work
-
-    @F.pandas_udf(FEATURES + ", surprise double")
-    def score(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
-        frame = pd.DataFrame({"text": texts.fillna(""), "lang": langs}).reset_index(drop=True)
+    @F.arrow_udf(FEATURES + ", surprise double")
+    def score(texts: pa.Array, langs: pa.Array) -> pa.Array:
         parts = []
-        for part in _chunks(frame):
-            out = _base(part["text"].tolist()).set_index(part.index)
-            out["surprise"] = np.nan
-            for lang, rows in part.groupby("lang", sort=False):
-                if lang in shared.value:
-                    keys, starts = _own_keys(rows["text"].tolist())
-                    n = np.diff(starts)
-                    sums = _sums(_dense(tables, shared.value, lang)[keys].astype(np.float64), starts)
-                    out.loc[rows.index, "surprise"] = np.where(n > 0, -sums / np.maximum(n, 1), np.nan)
-            parts.append(out)
-        return pd.concat(parts).sort_index() if parts else pd.DataFrame(columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "surprise"])
-
+        for start, end in _slices(texts):
+            own = [t or "" for t in texts.slice(start, end - start).to_pylist()]
+            lang = np.array(langs.slice(start, end - start).to_pylist(), object)
+            out = _base(own)
+            out["surprise"] = np.full(len(own), np.nan)
+            for x in set(lang) & set(shared.value):
+                at = np.flatnonzero(lang == x)
+                keys, starts = _own_keys([own[i] for i in at])
+                n = np.diff(starts)
+                distinct, place = np.unique(keys, return_inverse=True)
+                sums = _sums(log_probability(shared.value[x], distinct.astype(np.int64))[place], starts)
+                out["surprise"][at] = np.where(n > 0, -sums / np.maximum(n, 1), np.nan)
+            parts.append(pa.StructArray.from_arrays([pa.array(c) for c in out.values()], list(out)))
+        return pa.concat_arrays(parts) if parts else pa.array([], result)
+
+    result = pa.struct([(c, pa.float64() if c == "surprise" else pa.int64()) for c in NAMES])
     return docs.withColumn("quality", score("text", whole(F.col("lang"))))
 
 
