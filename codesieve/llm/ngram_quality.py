@@ -1,19 +1,21 @@
 """Quality rules: base counts, and bands of n-gram perplexity per language.
 
-The language model is a modified Kneser-Ney model of order 4 over characters folded to an alphabet
-of `A` classes, one model per value of `lang`. Spark counts the 4-grams of all texts (every task sums
-its batches, then one sum per language and key); each language's model is then estimated from its
-counts and kept as sorted arrays of n-gram keys with log-probabilities and back-off weights, looked
-up by binary search. An alphabet of A classes bounds a language's model by A**4 keys, about 4 million,
-so the models may be broadcast whatever the size of the corpus.
-
-A document's score is its mean negative log-probability per character. A language's band is
+The language model is a modified Kneser-Ney model of order 4 over UTF-16 units as they stand, so capitals, symbols
+and letters of every script are told apart; one model per value of `lang`. Spark counts the 4-grams of all texts
+(every task sums its batches, then one sum per language and key) and estimates the model as a table of n-gram
+keys with log-probabilities, which grows with the corpus and is dealt by hash. To score, it is read as sorted arrays looked
+up by binary search: in one broadcast up to PART n-grams, else part by part (see `scored`). All scored texts
+were counted, so every n-gram is found.
+
+A document's score is the mean negative log-probability of its n-grams: that of the context, by its share of the
+language's text, times that of the last character after it. The context's part is what makes shouted or symbol-laden
+text surprising: after a few capitals the next one is not. A language's band is
 `median - low * spread` to `median + high * spread`, where the median and spread (half the distance of
 the quantiles 1/4 and 3/4, at least `least_spread`) are those of all its documents, read from a histogram of
 scores rounded to 1/1000. Scores of short texts scatter more, so for a text of n words both sides widen by
-`low_slack` and `high_slack` over the square root of n. The upper side is wide, because clean texts with
-names, numbers or quoted code are surprising too. Documents outside the band, or that fail the base rules,
-are rejected.
+`low_slack` and `high_slack` over the square root of n. The factors were chosen on the labelled documents of sf0.1
+with even ids (README has what they lose and reject). Documents outside the band, with more than MAX_SYMBOLS symbols
+per 100 words or MAX_DUP_LINES repeated lines per 100, or that fail the base rules, are rejected.
 
 Nulls: a null text has no words (it fails the base rules); a null language is a language of its own.
 Repeated rows count as often as they occur. Empty tables give empty results.
@@ -21,72 +23,51 @@ Repeated rows count as often as they occur. Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.llm.common import stored, whole
 
-A = 45
+BITS = 16
+A = 1 << BITS  # UTF-16 units
 ORDER = 4
+PART = 4_000_000
 LOW, HIGH = 2.5, 11.0
 LOW_SLACK, HIGH_SLACK = 0.6, 2.5
 LEAST_SPREAD = 0.04
 MIN_WORDS = 20
+MAX_SYMBOLS, MAX_DUP_LINES = 30, 30
 CHUNK = 1 << 20
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "surprise"]
-FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-
-
-@lru_cache(maxsize=1)
-def fold() -> np.ndarray:
-    """Class of each code point below 0x250; later ones are 43 (letters and all else)."""
-    out = np.full(0x250, 43, np.uint8)
-    groups = {"aàáâãäåæ": 28, "ç": 29, "eèéêë": 30, "iìíîï": 31, "ñ": 32, "oòóôõöøœ": 33, "uùúûü": 34, "ßýÿ": 35}
-    for c in range(0x250):
-        s = chr(c)
-        if "a" <= s <= "z":
-            out[c] = c - 96
-        elif s.isalpha() and s.lower() != s:
-            out[c] = 27
-        elif s in SPACES:
-            out[c] = 42 if s == "\n" else 0
-        elif s.isdigit():
-            out[c] = 36
-        elif c < 128:
-            out[c] = {".": 37, ",": 38, "!": 39, "?": 39}.get(s, 40 if s in SYMBOLS else 41)
-        elif not s.isalpha():
-            out[c] = 44
-    for letters, code in groups.items():
-        for s in letters:
-            if ord(s) >= 128:
-                out[ord(s)] = code
-    return out
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "surprise"]
+FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The folded characters of all texts, each behind ORDER - 1 spaces; where each text begins."""
-    pad = " " * (ORDER - 1)
-    points = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    table = fold()
-    codes = np.where(points < len(table), table[np.minimum(points, len(table) - 1)], 43).astype(np.uint32)
-    starts = np.cumsum([0] + [len(t) + ORDER - 1 for t in texts])
+    """The UTF-16 units of all texts, each behind ORDER - 1 spaces; where each text begins."""
+    pad = b" \0" * (ORDER - 1)
+    raw = [t.encode("utf-16-le", "surrogatepass") for t in texts]
+    codes = np.frombuffer(b"".join(pad + r for r in raw), np.uint16)
+    starts = np.cumsum([0] + [len(r) // 2 + ORDER - 1 for r in raw])
     return codes, starts
 
 
 def _keys(codes: np.ndarray) -> np.ndarray:
     """Key of the ORDER-gram that ends at each position; the first ORDER - 1 positions have none."""
-    keys = np.zeros(len(codes) - ORDER + 1, np.uint32)
+    n = max(0, len(codes) - ORDER + 1)
+    keys = np.zeros(n, np.uint64)
     for i in range(ORDER):
-        keys = keys * np.uint32(A) + codes[i : len(codes) - ORDER + 1 + i]
+        keys <<= np.uint64(BITS)
+        keys |= codes[i : n + i]
     return keys
 
 
@@ -99,7 +80,7 @@ def _slices(texts: pa.Array) -> list[tuple[int, int]]:
 
 
 def _own_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """4-gram keys of the texts' own characters, and where each text's keys begin."""
+    """4-gram keys (unsigned) of the texts' own characters, and where each text's keys begin."""
     codes, starts = _codes(texts)
     keys = _keys(codes)
     ends = np.diff(starts) - (ORDER - 1)
@@ -110,7 +91,7 @@ def _own_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(lang, key, n) over all characters of all texts."""
+    """(lang, key, n) over all characters of all texts; key holds the bits of the unsigned key."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +104,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
             for lang, parts in seen.items():
                 keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n)], ["lang", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n)], ["lang", "key", "n"])
 
     texts = docs.select(whole(F.col("lang")).alias("lang"), "text").where("length(text) > 0")
     parts = texts.mapInArrow(count, "lang string, key long, n long")
@@ -139,9 +120,9 @@ def _discounts(counts: np.ndarray) -> np.ndarray:
 
 
 def estimate(keys: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """Sorted arrays of the model: k{i}/p{i} n-grams and log-probabilities, c{i}/b{i} contexts and log back-offs."""
+    """The model of one language in memory (`train` is the same over tables): k{i}/p{i} n-grams and log-probabilities, c{i}/b{i} contexts and log back-offs."""
     order = np.argsort(keys)
-    levels = [(keys[order].astype(np.int64), n[order].astype(np.int64))]
+    levels = [(keys[order].astype(np.uint64), n[order].astype(np.int64))]
     for i in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts the shorter n-gram stands
         levels.append(np.unique(levels[-1][0] % A**i, return_counts=True))
     model, lower = {}, None
@@ -165,8 +146,9 @@ def log_probability(model: dict[str, np.ndarray], queries: np.ndarray, order: in
     """log P(last character | those before it), by back-off from the longest n-gram that is stored."""
     out = np.zeros(len(queries))
     open_ = np.arange(len(queries))
+    queries = queries.astype(np.uint64)
     for i in range(order, 0, -1):
-        q = queries[open_] % A**i
+        q = queries[open_] if i == ORDER else queries[open_] % A**i
         at, hit = _find(model[f"k{i}"], q)
         out[open_[hit]] += model[f"p{i}"][at[hit]]
         open_, q = open_[~hit], q[~hit]
@@ -176,18 +158,56 @@ def log_probability(model: dict[str, np.ndarray], queries: np.ndarray, order: in
     return out
 
 
-def train(docs: DataFrame) -> dict[str, dict[str, np.ndarray]]:
-    """A model per language. Only the models reach the driver: at most A**4 keys a language."""
-
-    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        model = estimate(rows["key"].to_numpy(), rows["n"].to_numpy())
-        return pd.DataFrame([(key[0], k, v.astype("<f8" if k[0] in "pb" else "<i8").tobytes()) for k, v in model.items()], columns=["lang", "name", "data"])
-
-    models: dict[str, dict[str, np.ndarray]] = {}
-    fitted = count_ngrams(docs).groupBy("lang").applyInPandas(one, "lang string, name string, data binary")
-    for lang, name, data in fitted.collect():
-        models.setdefault(lang, {})[name] = np.frombuffer(data, "<f8" if name[0] in "pb" else "<i8")
-    return models
+def _smoothed(grams: DataFrame, below: DataFrame | None, order: int) -> DataFrame:
+    """(lang, key, context_n, p): the probability of each n-gram's last character, by modified Kneser-Ney.
+
+    A context has at most A followers, which bounds the windows whatever the size of the table; they come before the join
+    by language, whose exchange would else serve them too and bring a language into one task.
+    """
+    met = [F.greatest(F.count_if(F.col("n") == i), F.lit(1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    found = grams.groupBy("lang").agg(*met)
+    for i in (1, 2, 3):
+        d = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
+        found = found.withColumn(f"d{i}", F.least(F.greatest(d, F.lit(0.05)), F.lit(float(i))))
+    found = found.select("lang", "d1", "d2", "d3")  # one small row per language
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    group = Window.partitionBy("lang", F.shiftrightunsigned("key", BITS))
+    own = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
+    rows = grams.select("*", F.sum("n").over(group).alias("context_n"), *[c.over(group).alias(f"m{i}") for i, c in enumerate(own, 1)])
+    rows = rows.join(found, "lang").withColumn("d", d).withColumn("left", sum((F.col(f"m{i}") * F.col(f"d{i}") for i in (2, 3)), F.col("m1") * F.col("d1")))
+    if below is None:
+        rows = rows.withColumn("q", F.lit(1 / A))
+    else:
+        rows = rows.withColumn("suffix", F.col("key").bitwiseAND((1 << BITS * (order - 1)) - 1))
+        rows = rows.join(below.select("lang", F.col("key").alias("suffix"), F.col("p").alias("q")), ["lang", "suffix"])
+    return rows.select("lang", "key", "context_n", ((F.col("n") - F.col("d")) / F.col("context_n") + F.col("left") / F.col("context_n") * F.col("q")).alias("p"))
+
+
+def train(docs: DataFrame) -> DataFrame:
+    """(lang, key, logp): log-probability of every n-gram of the texts, that of its context times that of its last character."""
+    grams = stored(count_ngrams(docs))
+    levels = [grams]
+    for i in range(ORDER - 1, 0, -1):  # continuation counts: in how many contexts the shorter n-gram stands
+        levels.append(levels[-1].groupBy("lang", F.col("key").bitwiseAND((1 << BITS * i) - 1).alias("key")).agg(F.count("*").alias("n")))
+    below = None
+    for i, level in enumerate(reversed(levels), 1):
+        below = _smoothed(level, below, i)
+    size = grams.groupBy("lang").agg(F.sum("n").alias("size"))
+    logp = F.log(F.col("context_n") / F.col("size")) + F.log("p")
+    return stored(below.join(size, "lang").select("lang", "key", logp.alias("logp")))
+
+
+def _arrays(model: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and their log-probabilities per language; model has at most about PART rows."""
+    rows = model.toArrow()
+    langs, keys, logp = rows["lang"].combine_chunks().dictionary_encode(), rows["key"].to_numpy(), rows["logp"].to_numpy()
+    codes, out = langs.indices.to_numpy(), {}
+    for i, lang in enumerate(langs.dictionary.to_pylist()):
+        at = np.flatnonzero(codes == i)
+        at = at[np.argsort(keys[at])]
+        out[lang] = keys[at], logp[at]
+    return out
 
 
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -226,44 +246,81 @@ def _base(texts: list[str]) -> dict[str, np.ndarray]:
     flat = np.empty(int(n_words.sum()), object)
     flat[:] = [w for ws in words for w in ws]
     hashes = pd.util.hash_array(flat, categorize=False) if len(flat) else np.empty(0, np.uint64)
-    dup = []
+    dup, n_lines = [], []
     for b in raw:
         lines = [x for x in b.split(b"\n") if x.strip()]
         dup.append(len(lines) - len(set(lines)))
+        n_lines.append(len(lines))
     columns = {
         "n_words": n_words,
         "word_chars": [len(t) - sum(map(t.count, SPACES)) for t in texts],
         "n_symbols": [sum(map(t.count, SYMBOLS)) for t in texts],
         "n_dup_lines": dup,
         "n_repeat_words": _repeat_words(hashes, np.cumsum(np.r_[0, n_words])),
+        "n_lines": n_lines,
     }
     return {name: np.array(values, np.int64) for name, values in columns.items()}
 
 
-def scored(docs: DataFrame, models: dict[str, dict[str, np.ndarray]]) -> DataFrame:
-    """docs with a struct column `quality`: the base counts and surprise (nats per character, null if empty)."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _log_sums(texts: list[str], langs: np.ndarray, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the sum of the log-probabilities of its n-grams that the model holds, and its number of n-grams."""
+    sums, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for x in set(langs):
+        at = np.flatnonzero(langs == x)
+        keys, starts = _own_keys([texts[i] for i in at])
+        sizes[at] = np.diff(starts)
+        if x in model:
+            distinct, place = np.unique(keys, return_inverse=True)
+            found, hit = _find(model[x][0], distinct.view(np.int64))
+            sums[at] = _sums(np.where(hit, model[x][1][found], 0.0)[place], starts)
+    return sums, sizes
+
 
-    @F.arrow_udf(FEATURES + ", surprise double")
-    def score(texts: pa.Array, langs: pa.Array) -> pa.Array:
+def _log_sum(shared: Broadcast) -> Callable[..., Column]:
+    @F.arrow_udf("double")
+    def log_sum(texts: pa.Array, langs: pa.Array) -> pa.Array:
         parts = []
         for start, end in _slices(texts):
             own = [t or "" for t in texts.slice(start, end - start).to_pylist()]
-            lang = np.array(langs.slice(start, end - start).to_pylist(), object)
-            out = _base(own)
-            out["surprise"] = np.full(len(own), np.nan)
-            for x in set(lang) & set(shared.value):
-                at = np.flatnonzero(lang == x)
-                keys, starts = _own_keys([own[i] for i in at])
-                n = np.diff(starts)
-                distinct, place = np.unique(keys, return_inverse=True)
-                sums = _sums(log_probability(shared.value[x], distinct.astype(np.int64))[place], starts)
-                out["surprise"][at] = np.where(n > 0, -sums / np.maximum(n, 1), np.nan)
-            parts.append(pa.StructArray.from_arrays([pa.array(c) for c in out.values()], list(out)))
-        return pa.concat_arrays(parts) if parts else pa.array([], result)
+            sums, sizes = _log_sums(own, np.array(langs.slice(start, end - start).to_pylist(), object), shared.value)
+            parts.append(pa.array(sums / np.maximum(sizes, 1)))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.float64())
 
-    result = pa.struct([(c, pa.float64() if c == "surprise" else pa.int64()) for c in NAMES])
-    return docs.withColumn("quality", score("text", whole(F.col("lang"))))
+    return log_sum
+
+
+def scored(docs: DataFrame, model: DataFrame, part: int = PART) -> DataFrame:
+    """docs with a struct column `quality`: the base counts and surprise (nats per n-gram, null if empty).
+
+    A model of up to `part` n-grams is broadcast. A larger one is dealt by hash into parts of about that size, and each
+    is broadcast for a pass of its own that adds its n-grams' share to the score of every text.
+    """
+    context = docs.sparkSession.sparkContext
+    n_parts = -(-model.count() // part) or 1
+    text, lang = whole(F.col("text")), whole(F.col("lang"))
+
+    @F.arrow_udf(FEATURES)
+    def base(texts: pa.Array) -> pa.Array:
+        parts = []
+        for start, end in _slices(texts):
+            out = _base([t or "" for t in texts.slice(start, end - start).to_pylist()])
+            parts.append(pa.StructArray.from_arrays([pa.array(c) for c in out.values()], list(out)))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([(c, pa.int64()) for c in NAMES[:-1]]))
+
+    if n_parts == 1:
+        rows = docs.withColumn("_log", _log_sum(context.broadcast(_arrays(model)))(text, lang))
+    else:
+        key = [F.xxhash64(lang, text).alias("_h1"), F.xxhash64(text, lang, F.lit(1)).alias("_h2")]
+        shares = []
+        for i in range(n_parts):
+            shared = context.broadcast(_arrays(model.where(F.pmod(F.hash("lang", "key"), F.lit(n_parts)) == i)))
+            shares.append(stored(docs.select(*key, _log_sum(shared)(text, lang).alias("_log")).dropDuplicates(["_h1", "_h2"])))
+            shared.destroy()
+        sums = reduce(DataFrame.unionByName, shares).groupBy("_h1", "_h2").agg(F.sum("_log").alias("_log"))
+        rows = docs.select("*", *key).join(stored(sums), ["_h1", "_h2"]).drop("_h1", "_h2")
+    rows = rows.withColumn("_base", base("text"))
+    surprise = F.when(F.length(text) > 0, -F.col("_log")).alias("surprise")
+    return rows.withColumn("quality", F.struct(*[F.col(f"_base.{c}").alias(c) for c in NAMES[:-1]], surprise)).drop("_base", "_log")
 
 
 def bands(rows: DataFrame, low: float = LOW, high: float = HIGH, least_spread: float = LEAST_SPREAD) -> DataFrame:
@@ -294,10 +351,10 @@ def judged_table(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs whose verdict is to keep them, with the columns of docs."""
-    own = docs.drop("quality", "base_failed", "in_band", "kept", "band_lang", "lowest", "highest")
-    models = train(docs)
-    limits = bands(stored(scored(docs.select("lang", "text"), models).select("lang", "quality")))
-    return verdicts(scored(own, models), limits).where("kept").select(*docs.columns) if set(own.columns) == set(docs.columns) else _renamed(docs)
+    own = docs.drop("quality", "base_failed", "in_band", "kept", "band_lang", "lowest", "highest", "_log", "_base", "_h1", "_h2")
+    model = train(docs)
+    limits = bands(stored(scored(docs.select("lang", "text"), model).select("lang", "quality")))
+    return verdicts(scored(own, model), limits).where("kept").select(*docs.columns) if set(own.columns) == set(docs.columns) else _renamed(docs)
 
 
 def _renamed(docs: DataFrame) -> DataFrame:

@@ -301,6 +301,26 @@ def test_junk_is_surprising(spark):
     assert sum(found[i] for i in range(200)) >= 198
 
 
+def test_unfolded_model_over_tables(spark):
+    import numpy as np
+
+    texts = ["Der Baum AM Fluss, 漢字 и буквы.", "THE TREE!! %%% ***", "😀 the tree by the river", "и буквы"] * 3 + ["the tree"]
+    docs = spark.createDataFrame([(i, "x", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    keys, n = np.unique(ngram_quality._own_keys(texts)[0], return_counts=True)
+    one = ngram_quality.estimate(keys, n)
+    share = {int(k): n[keys >> np.uint64(16) == k >> np.uint64(16)].sum() / n.sum() for k in keys}
+    true = {int(k): np.log(share[int(k)]) + p for k, p in zip(keys, ngram_quality.log_probability(one, keys), strict=True)}
+    table = ngram_quality.train(docs)
+    found = {r["key"] % 2**64: r["logp"] for r in table.collect()}
+    assert found.keys() == true.keys()
+    assert all(abs(found[k] - true[k]) < 1e-9 for k in true)
+    whole = dict(collected(ngram_quality.scored(docs, table), "doc_id", "quality.surprise"))
+    parts = dict(collected(ngram_quality.scored(docs, table, part=25), "doc_id", "quality.surprise"))
+    assert all(abs(whole[i] - parts[i]) < 1e-9 for i in range(len(texts)))
+    own = [true[int(k)] for k in ngram_quality._own_keys([texts[0]])[0]]
+    assert abs(whole[0] + np.mean(own)) < 1e-9
+
+
 # Pipeline
 
 
