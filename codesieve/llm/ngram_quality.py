@@ -40,8 +40,8 @@ BITS = 16
 A = 1 << BITS  # UTF-16 units
 ORDER = 4
 PART = 4_000_000
-LOW, HIGH = 2.5, 11.0
-LOW_SLACK, HIGH_SLACK = 0.6, 2.5
+LOW, HIGH = 4.0, 4.0
+LOW_SLACK, HIGH_SLACK = 1.0, 2.5
 LEAST_SPREAD = 0.04
 MIN_WORDS = 20
 MAX_SYMBOLS, MAX_DUP_LINES = 30, 30
@@ -339,8 +339,9 @@ def verdicts(rows: DataFrame, limits: DataFrame, min_words: int = MIN_WORDS, low
     root = F.sqrt(F.greatest(q["n_words"], F.lit(1)))
     inside = q["surprise"].between(F.col("lowest") - low_slack / root, F.col("highest") + high_slack / root)
     inside = F.coalesce(inside, F.lit(True))
+    plain = (100 * q["n_symbols"] <= MAX_SYMBOLS * q["n_words"]) & (100 * q["n_dup_lines"] <= MAX_DUP_LINES * q["n_lines"])
     joined = rows.join(limits, whole(rows["lang"]) == F.col("band_lang"), "left")
-    return joined.withColumn("base_failed", failed).withColumn("in_band", inside).withColumn("kept", ~F.col("base_failed") & F.col("in_band")).drop("band_lang", "lowest", "highest")
+    return joined.withColumn("base_failed", failed).withColumn("in_band", inside).withColumn("kept", ~F.col("base_failed") & F.col("in_band") & plain).drop("band_lang", "lowest", "highest")
 
 
 def judged_table(docs: DataFrame) -> DataFrame:

@@ -321,6 +321,24 @@ def test_unfolded_model_over_tables(spark):
     assert abs(whole[0] + np.mean(own)) < 1e-9
 
 
+@pytest.mark.parametrize("kind", ["shouted", "symbols", "table", "greek"])
+def test_kinds_of_junk_are_rejected(spark, kind):
+    """Junk of words that clean documents use, in too small a share to be usual; in a script of its own as well."""
+    import random
+
+    rng = random.Random(2)
+    ends = ["ing", "ed", "er", "tion", "ly", "s", "est", "ment"]
+    words = [a + b for a in ["riv", "ston", "peopl", "cit", "wat", "und", "ligh", "gard", "wint", "hous"] for b in ends]
+    if kind == "greek":
+        words = [w.translate(str.maketrans("abcdefghilmnoprstuvwy", "αβκδεφγηιλμνοπρστυθωξ")) for w in words]
+    clean = lambda: " ".join(rng.choice(words) for _ in range(120)) + "."
+    spoil = {"shouted": str.upper, "symbols": lambda t: t.replace(" ", "%%% "), "table": lambda t: t.replace(" ", " | "), "greek": str.upper}[kind]
+    rows = [(i, "x", clean()) for i in range(200)] + [(900 + i, "x", spoil(clean())) for i in range(8)]
+    found = dict(collected(ngram_quality.judged_table(spark.createDataFrame(rows, "doc_id long, lang string, text string")), "doc_id", "kept"))
+    assert not any(found[900 + i] for i in range(8))
+    assert sum(found[i] for i in range(200)) >= 196
+
+
 # Pipeline
 
 
