@@ -9,8 +9,9 @@ its pages (and on `min_pages` of them) is template; the others vary and are cont
 
 A page's main text is that of its varying slots, without elements that are never article text: head, nav,
 footers, asides, forms, scripts, styles and the like, headers outside an article, and elements whose class, id or
-role names a menu, sidebar, notice, advert, share bar or comments. Where the page marks its article
-(article, main or role=main), only slots inside it count. Pages whose host shows no template use the element
+role names a menu, sidebar, notice, advert, share bar or comments. Class and id do not count on html, body, main and
+article, nor on an element that holds nearly all text of the page. Where the page marks its article
+(article, main or role=main) outside such elements, only slots inside it count. Pages whose host shows no template use the element
 rules alone.
 
 Text inside a block is one line with single spaces, trimmed; blocks follow each other by one line feed.
@@ -63,26 +64,29 @@ ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 PLAIN = re.compile(r"[A-Za-z_-]+")
 CLOSES = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 CLOSED_BY = {t: [o for o in CLOSES if t in CLOSES[o]] for t in set().union(*CLOSES.values())}
+WHOLE = {"html", "body", "main", "article"}  # their class names tell of the page's state or kind, not of noise
+OUTSIDE = 0.1
 SCOPE = set("article aside body div footer form header li main nav ol section table td th ul".split())
 
 
 @lru_cache(maxsize=4096)
-def _names(attr: str) -> tuple[str, bool, bool]:
-    """(class words for the skeleton, names noise, marks the main part)."""
+def _names(attr: str) -> tuple[str, bool, bool, bool]:
+    """(class words for the skeleton, class or id names noise, role names noise, marks the main part)."""
     found = {k.lower(): (a or b or c).lower() for k, a, b, c in ATTR.findall(attr)}
     words = f"{found.get('class', '')} {found.get('id', '')}"
     shown = ".".join(sorted(w for w in found.get("class", "").split() if PLAIN.fullmatch(w)))
     role = found.get("role", "")
-    return shown, bool(NOISE.search(words)) or role in ROLES, role in ("main", "article")
+    return shown, bool(NOISE.search(words)), role in ROLES, role in ("main", "article")
 
 
 class Page:
     """One pass over the page: blocks of text with the element path (skeleton label per open element) they stand in."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[tuple[str, ...], str, bool, bool]] = []  # path, text, never article text, inside the article
-        self.has_article = False
-        stack: list[tuple[str, str, bool, bool]] = []  # tag, label, noise, article
+        # path, text, never article text, inside the article, outermost element that only its class or id calls noise (0: none)
+        self.blocks: list[tuple[tuple[str, ...], str, bool, bool, int]] = []
+        stack: list[tuple[str, str, bool, bool, int]] = []  # tag, label, noise, article, named
+        n_named = 0
         text: list[str] = []
         end = 0
         for m in TOKEN.finditer(source):
@@ -102,18 +106,31 @@ class Page:
             for open_tag in CLOSED_BY.get(tag, ()):
                 self._end_open(open_tag, stack)
             attr = m["attr"] or m["attr2"]
-            shown, noise, main = _names(attr) if attr else ("", False, False)
+            shown, named, noise, main = _names(attr) if attr else ("", False, False, False)
             article = (stack[-1][3] if stack else False) or tag in ("article", "main") or main
             noise |= (stack[-1][2] if stack else False) or tag in NEVER or (tag == "header" and not article)
-            self.has_article |= article
-            stack.append((tag, f"{tag}.{shown}" if shown else tag, noise, article))
+            place = stack[-1][4] if stack else 0
+            if named and not place and not main and tag not in WHOLE:
+                place = n_named = n_named + 1
+            stack.append((tag, f"{tag}.{shown}" if shown else tag, noise, article, place))
         if end < len(source) and not source[end:].startswith("<"):
             text.append(source[end:])
         self._flush(stack, text)
 
     def content(self) -> list[tuple[tuple[str, ...], str]]:
-        """(path, text) of the blocks that may be article text by the element rules."""
-        return [(path, line) for path, line, noise, article in self.blocks if not noise and (article or not self.has_article)]
+        """(path, text) of the blocks that may be article text by the element rules.
+
+        An element that only its class or id calls noise is kept if it holds the page's text: if what stands outside all
+        such elements is less than OUTSIDE of its own.
+        """
+        rest = [b for b in self.blocks if not b[2]]
+        sizes: dict[int, int] = {}
+        for _, line, _, _, place in rest:
+            sizes[place] = sizes.get(place, 0) + len(line)
+        kept = {place for place, n in sizes.items() if not place or sizes.get(0, 0) < OUTSIDE * n}
+        rest = [b for b in rest if b[4] in kept]
+        has_article = any(b[3] for b in rest)
+        return [(path, line) for path, line, _, article, _ in rest if article or not has_article]
 
     def _end_open(self, tag: str, stack: list) -> None:
         """An open element that the next one closes without an end tag, if no other container is between."""
@@ -142,9 +159,9 @@ class Page:
         text.clear()
         if line:
             # Inline elements are not part of a block's place.
-            path = tuple(islice((label for tag, label, _, _ in stack if tag in BLOCKS), DEPTH))
-            noise, article = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-            self.blocks.append((path, line, noise, article))
+            path = tuple(islice((label for tag, label, *_ in stack if tag in BLOCKS), DEPTH))
+            noise, article, place = stack[-1][2:] if stack else (False, False, 0)
+            self.blocks.append((path, line, noise, article, place))
 
 
 def _hash(text: str) -> int:

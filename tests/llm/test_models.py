@@ -133,3 +133,15 @@ def test_simple_tree_matching():
     assert places[("a", "c", "e")] == ("a", "c", "e")
     assert ("a", "b") not in places
     assert len(html_wrapper.Page("<div>" * 5000 + "<p>x" * 50).blocks) == 50
+
+
+def test_class_names_do_not_empty_a_page():
+    from codesieve.llm.html_wrapper import main_text
+
+    story = "<h1>Title</h1><p>The whole story.</p>"
+    teasers = "<aside><article><p>Teaser</p></article></aside>"
+    assert main_text(f"<body><div>{story}</div>{teasers}</body>", None, []) == "Title\nThe whole story."
+    assert main_text(f"<body><div>{story}</div><div class='related'><article>Teaser</article></div></body>", None, []) == "Title\nThe whole story."
+    for page in ("<body class='has-sidebar'>{}</body>", "<article class='social-post comments-open'>{}</article>", "<div class='no-sidebar'>{}</div>"):
+        assert main_text(page.format(story + "<div class='comments'>First!</div>"), None, []).startswith("Title\nThe whole story.")
+    assert main_text(f"<body class='no-sidebar'>{story}<div class='comments'>First!</div></body>", None, []) == "Title\nThe whole story."
