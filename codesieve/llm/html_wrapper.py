@@ -4,8 +4,8 @@ Every page is parsed to a DOM tree. A tree's skeleton keeps its elements (tag an
 alike siblings folded into one. The skeletons of a host are aligned with the host's reference skeleton,
 the one most of its distinct pages have (ties: the smallest), by simple tree matching: the largest
 number of node pairs that keep parents and order. Aligned text slots are compared over all pages of the host
-with different content (copies count once): a slot that holds the same text on at least `constant` of
-its pages (and on `min_pages` of them) is template; the others vary and are content.
+with different content (copies, and near copies with the same longest slot, count once): where a slot holds the same
+text on at least `constant` of its pages (and on `min_pages` of them), that text is template in it; all else is content.
 
 A page's main text is that of its varying slots, without elements that are never article text: head, nav,
 footers, asides, forms, scripts, styles and the like, headers outside an article, and elements whose class, id or
@@ -253,9 +253,9 @@ def host(url: Column) -> Column:
 
 
 def slots(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, page, slots): per text slot a hash of its texts; page is a hash of the page's content."""
+    """(host, skeleton, page, near, slots): per text slot a hash of its texts; page and near are hashes of the content and its longest slot."""
 
-    @F.pandas_udf("skeleton string, page long, slots array<struct<slot: string, text: long>>")
+    @F.pandas_udf("skeleton string, page long, near long, slots array<struct<slot: string, text: long>>")
     def read(pages: pd.Series) -> pd.DataFrame:
         out = []
         for source in pages:
@@ -263,16 +263,20 @@ def slots(pages: DataFrame) -> DataFrame:
             texts: dict[str, list[str]] = {}
             for path, line in page.content():
                 texts.setdefault(">".join(path), []).append(line)
-            found = [{"slot": s, "text": _hash("\n".join(t))} for s, t in texts.items()]
-            out.append((skeleton(path for path, _ in page.content()), _hash("\n".join(line for _, line in page.content())), found))
-        return pd.DataFrame(out, columns=["skeleton", "page", "slots"])
+            joined = {s: "\n".join(t) for s, t in texts.items()}
+            longest = max(joined.values(), key=lambda t: (len(t), t), default="")
+            found = [{"slot": s, "text": _hash(t)} for s, t in joined.items()]
+            whole_page = _hash("\n".join(line for _, line in page.content()))
+            out.append((skeleton(path for path, _ in page.content()), whole_page, _hash(longest), found))
+        return pd.DataFrame(out, columns=["skeleton", "page", "near", "slots"])
 
     return pages.where("length(html) > 0").select(host(F.col("url")).alias("host"), read("html").alias("r")).select("host", "r.*")
 
 
 def wrappers(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, reference, template): the reference skeleton and the paths in it whose text is constant."""
-    read = stored(slots(pages).dropDuplicates(["host", "page"]))
+    """(host, reference, template): the reference skeleton, and the paths in it with the hash of their constant text (`place`)."""
+    once = slots(pages).groupBy("host", "near").agg(F.min_by(F.struct("skeleton", "slots"), F.struct("page", "skeleton")).alias("r"))
+    read = stored(once.select("host", "r.*"))
     shapes = read.groupBy("host", "skeleton").agg(F.count("*").alias("n"))
     reference = shapes.groupBy("host").agg(F.min_by("skeleton", F.struct(-F.col("n"), F.col("skeleton"))).alias("reference"))
 
@@ -284,9 +288,9 @@ def wrappers(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_
     each = read.join(places, ["host", "skeleton"]).select("host", "places", F.explode("slots").alias("s"))
     each = each.select("host", F.element_at("places", F.col("s.slot")).alias("slot"), F.col("s.text").alias("text")).where("slot is not null")
     counts = each.groupBy("host", "slot", "text").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("host", "slot").agg(F.sum("n").alias("total"), F.max("n").alias("most"))
+    totals = counts.groupBy("host", "slot").agg(F.sum("n").alias("total"), F.max("n").alias("most"), F.max_by("text", "n").alias("text"))
     fixed = totals.where((F.col("most") >= min_pages) & (F.col("most") >= constant * F.col("total")))
-    template = fixed.groupBy("host").agg(F.collect_set("slot").alias("template"))
+    template = fixed.groupBy("host").agg(F.collect_set(F.concat_ws("=", "slot", "text")).alias("template"))
     return reference.join(template, "host", "left").select("host", "reference", F.coalesce("template", F.array().cast("array<string>")).alias("template"))
 
 
@@ -295,7 +299,15 @@ def main_text(source: str | None, reference: str | None, template: Iterable[str]
     content = Page(source or "").content()
     fixed = set(template)
     places = aligned(skeleton(path for path, _ in content), reference) if fixed and reference else {}
-    return "\n".join(line for path, line in content if ">".join(places.get(path, ("",))) not in fixed)
+    texts: dict[tuple[str, ...], list[str]] = {}
+    for path, line in content if places else ():
+        texts.setdefault(path, []).append(line)
+    gone = {path for path, lines in texts.items() if path in places and place(places[path], lines) in fixed}
+    return "\n".join(line for path, line in content if path not in gone)
+
+
+def place(path: tuple[str, ...], lines: list[str]) -> str:
+    return f"{'>'.join(path)}={_hash(chr(10).join(lines))}"
 
 
 def extract(pages: DataFrame, constant: float = CONSTANT, min_pages: int = MIN_PAGES) -> DataFrame:

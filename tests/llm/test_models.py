@@ -145,3 +145,21 @@ def test_class_names_do_not_empty_a_page():
     for page in ("<body class='has-sidebar'>{}</body>", "<article class='social-post comments-open'>{}</article>", "<div class='no-sidebar'>{}</div>"):
         assert main_text(page.format(story + "<div class='comments'>First!</div>"), None, []).startswith("Title\nThe whole story.")
     assert main_text(f"<body class='no-sidebar'>{story}<div class='comments'>First!</div></body>", None, []) == "Title\nThe whole story."
+
+
+def test_near_copies_and_other_texts_are_no_template(spark):
+    from codesieve.llm import html_wrapper
+
+    page = "<body><div class='top'>The Site</div><h1>{}</h1><div class='story'><p>{}</p></div><div class='date'>{}</div></body>"
+    body = "A story that very many pages of this host hold word for word."
+    near = [(i, "http://a.example/x", page.format("Same headline", body, f"Day {i}")) for i in range(60)]
+    others = [(100 + i, "http://a.example/y", page.format(f"Headline {i}", f"Story number {i} is told only here, and at length.", "Day")) for i in range(8)]
+    table = spark.createDataFrame(near + others, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html_wrapper.extract(table).collect()}
+    assert all(f"Same headline\n{body}" in found[i] for i in range(60))
+    assert all(f"Headline {i}\nStory number {i} is" in found[100 + i] for i in range(8))
+    assert not any("The Site" in text for text in found.values())
+    reference = html_wrapper.skeleton(path for path, _ in html_wrapper.Page(page).content())
+    fixed = [html_wrapper.place(("body", "h1"), ["Same headline"])]
+    assert "Same headline" not in html_wrapper.main_text(near[0][2], reference, fixed)
+    assert "Headline 3" in html_wrapper.main_text(others[3][2], reference, fixed)
