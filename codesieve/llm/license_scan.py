@@ -1,7 +1,8 @@
 """License scan: base phrases, and an exact set-similarity join of text blocks with license templates.
 
 Words are runs of `[0-9a-z]` and of characters beyond ASCII, after A-Z are lower-cased. A block is a line
-with its set of words. A block matches a template if it holds at least `threshold` of the template's
+with its set of words; so that a notice over several lines is found, in a text of several lines also every run of
+twice as many words as the longest template has, begun at each multiple of that length. A block matches a template if it holds at least `threshold` of the template's
 distinct words. The join is exact and looks at few blocks:
 
 * Spark counts in how many blocks each template word occurs; template words are ordered from rare to
@@ -89,11 +90,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
     return out.withColumn("_base", labels).withColumn("base_labels", F.array_join(F.array_sort("_base"), ",")).drop("_low", "_words", *places)
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, _k, found): per line with template words, those words; _k tells rows of one id apart."""
-    lines = docs.select("doc_id", "_k", F.explode(F.split(whole(F.col("text")), "\n", -1)).alias("line"))
-    found = F.array_intersect(words_of(F.col("line")), F.array(*[F.lit(w) for w in vocabulary]))
-    return lines.select("doc_id", "_k", found.alias("found")).where(F.size("found") > 0)
+def blocks(docs: DataFrame, vocabulary: list[str], longest: int) -> DataFrame:
+    """(doc_id, _k, found): per block with template words, those words; _k tells rows of one id apart."""
+    lines = docs.select("doc_id", "_k", F.explode(F.split(whole(F.col("text")), "\n", -1)).alias("line")).select("doc_id", "_k", words_of(F.col("line")).alias("words"))
+    wrapped = docs.where("instr(text, '\n') > 0").select("doc_id", "_k", words_of(F.col("text")).alias("all"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("all"), F.lit(1)), F.lit(longest))
+    runs = wrapped.select("doc_id", "_k", F.explode(F.transform(starts, lambda i: F.slice("all", i, 2 * longest))).alias("words"))
+    found = F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]))
+    return lines.unionByName(runs).select("doc_id", "_k", found.alias("found")).where(F.size("found") > 0)
 
 
 def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -101,7 +105,7 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thres
     sets = [template_words(text) for _, text in templates]
     vocabulary = sorted({w for s in sets for w in s})
     least = min(required(len(s), threshold) for s in sets)
-    found = stored(blocks(docs, vocabulary))  # read twice: for the counts and for the join
+    found = stored(blocks(docs, vocabulary, max(len(re.findall("[0-9A-Za-z]+", text)) for _, text in templates)))  # read twice: for the counts and for the join
     counted = found.select(F.explode("found").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = {r["word"]: r["n"] for r in counted.collect()}  # at most one row per template word
     ordered = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))

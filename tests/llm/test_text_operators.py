@@ -174,6 +174,18 @@ def test_license_join_equals_all_pairs(docs, rows, spark):
     assert set(found) == set(true)
 
 
+@pytest.mark.parametrize(("width", "prefix"), [(30, ""), (60, "# "), (40, " * ")])
+def test_wrapped_licenses(spark, width, prefix):
+    import textwrap
+
+    texts = ["code\n" + "\n".join(prefix + x for x in textwrap.wrap(t, width)) + "\nmore" for _, t in license_scan.TEMPLATES]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    for i, (label, _) in enumerate(license_scan.TEMPLATES):
+        assert label in found[i]["labels"].split(",")
+        assert found[i]["score"] == 1.0
+
+
 # Temperature mixing
 
 
