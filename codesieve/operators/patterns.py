@@ -20,8 +20,11 @@ from codesieve.functions import regex as R
 from codesieve.functions import text as X
 from codesieve.functions.arrays import computed
 from codesieve.functions.literals import quote
+from codesieve.operators.rule_tables import TablePart, table_parts
 from codesieve.schemas import SPANS
 
+# Rule tables of more patterns are matched by an automaton.
+LITERAL_PATTERNS = 200
 # Patterns unrolled into one projection. More patterns mean more passes, never fewer patterns.
 BLOCK = 200
 
@@ -78,11 +81,16 @@ def shipped_patterns() -> list[Pattern]:
     ]
 
 
+def compiled_rules(rules: DataFrame) -> list:
+    """The rules as literal patterns of the plan; a table of more than LITERAL_PATTERNS patterns as parts of an automaton."""
+    n = rules.where("rule_type = 'regex'").agg(F.sum(F.size("patterns"))).first()[0] or 0
+    return rule_patterns(rules) if n <= LITERAL_PATTERNS else table_parts(rules, PHASE_RULES)
+
+
 def rule_patterns(rules: DataFrame) -> list[Pattern]:
     """Usable patterns of the regex rules, in load order. Bad patterns are left out.
 
-    A rule set is configuration: it is read as a stream of rows and becomes part of the plan, so it
-    should stay within some thousands of patterns.
+    The patterns become part of the plan: for small rule sets, see `compiled_rules`.
     """
     rows = (
         rules.where(F.col("rule_type") == "regex")
@@ -197,12 +205,21 @@ def _describe(hits: DataFrame, patterns: list[Pattern]) -> DataFrame:
     return hits.withColumn("r", F.get(table, F.col("rule"))).select(*kept, "r.*")
 
 
-def first_matches(lines: DataFrame, patterns: list[Pattern]) -> DataFrame:
+def _part_matches(lines: DataFrame, part: TablePart) -> DataFrame:
+    own = ["pattern_ord", "match_ord", "column", "phase", "rule_ord", "rule_id", "severity", "message", "category", "confidence"]
+    hits = lines.select(*lines.columns, F.explode(computed(part.hits(F.array("line"), F.col("language")))).alias("hit"))
+    return hits.select(*lines.columns, *[F.col(f"hit.{c}").alias(c) for c in own])
+
+
+def first_matches(lines: DataFrame, patterns: list) -> DataFrame:
     """The finding each rule keeps on each line: its first pattern in list order that hits.
 
-    This is the part of keep-first de-duplication that needs no other row.
+    This is the part of keep-first de-duplication that needs no other row. `patterns` has literal patterns and parts of
+    rule tables; each part is a pass.
     """
-    outputs, fast, hits = [], [p for p in patterns if p.on_jvm], []
+    outputs = [_part_matches(lines, p) for p in patterns if isinstance(p, TablePart)]
+    patterns = [p for p in patterns if isinstance(p, Pattern)]
+    fast, hits = [p for p in patterns if p.on_jvm], []
     for i, rule in enumerate(_rules_of(fast)):
         whens = " ".join(
             f"WHEN {_test(p)} THEN struct({i} AS rule, {p.pattern_ord} AS pattern_ord, "

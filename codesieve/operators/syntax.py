@@ -158,13 +158,15 @@ def _findings_of(f: Column, tainted: Column) -> Column:
     ).cast(ArrayType(SYNTAX_FINDING))
 
 
+def found_in() -> Column:
+    """All findings of the columns `facts` and `flags` as one array."""
+    return F.flatten(F.transform("facts", lambda f, i: _findings_of(f, F.get(F.col("flags"), i))))
+
+
 def detect(facts: DataFrame) -> DataFrame:
     """(project_id, path, lines, found): all findings of a file as one sorted array."""
-    found = F.flatten(
-        F.transform("facts", lambda f, i: _findings_of(f, F.get(F.col("flags"), i)))
-    )
     return with_taint(facts).select(
-        "project_id", "path", "lines", "flags", F.array_sort(found).alias("found")
+        "project_id", "path", "lines", "flags", F.array_sort(found_in()).alias("found")
     ).drop("flags")
 
 
@@ -217,12 +219,18 @@ def syntax_findings(facts: DataFrame) -> DataFrame:
     )
 
 
-def fact_errors(facts: DataFrame) -> DataFrame:
-    """Files whose syntax could not be followed (too deep for the parser), and failures while following it."""
-    failed = F.format_string(vocab.MSG_ANALYSIS_ERROR, F.col("text"))
-    return facts_table(facts).where("kind in ('aborted', 'error')").select(
-        "project_id",
-        "path",
-        F.when(F.col("kind") == "error", "analysis_error").otherwise("syntax_aborted").alias("reason"),
-        F.when(F.col("kind") == "error", failed).otherwise(F.col("text")).alias("message"),
+def problem_of(f: Column) -> Column:
+    """(reason, message) of a fact that tells of a file that could not be followed (too deep for the
+    parser), or of a failure while following it."""
+    failed = f["kind"] == "error"
+    return F.struct(
+        F.when(failed, "analysis_error").otherwise("syntax_aborted").alias("reason"),
+        F.when(failed, F.format_string(vocab.MSG_ANALYSIS_ERROR, f["text"])).otherwise(f["text"]).alias("message"),
     )
+
+
+def fact_errors(facts: DataFrame) -> DataFrame:
+    """Error rows of files whose syntax could not be followed."""
+    troubles = F.filter("facts", lambda f: f["kind"].isin("aborted", "error"))
+    rows = facts.select("project_id", "path", F.explode(F.transform(troubles, problem_of)).alias("p"))
+    return rows.select("project_id", "path", "p.reason", "p.message")

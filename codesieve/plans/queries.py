@@ -55,7 +55,7 @@ def scan_findings(spark, sf_dir):
     """De-duplicated findings of a full scan of the corpus."""
     files = C.corpus(spark, sf_dir)
     kept, _ = SCAN.split_oversize(SCAN.discover(files))
-    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules()))
+    return SCAN.findings_of(kept, SCAN.compile_rules())
 
 
 def by_file(findings):
@@ -583,7 +583,7 @@ def findings_all_files(spark, sf_dir):
     """Line patterns over all text files whose language a rule targets."""
     files = C.corpus(spark, sf_dir)
     kept, _ = SCAN.split_oversize(SCAN.discover(files, extensions=[".py", ".pyw", ".js"]))
-    return FD.dedup(SCAN.detect(kept, SCAN.compile_rules())).select(*FOUND)
+    return SCAN.findings_of(kept, SCAN.compile_rules()).select(*FOUND)
 
 
 @query

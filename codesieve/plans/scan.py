@@ -8,32 +8,34 @@ from pyspark.sql import functions as F
 from codesieve import vocab
 from codesieve.functions import paths as P
 from codesieve.operators import detectors as D
+from codesieve.operators import file_pass as FP
 from codesieve.operators import findings as FD
 from codesieve.operators import inventory as I
 from codesieve.operators import lines as L
 from codesieve.operators import options as O
 from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
-from codesieve.operators import syntax as SY
-from codesieve.operators.patterns import Pattern, builtin_patterns, rule_patterns, shipped_patterns
+from codesieve.operators.patterns import builtin_patterns, compiled_rules, shipped_patterns
+from codesieve.operators.rule_tables import TablePart
 from codesieve.sources import files as FS
 from codesieve.sources.rules import shipped_rules
 
 
 # Project profiles up to this size travel to the files; larger ones are joined by a shuffle.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES, BROADCAST_ROWS = 64 * 1024 * 1024, 100_000
 
 
-def _with_profiles(files: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Files with the profile of their project.
+def measured(profiles: DataFrame) -> DataFrame:
+    """Profiles with a hint to broadcast them if they are few, else as they are.
 
     The estimate of an aggregated table is as large as its input, so left alone Spark would
-    shuffle the source text before it learns that the profiles are few. Their size is
-    measured first, which reads paths only.
+    shuffle the source text before it learns that the profiles are few. They are measured first,
+    which reads paths only; few profiles are then a constant table, so that no later plan computes them again.
     """
-    size = profiles.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
-    small = (size or 0) <= BROADCAST_BYTES
-    return files.join(F.broadcast(profiles) if small else profiles, "project_id")
+    rows = profiles.limit(BROADCAST_ROWS + 1).toArrow()
+    if rows.num_rows > BROADCAST_ROWS or rows.nbytes > BROADCAST_BYTES:
+        return profiles
+    return F.broadcast(profiles.sparkSession.createDataFrame(rows, profiles.schema))
 
 
 def discover(
@@ -42,12 +44,13 @@ def discover(
     extensions: list[str] | None = None,
     exclusion_mode: str = "substring",
     profiles: DataFrame | None = None,
+    is_measured: bool = False,
 ) -> DataFrame:
     """Files a scan looks at, with their language and the size limit of their project.
 
     Project profiles have one row per project, and may name `excluded_paths` of their own.
     They are broadcast when their measured size allows it; beyond that the files are shuffled
-    by project, and AQE splits a huge project.
+    by project, and AQE splits a huge project. `is_measured`: profiles come from `measured`.
     """
     profiles = I.detect_languages(files) if profiles is None else profiles
     limits = ["max_file_size_mb", "max_depth"]
@@ -58,6 +61,8 @@ def discover(
     # A project without a row or a value of its own has the default.
     defaults = {n: F.coalesce(n, F.lit(vocab.OPTION_BOUNDS[n][2]).cast("double")) for n in limits}
     profiles = profiles.withColumns(defaults)
+    if options is not None or not is_measured:
+        profiles = measured(profiles)
     wanted = extensions or vocab.INCLUDED_EXTENSIONS
     by_path = (
         P.extension(F.col("path")).isin(*wanted) & ~I.default_excluded(F.col("path"))
@@ -67,7 +72,7 @@ def discover(
         own = I.custom_excluded(F.col("path"), F.col("excluded_paths"), exclusion_mode)
         exclusion = exclusion | F.coalesce(own, F.lit(False))
     return (
-        _with_profiles(files.where(by_path), profiles)
+        files.where(by_path).join(profiles, "project_id")
         .where(I.included(F.col("path"), F.col("target_languages"), exclusion, wanted))
         .where(I.within_depth(F.col("path"), F.col("max_depth")))
         .withColumn("language", P.language(F.col("path")))
@@ -81,13 +86,28 @@ def split_oversize(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return kept.drop("max_file_size_mb"), errors
 
 
-def compile_rules(rules: DataFrame | None = None) -> list[Pattern]:
+def compile_rules(rules: DataFrame | None = None) -> list:
     """Built-in patterns, then those of the rules (of the packaged rules if none are given)."""
-    return builtin_patterns() + (shipped_patterns() if rules is None else rule_patterns(rules))
+    return builtin_patterns() + (shipped_patterns() if rules is None else compiled_rules(rules))
+
+
+def one_pass(patterns: list, detectors: tuple) -> bool:
+    """Whether all detectors are known to the pass over files, with at most one part of a rule table to hold."""
+    return set(detectors) <= set(D.DEFAULT) and sum(isinstance(p, TablePart) for p in patterns) <= 1
+
+
+def findings_of(files: DataFrame, patterns: list, detectors: tuple = D.DEFAULT, keep: str = "first") -> DataFrame:
+    """De-duplicated findings: in one pass over the files, or by a shuffle of the findings of several passes.
+
+    (project_id, path) names a file once.
+    """
+    if one_pass(patterns, detectors):
+        return FP.findings_of(FP.analyze(files, patterns, tuple(d.name for d in detectors), keep))
+    return FD.dedup(detect(files, patterns, detectors), keep)
 
 
 def detect(
-    files: DataFrame, patterns: list[Pattern], detectors: tuple = D.DEFAULT
+    files: DataFrame, patterns: list, detectors: tuple = D.DEFAULT
 ) -> DataFrame:
     """All findings of all detectors, before de-duplication."""
     parts = []
@@ -128,11 +148,14 @@ def scan_stats(
             F.sum("n_newlines").alias("total_lines_scanned"),
         )
     )
+    return _stats_of(applied, counted.join(SC.rules_triggered(findings), "project_id", "left"), skipped)
+
+
+def _stats_of(applied: DataFrame, counted: DataFrame, skipped: DataFrame) -> DataFrame:
     skipped = skipped.groupBy("project_id").agg(F.count("*").alias("files_skipped"))
     return (
         applied.join(counted, "project_id", "left")
         .join(skipped, "project_id", "left")
-        .join(SC.rules_triggered(findings), "project_id", "left")
         .fillna(0)
         .select(
             "project_id",
@@ -155,14 +178,7 @@ def rules_applied(profiles: DataFrame, rules: DataFrame) -> DataFrame:
 
 def fact_problems(kept: DataFrame) -> DataFrame:
     """Error rows of kept files whose content is missing or whose syntax could not be followed."""
-    missing = kept.where(F.col("content").isNull()).select(
-        "project_id",
-        "path",
-        F.lit("unreadable").alias("reason"),
-        F.concat("path", F.lit(": no content")).alias("message"),
-    )
-    python = kept.where((F.col("language") == "python") & F.col("content").isNotNull())
-    return missing.unionByName(SY.fact_errors(SY.extract_facts(python)))
+    return FP.problems_of(FP.analyze(kept, [], (D.PYTHON_SYNTAX.name,)))
 
 
 def file_accounting(files: DataFrame, found: DataFrame, skipped: DataFrame, errors: DataFrame) -> DataFrame:
@@ -215,11 +231,11 @@ class Scan:
         listing: DataFrame | None = None,
     ):
         """`listing` has all files without content, where `files` has only those worth opening."""
-        self.keep, self.policy, self.detectors = keep, policy, detectors
+        self.keep, self.policy, self.detectors, self.written = keep, policy, detectors, False
         self.rules = rules
         self.files = files if listing is None else listing
-        self.profiles = I.detect_languages(self.files) if profiles is None else profiles
-        how = (options, extensions, exclusion_mode, self.profiles)
+        self.profiles = measured(I.detect_languages(self.files) if profiles is None else profiles)
+        how = (options, extensions, exclusion_mode, self.profiles, True)
         opened = discover(files, *how)
         self.found = opened if listing is None else discover(listing, *how)
         within, self.oversize = split_oversize(opened)
@@ -232,10 +248,13 @@ class Scan:
             self.unknown.select("project_id", "path")
         )
 
+    @cached_property
+    def patterns(self) -> list:
+        return compile_rules(self.rules)
+
     @cached_property
     def findings(self) -> DataFrame:
-        raw = detect(self.kept, compile_rules(self.rules), self.detectors)
-        found = FD.dedup(raw, self.keep)
+        found = findings_of(self.kept, self.patterns, self.detectors, self.keep)
         return FD.apply_policy(found, **self.policy) if self.policy else found
 
     @cached_property
@@ -262,13 +281,17 @@ class Scan:
     def stats(self) -> DataFrame:
         rules = self.rules if self.rules is not None else shipped_rules(self.files.sparkSession)
         applied = rules_applied(self.profiles, rules)
-        return scan_stats(self.kept, self.skipped, self.findings, applied)
+        if self.policy or self.written or not one_pass(self.patterns, self.detectors):
+            return scan_stats(self.kept, self.skipped, self.findings, applied)
+        analyzed = FP.analyze(self.kept, self.patterns, tuple(d.name for d in self.detectors), self.keep)
+        return _stats_of(applied, FP.counts_of(analyzed), self.skipped)
 
     def write(self, path: str) -> "Scan":
         self.findings.write.mode("overwrite").parquet(path)
         for name in ("summary", "stats"):
             self.__dict__.pop(name, None)
         self.findings = self.files.sparkSession.read.parquet(path)
+        self.written = True
         return self
 
 

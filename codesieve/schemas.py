@@ -158,4 +158,20 @@ SYNTAX_FINDING = struct(
     category=TEXT,
     has_line=FLAG,
 )
+# A finding before de-duplication, inside the row of its file; the first fields are its order.
+CANDIDATE = struct(
+    line_number=INT,
+    rule_id=TEXT,
+    phase=INT,
+    rule_ord=INT,
+    pattern_ord=INT,
+    match_ord=INT,
+    column=INT,
+    severity=TEXT,
+    message=TEXT,
+    category=TEXT,
+    confidence=DOUBLE,
+    has_line=FLAG,
+)
+CANDIDATES = T.ArrayType(CANDIDATE)
 SPANS = T.ArrayType(struct(start=INT, stop=INT, matched_text=TEXT))

@@ -10,10 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from codesieve.operators import detectors as D
-from codesieve.operators import findings as FD
 from codesieve.operators import scoring as SC
-from codesieve.operators.patterns import Pattern
-from codesieve.plans.scan import detect, discover, fact_problems, known_language, split_oversize
+from codesieve.plans.scan import discover, fact_problems, findings_of, known_language, split_oversize
 from codesieve.schemas import BINARY_FILE
 from codesieve.sources.files import spread, to_files
 
@@ -44,7 +42,7 @@ def stream_files(
 
 def scan_increment(
     files: DataFrame,
-    patterns: list[Pattern],
+    patterns: list,
     out: str,
     detectors: tuple = D.DEFAULT,
     profiles: DataFrame | None = None,
@@ -65,7 +63,7 @@ def scan_increment(
         within, oversize = split_oversize(found)
         kept = within.where(known_language())
         oversize.unionByName(fact_problems(kept)).write.mode("overwrite").parquet(f"{out}/errors/batch={batch_id}")
-        findings = FD.dedup(detect(kept, patterns, detectors))
+        findings = findings_of(kept, patterns, detectors)
         target = f"{out}/findings/batch={batch_id}"
         findings.write.mode("overwrite").parquet(target)
         written = batch.sparkSession.read.parquet(target)
