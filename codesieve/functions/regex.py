@@ -24,8 +24,10 @@ _EXTRA_BLANKS = "\\x1c-\\x1f"
 _NAMED = re.compile(r"\(\?P=(\w+)\)")
 
 
-def pattern_error(pattern: str) -> str | None:
+def pattern_error(pattern: str | None) -> str | None:
     """Why a pattern cannot be used, or None."""
+    if pattern is None:
+        return "no pattern"
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions import text as X
+from codesieve.functions.arrays import computed
+from codesieve.functions.sizes import broadcast_if_small
+
+# Wanted lines up to this size travel to the files; for more of them the files are shuffled.
+WANTED_ROWS, WANTED_BYTES = 1_000_000, 64 * 1024 * 1024
 
 
 def with_text(files: DataFrame) -> DataFrame:
@@ -37,25 +42,19 @@ def line_counts(files: DataFrame, *keep: str) -> DataFrame:
 def lookup_lines(files: DataFrame, wanted: DataFrame) -> DataFrame:
     """Raw and stripped text of the wanted (project_id, path, line_number) rows; '' if missing.
 
-    Only distinct line numbers of each file travel; a file row meets them once.
+    The wanted rows of a file travel to it as one small row, so that text stays where it is. Rows whose
+    file does not exist are found by paths alone.
     """
-    found = _per_file(files, wanted).select(
-        "project_id",
-        "path",
-        F.explode(
-            F.transform(
-                "numbers",
-                lambda n: F.struct(
-                    n.alias("line_number"), F.get(F.col("lines"), n - 1).alias("line")
-                ),
-            )
-        ).alias("hit"),
-    )
-    keys = ["project_id", "path", "line_number"]
-    line = F.coalesce("line", F.lit(""))
+    keys, own = ["project_id", "path"], [c for c in wanted.columns if c not in ("project_id", "path")]
+    asked = _asked(wanted, F.collect_list(F.struct(*own)).alias("asked"))
+    line = lambda r: F.struct(*[r[c].alias(c) for c in own], F.get(F.col("lines"), r["line_number"] - 1).alias("line"))
+    met = with_text(files.select(*keys, "content").join(asked, keys)).withColumn("lines", X.split_lines(F.col("text")))
+    found = met.select(*keys, F.explode(computed(F.transform("asked", line))).alias("r")).select(*keys, "r.*")
+    there = files.select(*keys).join(asked.select(*keys), keys).distinct()
+    lost = asked.join(there, keys, "left_anti").select(*keys, F.explode("asked").alias("r")).select(*keys, "r.*")
     return (
-        wanted.join(found.select("project_id", "path", "hit.*"), keys, "left")
-        .withColumn("line", line)
+        found.unionByName(lost.withColumn("line", F.lit("")))
+        .select(*wanted.columns, F.coalesce("line", F.lit("")).alias("line"))
         .withColumn("stripped", X.strip(F.col("line")))
     )
 
@@ -92,11 +91,16 @@ def _per_file(files: DataFrame, wanted: DataFrame) -> DataFrame:
 
     The numbers of one file are at most its line count, so the group is bounded by the file.
     """
-    numbers = wanted.groupBy("project_id", "path").agg(
-        F.collect_set("line_number").alias("numbers")
-    )
+    numbers = _asked(wanted, F.collect_set("line_number").alias("numbers"))
     return with_text(files.select("project_id", "path", "content").join(
         numbers, ["project_id", "path"]
     )).withColumn("lines", X.split_lines(F.col("text"))).select(
         "project_id", "path", "numbers", "lines", F.size("lines").alias("n_lines")
     )
+
+
+def _asked(wanted: DataFrame, what: F.Column) -> DataFrame:
+    """One row per file of what is wanted of it, with a hint to broadcast it if it is measured to be small."""
+    asked = wanted.groupBy("project_id", "path").agg(what)
+    small = broadcast_if_small(asked, WANTED_ROWS, WANTED_BYTES)
+    return asked if small is None else small

@@ -136,7 +136,7 @@ def pattern_table(rules: DataFrame) -> DataFrame:
     def check(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts.to_pylist():
-            error = "no pattern" if text is None else R.pattern_error(text)
+            error = R.pattern_error(text)
             out.append({"error": error, "words": [] if error else list(R.anchors(text))})
         return pa.array(out, _ARROW_CHECKED)
 

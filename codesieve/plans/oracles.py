@@ -1,7 +1,9 @@
 """DuckDB statements that say in SQL what the queries of `queries.py` return."""
 
 from codesieve import packs, vocab
+from codesieve.functions.text import BLANKS
 from codesieve.plans.corpus import DIRECTORIES, SUFFIXES, with_corpus
+from codesieve.plans.queries import SYLLABLES
 
 ORACLES: dict[str, str] = {}
 
@@ -447,6 +449,26 @@ docline AS MATERIALIZED (
 ORACLES["secret_hits_documents"] = (
     f"WITH {DOC_LINES}, hit AS ({hits(BUILTIN + SHIPPED, 'docline')}) {FIRST}"
 )
+ORACLES["rule_table_hits"] = f"""WITH {DOC_LINES},
+part_words AS (
+  SELECT p_partkey AS k, list_transform([0, 1, 2], lambda i: string_split('{" ".join(SYLLABLES)}', ' ')[(p_partkey // pow(24, i)::BIGINT) % 24 + 1]) AS s
+  FROM part
+), word AS (
+  SELECT k, 0 AS pattern_ord, CASE WHEN k % 7 = 0 THEN upper(s[1][1]) || s[1][2:] ELSE s[1] END || s[2] || s[3] AS w FROM part_words WHERE k % 13 <> 0
+  UNION ALL SELECT k, 1, s[2] || s[1] || s[3] FROM part_words
+), clean AS (
+  SELECT *, ' ' || regexp_replace(line, '[^\\p{{L}}\\p{{N}}_]', ' ', 'g') || ' ' AS words FROM docline
+), token AS (
+  SELECT DISTINCT project_id, path, line_number, unnest(string_split(words, ' ')) AS t FROM clean
+), hit AS (
+  SELECT project_id, path, line_number, k, pattern_ord, t FROM token JOIN word ON t = w AND k % 7 = 0 WHERE t <> '' AND k % 5 <> 0 AND k % 11 <> 0
+  UNION ALL
+  SELECT DISTINCT project_id, path, line_number, k, pattern_ord, lower(t) FROM token JOIN word ON lower(t) = w AND k % 7 <> 0 WHERE t <> '' AND k % 5 <> 0 AND k % 11 <> 0
+)
+SELECT project_id, path AS file_path, line_number, strpos(CASE WHEN k % 7 = 0 THEN words ELSE lower(words) END, ' ' || t || ' ')::INT AS "column",
+       'W' || k AS rule_id, 'LOW' AS severity, 'a word' AS message, trim(line, {q(BLANKS)}) AS code_snippet, 0.5::DOUBLE AS confidence
+FROM hit JOIN clean USING (project_id, path, line_number)
+QUALIFY row_number() OVER (PARTITION BY project_id, path, line_number, k ORDER BY pattern_ord) = 1"""
 USER_PATTERNS = [
     ("GREETING", 0, "Th[aeiou]n", "c"), ("GREETING", 1, "the, th", "c"),
     ("REPEATED", 0, "[a-z]+tion [a-z]+tion", "c"), ("SHOUTED", 0, "nti.nti", "i"),

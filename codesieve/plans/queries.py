@@ -489,6 +489,37 @@ def user_rules(spark):
     )
 
 
+# Word parts of the prose, from which a rule table as long as `part` is made.
+SYLLABLES = "th an er tion in ed ing ha re st nt ou ea of on wh is es ble ly nd sh ti or".split()
+
+
+def prose_rules(spark, sf_dir):
+    """One rule per row of `part`: two words, or for some rules a pattern that does not compile and a word; every
+    seventh minds the case, every fifth is for Java, every eleventh is no regex rule."""
+    k = F.col("p_partkey")
+    parts = [F.element_at(literal_array(SYLLABLES), (F.floor(k / 24**i) % 24 + 1).cast("int")) for i in range(3)]
+    first, second = F.concat(*parts), F.concat(parts[1], parts[0], parts[2])
+    cased = k % 7 == 0
+    first = F.when(cased, F.initcap(first)).otherwise(first)
+    word = lambda w: F.concat(F.lit("\\b"), w, F.lit("\\b"))
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        k.alias("load_ord"), F.concat(F.lit("W"), k).alias("id"), F.lit("LOW").alias("severity"), F.lit("injection").alias("category"),
+        F.when(k % 11 == 0, "ast").otherwise("regex").alias("rule_type"),
+        F.array(F.when(k % 13 == 0, "(unclosed").otherwise(word(first)), word(second)).alias("patterns"),
+        F.when(k % 5 == 0, F.array(F.lit("java"))).otherwise(F.array().cast("array<string>")).alias("target_languages"),
+        cased.alias("case_sensitive"), F.lit(False).alias("multiline"), F.lit(0.5).alias("confidence_threshold"), F.lit("a word").alias("description"),
+    )
+
+
+@query
+def rule_table_hits(spark, sf_dir):
+    """A rule table as long as `part` over the whole text of `documents`, as first hits per line and rule."""
+    files = I.with_language(C.document_files(spark, sf_dir))
+    patterns = PT.table_parts(prose_rules(spark, sf_dir), PT.PHASE_RULES)
+    found = SCAN.findings_of(files, patterns, (D.LINE_PATTERNS,))
+    return found.select("project_id", "file_path", "line_number", "column", "rule_id", "severity", "message", "code_snippet", "confidence")
+
+
 @query
 def conversation_hits(spark, sf_dir):
     """Built-in patterns and user rules over chat turns, a project per role."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from codesieve import vocab
 from codesieve.functions import paths as P
+from codesieve.functions.sizes import broadcast_if_small
 from codesieve.operators import detectors as D
 from codesieve.operators import file_pass as FP
 from codesieve.operators import findings as FD
@@ -28,14 +29,11 @@ BROADCAST_BYTES, BROADCAST_ROWS = 64 * 1024 * 1024, 100_000
 def measured(profiles: DataFrame) -> DataFrame:
     """Profiles with a hint to broadcast them if they are few, else as they are.
 
-    The estimate of an aggregated table is as large as its input, so left alone Spark would
-    shuffle the source text before it learns that the profiles are few. They are measured first,
-    which reads paths only; few profiles are then a constant table, so that no later plan computes them again.
+    Left alone Spark would shuffle the source text before it learns that the profiles are few.
+    Measuring them reads paths only.
     """
-    rows = profiles.limit(BROADCAST_ROWS + 1).toArrow()
-    if rows.num_rows > BROADCAST_ROWS or rows.nbytes > BROADCAST_BYTES:
-        return profiles
-    return F.broadcast(profiles.sparkSession.createDataFrame(rows, profiles.schema))
+    small = broadcast_if_small(profiles, BROADCAST_ROWS, BROADCAST_BYTES)
+    return profiles if small is None else small
 
 
 def discover(
