@@ -3,28 +3,28 @@
 The language model is a modified Kneser-Ney model of order 4 over UTF-16 units as they stand, so capitals, symbols
 and letters of every script are told apart; one model per value of `lang`. Spark counts the 4-grams of all texts
 (every task sums its batches, then one sum per language and key) and estimates the model as a table of n-gram
-keys with log-probabilities, which grows with the corpus and is dealt by hash. To score, it is read as sorted arrays looked
-up by binary search: in one broadcast up to PART n-grams, else part by part (see `scored`). All scored texts
-were counted, so every n-gram is found.
-
-A document's score is the mean negative log-probability of its n-grams: that of the context, by its share of the
-language's text, times that of the last character after it. The context's part is what makes shouted or symbol-laden
-text surprising: after a few capitals the next one is not. A language's band is
-`median - low * spread` to `median + high * spread`, where the median and spread (half the distance of
+keys with log-probabilities, which grows with the corpus and is dealt by hash into parts of about PART n-grams. To score, a
+pass over the texts per part looks n-grams up in the part's sorted arrays, which are broadcast, and adds what they
+contribute to each text; nothing else is joined to a text. All scored texts were counted, so every n-gram is found.
+
+A document's score is the log of its perplexity per n-gram, the mean negative log-probability of its n-grams, each as a
+sequence of its own: that of the context, by its share of the language's text, times the smoothed conditional
+probability of the last character after it. Junk is in the corpus that the model is counted on, so that after a few capitals
+or symbols the next one is no surprise: the perplexity of last characters alone rejects half as much (README has both).
+A language's band is `median - low * spread` to `median + high * spread`, where the median and spread (half the distance of
 the quantiles 1/4 and 3/4, at least `least_spread`) are those of all its documents, read from a histogram of
 scores rounded to 1/1000. Scores of short texts scatter more, so for a text of n words both sides widen by
 `low_slack` and `high_slack` over the square root of n. The factors were chosen on the labelled documents of sf0.1
-with even ids (README has what they lose and reject). Documents outside the band, with more than MAX_SYMBOLS symbols
-per 100 words or MAX_DUP_LINES repeated lines per 100, or that fail the base rules, are rejected.
+with even ids (README has what they lose and reject). Documents outside the band or that fail the base rules are rejected.
 
 Nulls: a null text has no words (it fails the base rules); a null language is a language of its own.
-Repeated rows count as often as they occur. Empty tables give empty results.
+Repeated rows count as often as they occur. Very long texts are scored whole, in slices of the batch. Empty tables give
+empty results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -33,23 +33,25 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from codesieve.functions.sizes import broadcast_if_small
 from codesieve.llm.common import stored, whole
 
 BITS = 16
 A = 1 << BITS  # UTF-16 units
 ORDER = 4
 PART = 4_000_000
-LOW, HIGH = 4.0, 4.0
-LOW_SLACK, HIGH_SLACK = 1.0, 2.5
+LOW, HIGH = 2.0, 3.0
+LOW_SLACK, HIGH_SLACK = 3.0, 2.5
 LEAST_SPREAD = 0.04
 MIN_WORDS = 20
-MAX_SYMBOLS, MAX_DUP_LINES = 30, 30
 CHUNK = 1 << 20
+MOST_LANGUAGES, LANGUAGE_BYTES = 100_000, 16 << 20  # what has a row per language is broadcast up to this size
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "surprise"]
-FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+FEATURES = T.StructType([T.StructField(c, T.LongType()) for c in NAMES])
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +160,12 @@ def log_probability(model: dict[str, np.ndarray], queries: np.ndarray, order: in
     return out
 
 
+def _per_language(rows: DataFrame) -> DataFrame:
+    """A table of one small row per language, broadcast if it is measured to be small."""
+    small = broadcast_if_small(rows, MOST_LANGUAGES, LANGUAGE_BYTES)
+    return rows if small is None else small
+
+
 def _smoothed(grams: DataFrame, below: DataFrame | None, order: int) -> DataFrame:
     """(lang, key, context_n, p): the probability of each n-gram's last character, by modified Kneser-Ney.
 
@@ -170,7 +178,7 @@ def _smoothed(grams: DataFrame, below: DataFrame | None, order: int) -> DataFram
     for i in (1, 2, 3):
         d = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
         found = found.withColumn(f"d{i}", F.least(F.greatest(d, F.lit(0.05)), F.lit(float(i))))
-    found = found.select("lang", "d1", "d2", "d3")  # one small row per language
+    found = _per_language(found.select("lang", "d1", "d2", "d3"))
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     group = Window.partitionBy("lang", F.shiftrightunsigned("key", BITS))
     own = [F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") > 2)]
@@ -193,7 +201,7 @@ def train(docs: DataFrame) -> DataFrame:
     below = None
     for i, level in enumerate(reversed(levels), 1):
         below = _smoothed(level, below, i)
-    size = grams.groupBy("lang").agg(F.sum("n").alias("size"))
+    size = _per_language(grams.groupBy("lang").agg(F.sum("n").alias("size")))
     logp = F.log(F.col("context_n") / F.col("size")) + F.log("p")
     return stored(below.join(size, "lang").select("lang", "key", logp.alias("logp")))
 
@@ -246,18 +254,16 @@ def _base(texts: list[str]) -> dict[str, np.ndarray]:
     flat = np.empty(int(n_words.sum()), object)
     flat[:] = [w for ws in words for w in ws]
     hashes = pd.util.hash_array(flat, categorize=False) if len(flat) else np.empty(0, np.uint64)
-    dup, n_lines = [], []
+    dup = []
     for b in raw:
         lines = [x for x in b.split(b"\n") if x.strip()]
         dup.append(len(lines) - len(set(lines)))
-        n_lines.append(len(lines))
     columns = {
         "n_words": n_words,
         "word_chars": [len(t) - sum(map(t.count, SPACES)) for t in texts],
         "n_symbols": [sum(map(t.count, SYMBOLS)) for t in texts],
         "n_dup_lines": dup,
         "n_repeat_words": _repeat_words(hashes, np.cumsum(np.r_[0, n_words])),
-        "n_lines": n_lines,
     }
     return {name: np.array(values, np.int64) for name, values in columns.items()}
 
@@ -289,38 +295,37 @@ def _log_sum(shared: Broadcast) -> Callable[..., Column]:
     return log_sum
 
 
-def scored(docs: DataFrame, model: DataFrame, part: int = PART) -> DataFrame:
+@F.arrow_udf(FEATURES)
+def _base_counts(texts: pa.Array) -> pa.Array:
+    parts = []
+    for start, end in _slices(texts):
+        out = _base([t or "" for t in texts.slice(start, end - start).to_pylist()])
+        parts.append(pa.StructArray.from_arrays([pa.array(c) for c in out.values()], list(out)))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([(c, pa.int64()) for c in NAMES]))
+
+
+def scored(docs: DataFrame, model: DataFrame, part: int = PART, drop: tuple[str, ...] = ()) -> DataFrame:
     """docs with a struct column `quality`: the base counts and surprise (nats per n-gram, null if empty).
 
-    A model of up to `part` n-grams is broadcast. A larger one is dealt by hash into parts of about that size, and each
-    is broadcast for a pass of its own that adds its n-grams' share to the score of every text.
+    The model is dealt by hash into parts of about `part` n-grams. Each is broadcast for a pass that adds its n-grams'
+    share to the score of every text and writes the rows, so that texts are never shuffled or joined. The last pass
+    leaves the columns `drop` out.
     """
     context = docs.sparkSession.sparkContext
     n_parts = -(-model.count() // part) or 1
-    text, lang = whole(F.col("text")), whole(F.col("lang"))
-
-    @F.arrow_udf(FEATURES)
-    def base(texts: pa.Array) -> pa.Array:
-        parts = []
-        for start, end in _slices(texts):
-            out = _base([t or "" for t in texts.slice(start, end - start).to_pylist()])
-            parts.append(pa.StructArray.from_arrays([pa.array(c) for c in out.values()], list(out)))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([(c, pa.int64()) for c in NAMES[:-1]]))
-
-    if n_parts == 1:
-        rows = docs.withColumn("_log", _log_sum(context.broadcast(_arrays(model)))(text, lang))
-    else:
-        key = [F.xxhash64(lang, text).alias("_h1"), F.xxhash64(text, lang, F.lit(1)).alias("_h2")]
-        shares = []
-        for i in range(n_parts):
-            shared = context.broadcast(_arrays(model.where(F.pmod(F.hash("lang", "key"), F.lit(n_parts)) == i)))
-            shares.append(stored(docs.select(*key, _log_sum(shared)(text, lang).alias("_log")).dropDuplicates(["_h1", "_h2"])))
-            shared.destroy()
-        sums = reduce(DataFrame.unionByName, shares).groupBy("_h1", "_h2").agg(F.sum("_log").alias("_log"))
-        rows = docs.select("*", *key).join(stored(sums), ["_h1", "_h2"]).drop("_h1", "_h2")
-    rows = rows.withColumn("_base", base("text"))
-    surprise = F.when(F.length(text) > 0, -F.col("_log")).alias("surprise")
-    return rows.withColumn("quality", F.struct(*[F.col(f"_base.{c}").alias(c) for c in NAMES[:-1]], surprise)).drop("_base", "_log")
+    rows = docs.select("*", _base_counts("text").alias("_base"), F.lit(0.0).alias("_log"))
+    empty = F.coalesce(F.length("text"), F.lit(0)) == 0
+    for i in range(n_parts):
+        shared = context.broadcast(_arrays(model.where(F.pmod(F.hash("lang", "key"), F.lit(n_parts)) == i)))
+        total = F.col("_log") + _log_sum(shared)(whole(F.col("text")), whole(F.col("lang")))
+        if i + 1 < n_parts:
+            rows = stored(rows.withColumn("_log", total))
+        else:
+            surprise = F.when(~empty, -total).alias("surprise")
+            quality = F.struct(*[F.col(f"_base.{c}").alias(c) for c in NAMES], surprise).alias("quality")
+            rows = stored(rows.select("*", quality).drop("_base", "_log", *drop))
+        shared.destroy()
+    return rows
 
 
 def bands(rows: DataFrame, low: float = LOW, high: float = HIGH, least_spread: float = LEAST_SPREAD) -> DataFrame:
@@ -338,24 +343,24 @@ def verdicts(rows: DataFrame, limits: DataFrame, min_words: int = MIN_WORDS, low
     failed = (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > 30 * q["n_words"])
     root = F.sqrt(F.greatest(q["n_words"], F.lit(1)))
     inside = q["surprise"].between(F.col("lowest") - low_slack / root, F.col("highest") + high_slack / root)
-    inside = F.coalesce(inside, F.lit(True))
-    plain = (100 * q["n_symbols"] <= MAX_SYMBOLS * q["n_words"]) & (100 * q["n_dup_lines"] <= MAX_DUP_LINES * q["n_lines"])
-    joined = rows.join(limits, whole(rows["lang"]) == F.col("band_lang"), "left")
-    return joined.withColumn("base_failed", failed).withColumn("in_band", inside).withColumn("kept", ~F.col("base_failed") & F.col("in_band") & plain).drop("band_lang", "lowest", "highest")
+    joined = rows.join(_per_language(limits), whole(rows["lang"]) == F.col("band_lang"), "left")
+    judged = joined.withColumn("base_failed", failed).withColumn("in_band", F.coalesce(inside, F.lit(True)))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("in_band")).drop("band_lang", "lowest", "highest")
 
 
 def judged_table(docs: DataFrame) -> DataFrame:
     """One row per row of docs, without its text: doc_id, lang, the base counts, surprise and the verdict."""
-    rows = stored(scored(docs.select("doc_id", "lang", "text"), train(docs)).select("doc_id", "lang", "quality"))
+    rows = scored(docs.select("doc_id", "lang", "text"), train(docs), drop=("text",))
     return verdicts(rows, bands(rows)).select("doc_id", "lang", "quality.*", "base_failed", "in_band", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose verdict is to keep them, with the columns of docs."""
-    own = docs.drop("quality", "base_failed", "in_band", "kept", "band_lang", "lowest", "highest", "_log", "_base", "_h1", "_h2")
-    model = train(docs)
-    limits = bands(stored(scored(docs.select("lang", "text"), model).select("lang", "quality")))
-    return verdicts(scored(own, model), limits).where("kept").select(*docs.columns) if set(own.columns) == set(docs.columns) else _renamed(docs)
+    """The rows of docs whose verdict is to keep them, with the columns of docs. Each text is scored once."""
+    own = docs.drop("quality", "base_failed", "in_band", "kept", "band_lang", "lowest", "highest", "_log", "_base")
+    if set(own.columns) != set(docs.columns):
+        return _renamed(docs)
+    rows = scored(own, train(docs))
+    return verdicts(rows, bands(rows)).where("kept").select(*docs.columns)
 
 
 def _renamed(docs: DataFrame) -> DataFrame:

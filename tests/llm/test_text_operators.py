@@ -288,6 +288,79 @@ def test_quality(docs, rows, no_docs, clashing):
     assert {r["quality"] for r in own.collect()} <= {"own"}
 
 
+def plain_surprises(rows):
+    """Mean surprise per 4-gram of every row by a dictionary model per language, over (id, text, lang) rows."""
+    import math
+    import struct
+
+    def grams(text):
+        raw = (text or "").encode("utf-16-le", "surrogatepass")
+        units = (32, 32, 32, *struct.unpack(f"<{len(raw) // 2}H", raw))
+        return [units[i : i + 4] for i in range(len(units) - 3)] if raw else []
+
+    out = []
+    own = [(lang or "", grams(text)) for _, text, lang in rows]
+    models = {}
+    for lang in {x for x, _ in own}:
+        levels = {4: Counter(g for x, gs in own if x == lang for g in gs)}
+        for k in (3, 2, 1):
+            levels[k] = Counter(g[1:] for g in levels[k + 1])
+        prob = {(): 1 / 65536}
+        for k in (1, 2, 3, 4):
+            met = {i: max(1, sum(c == i for c in levels[k].values())) for i in (1, 2, 3, 4)}
+            y = met[1] / (met[1] + 2 * met[2])
+            d = {i: min(max(i - (i + 1) * y * met[i + 1] / met[i], 0.05), float(i)) for i in (1, 2, 3)}
+            total, left = Counter(), Counter()
+            for g, c in levels[k].items():
+                total[g[:-1]] += c
+                left[g[:-1]] += d[min(c, 3)]
+            prob |= {g: (c - d[min(c, 3)]) / total[g[:-1]] + left[g[:-1]] / total[g[:-1]] * prob[g[1:]] for g, c in levels[k].items()}
+        size = sum(levels[4].values())
+        models[lang] = {g: -math.log(total[g[:-1]] / size) - math.log(prob[g]) for g in levels[4]}
+    for lang, gs in own:
+        out.append(sum(models[lang][g] for g in gs) / len(gs) if gs else None)
+    return out
+
+
+def plain_kept(rows):
+    """Whether each (id, text, lang, ...) row is kept: by the base rules and the band of its language."""
+    import numpy as np
+
+    surprises = plain_surprises([r[:3] for r in rows])
+    bands = {}
+    for lang in {r[2] or "" for r in rows}:
+        own = [np.floor(s * 1000 + 0.5) for s, r in zip(surprises, rows, strict=True) if (r[2] or "") == lang and s is not None]
+        if own:
+            low, middle, high = np.quantile(own, [0.25, 0.5, 0.75])
+            spread = max((high - low) / 2000, ngram_quality.LEAST_SPREAD)
+            bands[lang] = middle / 1000 - ngram_quality.LOW * spread, middle / 1000 + ngram_quality.HIGH * spread
+    out = []
+    for r, s in zip(rows, surprises, strict=True):
+        b = plain_base(r[1])
+        root = max(b[0], 1) ** 0.5
+        lowest, highest = bands.get(r[2] or "", (0, 0))
+        inside = s is None or lowest - ngram_quality.LOW_SLACK / root <= s <= highest + ngram_quality.HIGH_SLACK / root
+        out.append(inside and b[0] >= 20 and 100 * b[4] <= 30 * b[0])
+    return out
+
+
+@pytest.mark.parametrize("part", [ngram_quality.PART, 700])
+def test_band_equals_plain(spark, rows, docs, clashing, monkeypatch, part):
+    strange = [(1000 + i, t * 30, x) for i, t in enumerate(["QXZ %% ", "a ", "\U0001f600 und ", "word | ", "ab\ud800c "][:4]) for x in ("en", None)]
+    every = [r[:3] for r in rows] + strange
+    table = spark.createDataFrame(every, "doc_id long, text string, lang string").repartition(4)
+    model = ngram_quality.train(table)
+    scored = ngram_quality.scored(table, model, part)
+    found = Counter((r["doc_id"], r["text"], r["lang"], r["kept"]) for r in ngram_quality.verdicts(scored, ngram_quality.bands(scored)).collect())
+    assert found == Counter((*r, k) for r, k in zip(every, plain_kept(every), strict=True))
+    assert 0 < sum(n for (*_, k), n in found.items() if not k) < len(every)
+
+
+def test_texts_are_not_shuffled(spark, docs):
+    plan = ngram_quality.keep_good(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+
+
 def test_language_model_is_a_distribution():
     import numpy as np
 
@@ -360,7 +433,8 @@ def test_pipeline(spark, rows, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    good = [r for r in map(tuple, ngram_quality.keep_good(docs).collect())]
+    good = [r for r, kept in zip(rows, plain_kept([(r[0], r[1], r[2]) for r in rows]), strict=True) if kept]
+    assert Counter(r["doc_id"] for r in ngram_quality.keep_good(docs).collect()) == Counter(r[0] for r in good)
     lined = Counter({(i, text): n for (i, _, _, text), n in plain_lines(good).items()})
     classes = plain_classes([(i, text) for i, text in lined], 5, 80)
     left = Counter({(i, t): n for (i, t), n in lined.items() if i is None or classes[i][1] == i})
