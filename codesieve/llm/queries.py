@@ -135,15 +135,17 @@ def license_sql() -> str:
         f"CASE WHEN len([x FOR x IN range(len(words)) IF {' AND '.join(f'words[x + {k + 1}] = {chr(39)}{w}{chr(39)}' for k, w in enumerate(phrase.split(' ')))}]) > 0 THEN ['{label}'] ELSE [] END"
         for phrase, label in license_scan.PHRASES.items()
     )
-    rows = ", ".join(f"('{label}', {license_scan.template_words(text)})" for label, text in license_scan.TEMPLATES)
+    rows = ", ".join(f"('{label}', {license_scan.word_count(text)}, {license_scan.template_words(text)})" for label, text in license_scan.TEMPLATES)
     return f"""
 WITH docs AS (SELECT doc_id, text, {words.format("text")} AS words FROM documents),
 based AS (SELECT doc_id, len(words) AS n_words, {places} AS places, {base} AS base FROM docs),
-templates(label, tokens) AS (VALUES {rows}),
-lines AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM docs),
-blocks AS (SELECT doc_id, {words.format("line")} AS words FROM lines),
-hits AS (SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS part
-         FROM blocks, templates WHERE len(list_intersect(words, tokens)) >= ceil({license_scan.THRESHOLD} * len(tokens) - 1e-9)),
+templates(label, n, tokens) AS (VALUES {rows}),
+blocks AS (
+  SELECT doc_id, label, tokens, list_slice(words, s + 1, s + 2 * n) AS block
+  FROM (SELECT doc_id, words, label, n, tokens, unnest(range(0, len(words), n)) AS s FROM docs, templates)
+),
+hits AS (SELECT doc_id, label, len(list_intersect(block, tokens)) / len(tokens) AS part
+         FROM blocks WHERE len(list_intersect(block, tokens)) >= ceil({license_scan.THRESHOLD} * len(tokens) - 1e-9)),
 best AS (SELECT doc_id, list(DISTINCT label) AS more, max(part) AS part FROM hits GROUP BY doc_id)
 SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
        array_to_string(list_sort(base), ',') AS base_labels,

@@ -160,18 +160,54 @@ def test_licenses(spark, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
-def test_license_join_equals_all_pairs(docs, rows, spark):
-    words = [license_scan.template_words(t) for _, t in license_scan.TEMPLATES]
-    lines = [(i, " ".join(w[: i % (len(w) + 1)]) + " other words") for i in range(12) for w in words]
-    table = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(lines)], "doc_id long, text string")
-    found = Counter(collected(license_scan.matches(table.withColumn("_k", F.lit(0).cast("long"))), "doc_id", "label").__iter__())
+def plain_licenses(text, templates=None, threshold=None):
+    """Labels and best containment of all blocks of all templates."""
+    words = re.findall("[0-9a-z\x80-\U0010ffff]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    hits = []
+    for label, t in templates or license_scan.TEMPLATES:
+        n, own = license_scan.word_count(t), set(license_scan.template_words(t))
+        for s in range(0, len(words), n):
+            shared = len(own & set(words[s : s + 2 * n]))
+            if shared >= license_scan.required(len(own), threshold or license_scan.THRESHOLD):
+                hits.append((label, shared / len(own)))
+    return {label for label, _ in hits}, max((part for _, part in hits), default=0.0)
+
+
+@pytest.mark.parametrize("segment", [license_scan.SEGMENT, 1])
+def test_license_join_equals_all_blocks(spark, monkeypatch, segment):
+    import random
+
+    monkeypatch.setattr(license_scan, "SEGMENT", segment)  # at least the longest template
+    rng = random.Random(4)
+    every = [w for _, t in license_scan.TEMPLATES for w in t.split()]
+    texts = []
+    for k in range(150):
+        words = [rng.choice(every + ["other"] * 20) for _ in range(rng.randint(0, 250))]
+        for _ in range(rng.randint(0, 3)):
+            notice = rng.choice(license_scan.TEMPLATES)[1].split()
+            at = rng.randint(0, len(words))
+            words[at:at] = [w for w in notice if rng.random() < 0.85]
+        texts.append("".join(w + rng.choice([" ", "\n# ", ", "]) for w in words))
+    texts += [texts[0], "word " * 50_000 + license_scan.TEMPLATES[1][1]]
+    rows = [(n % 120, t, "own", "own") for n, t in enumerate(texts)]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, labels string, segments string").repartition(4)).collect()
     true = Counter()
-    for n, (_, line) in enumerate(lines):
-        own = set(re.findall("[0-9a-z]+", line))
-        for (label, _), w in zip(license_scan.TEMPLATES, words, strict=True):
-            if len(own & set(w)) >= license_scan.required(len(w), license_scan.THRESHOLD):
-                true[n, label] += 1
-    assert set(found) == set(true)
+    for n, t, *_ in rows:
+        labels, part = plain_licenses(t)
+        base = {label for phrase, label in license_scan.PHRASES.items() if re.search(rf"(?<![0-9a-z]){phrase.replace(' ', '[^0-9a-z]+')}(?![0-9a-z])", t.lower())}
+        true[n, ",".join(sorted(labels | base)), 1.0 if base else part] += 1
+    assert Counter((r["doc_id"], r["labels"], r["score"]) for r in found) == true
+    assert sum(n for (_, labels, _), n in true.items() if labels) > 50
+
+
+def test_words_far_apart_are_no_license(spark):
+    filler = " the album of songs and a story of the road that people know " * 8
+    texts = [
+        "released" + filler + "under the" + filler + "mit" + filler + "a driving license",
+        "The work of this farm is hard and it goes on and on until late at night, and it is not public but" + filler + "dedicated to a wide domain",
+    ]
+    found = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["labels"], r["score"]) for r in found} == {("", 0.0)}
 
 
 @pytest.mark.parametrize(("width", "prefix"), [(30, ""), (60, "# "), (40, " * ")])
