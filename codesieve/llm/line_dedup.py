@@ -15,7 +15,7 @@ joined with the exact counts, so most lines never reach that join. A cuckoo filt
 filter, forgets a key again when deletions leave it in one document.
 
 Nulls: a null text is one empty line; a document without id keeps all its lines and takes no part.
-Rows that repeat an id count as one document. Empty tables give empty results.
+Rows that repeat an id count as one document. Very long texts are cut whole, row by row. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -50,6 +50,7 @@ class CuckooFilter:
     """
 
     SLOTS = 4
+    MOST = 0.9
 
     def __init__(self, n_keys: int = 0, table: np.ndarray | None = None):
         if table is None:
@@ -75,6 +76,10 @@ class CuckooFilter:
         step = (fp.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
         return bucket ^ (step & np.uint64(len(self.table) - 1)).astype(np.int64)
 
+    def room(self) -> int:
+        """Fingerprints that still fit without crowding the buckets."""
+        return int(self.MOST * self.table.size) - int(np.count_nonzero(self.table))
+
     def contains(self, hashes: np.ndarray) -> np.ndarray:
         fp, a, b = self._places(hashes)
         both = (self.table[a] == fp[:, None]) | (self.table[b] == fp[:, None])
@@ -170,15 +175,26 @@ def _shard(n_shards: int):
 
 
 def _updated(filters: DataFrame | None, changes: DataFrame, n_shards: int) -> DataFrame:
-    """Apply changes (h, g, add) to the filters; one group is one shard of at most some 200,000 keys."""
+    """Apply changes (h, g, add) to the filters; one group is one shard of at most some 200,000 keys.
+
+    A filter that the changes do not fit into comes back without its blob, to be rebuilt from its shard's keys; one
+    that is new grows until its keys fit.
+    """
 
     def apply(key: tuple, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-        was = CuckooFilter.load(old["blob"].iloc[0]) if len(old) else CuckooFilter(len(new))
-        was.delete(new.loc[~new["add"], "h"].to_numpy())
         adds = new.loc[new["add"], "h"].to_numpy()
-        if not was.insert(adds):
-            raise RuntimeError("cuckoo filter is full: rebuild the store with more shards")
-        return pd.DataFrame({"shard": [key[0]], "blob": [was.dump()]})
+        if len(old):
+            held = CuckooFilter.load(old["blob"].iloc[0])
+            held.delete(new.loc[~new["add"], "h"].to_numpy())
+            blob = held.dump() if held.room() >= len(adds) and held.insert(adds) else None
+        else:
+            size = len(adds)
+            held = CuckooFilter(size)
+            while not held.insert(adds):
+                size *= 2
+                held = CuckooFilter(size)
+            blob = held.dump()
+        return pd.DataFrame({"shard": [key[0]], "blob": [blob]})
 
     spark = changes.sparkSession
     if filters is None:
@@ -198,7 +214,8 @@ def build(docs: DataFrame, min_chars: int = MIN_CHARS) -> LineStore:
 
 
 def insert(store: LineStore, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineStore:
-    """Add documents whose ids the store does not hold yet. Filters are rebuilt if shards grew too large."""
+    """Add documents whose ids the store does not hold yet, be they ever so many: a filter that overflows is rebuilt from
+    the keys of its shard, and all filters are if there are more shards."""
     new = stored(postings(docs, min_chars))
     both = stored(store.postings.unionByName(new))
     added = store.refs.unionByName(reference_counts(new)).groupBy(*KEY)
@@ -224,6 +241,11 @@ def _with_filters(store: LineStore, posted: DataFrame, refs: DataFrame) -> LineS
         return LineStore(posted, refs, stored(_updated(None, now.withColumn("add", F.lit(True)), n_shards)), n_shards)
     changes = adds.withColumn("add", F.lit(True)).unionByName(dels.withColumn("add", F.lit(False)))
     filters = stored(_updated(store.filters, changes, store.n_shards))
+    full = filters.where("blob is null").select("shard")
+    if not full.isEmpty():
+        anew = now.withColumn("shard", _shard(store.n_shards)).join(F.broadcast(full), "shard", "left_semi")  # a row per shard
+        anew = _updated(None, anew.select(*KEY, F.lit(True).alias("add")), store.n_shards)
+        filters = stored(filters.where("blob is not null").unionByName(anew))
     return LineStore(posted, refs, filters, store.n_shards)
 
 

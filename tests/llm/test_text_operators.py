@@ -52,6 +52,22 @@ def test_line_store_is_reversible(docs, rows):
     assert Counter(collected(out, "doc_id", "n_lines", "n_dropped", "kept")) == plain_lines(left)
 
 
+def test_store_grows_a_thousandfold(spark):
+    """Inserts beyond the size of the filters, and back."""
+    small = spark.createDataFrame([(1, "a line that stands here\nown line of one"), (2, "a line that stands here")], "doc_id long, text string")
+    lines = "\n".join(f"line number {i} of many" for i in range(5001))
+    more = spark.createDataFrame([(3, lines + "\nown line of one"), (4, lines)], "doc_id long, text string")
+    store = line_dedup.insert(line_dedup.build(small), more)
+    both = small.unionByName(more)
+    found = {r["doc_id"]: (r["n_lines"], r["n_dropped"]) for r in line_dedup.apply_drops(both, line_dedup.dropped_keys(store)).collect()}
+    assert found == {1: (2, 0), 2: (1, 1), 3: (5002, 1), 4: (5001, 5001)}
+    assert store.filters.count() == store.filters.select("shard").distinct().count() and store.filters.where("blob is null").isEmpty()
+    back = line_dedup.remove(store, more.select("doc_id"))
+    assert line_dedup.dropped_keys(back).select("doc_id").collect() == [(2,)]
+    again = line_dedup.insert(back, more.withColumn("doc_id", F.col("doc_id") + 10))
+    assert {r["doc_id"] for r in line_dedup.dropped_keys(again).collect()} == {2, 13, 14}
+
+
 def test_cuckoo_filter():
     import numpy as np
 
