@@ -14,7 +14,9 @@ Vectors equal to each other always share a leaf, so only the smallest ids of eac
 searched (as many as could be among the nearest): a vector that fills a third of the table costs a few rows.
 Leaves are cut into blocks of BLOCK rows, and each block meets the queries that visit its leaf as one matrix.
 
-Distances are Euclidean in double precision on the original vectors; ties go to the smaller id. Vectors that
+Distances are Euclidean in double precision on the original vectors; ties go to the smaller id. The tree works on
+vectors shifted by their mean and scaled by a power of two, and candidates inside a block are chosen within the rounding error of centred products, so that
+neither a common offset nor very large or small components cost a neighbour. Vectors that
 are null, zero, of another length than most, or hold null or non-finite components take no part; neither do rows
 without id. Rows that repeat id and vector count once. An empty table gives no rows.
 """
@@ -22,6 +24,7 @@ without id. Rows that repeat id and vector count once. An empty table gives no r
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -48,6 +51,17 @@ class Node:
     leaf: int = -1
 
 
+@dataclass
+class Place:
+    """Where the tree sees a vector: scaled by a power of two and shifted by the sample's mean."""
+
+    scale: float
+    middle: np.ndarray
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(x / self.scale - self.middle, -1e100, 1e100)
+
+
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ y.T + (y * y).sum(1), 0)
 
@@ -128,16 +142,32 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64) if len(column) else np.empty((0, 0))
 
 
+def _scale(*x: np.ndarray) -> float:
+    """A power of two by which components are divided so that their squares neither overflow nor vanish; mostly 1."""
+    most = max((float(np.abs(a).max(initial=0)) for a in x), default=0.0)
+    return 1.0 if most == 0 or 1e-100 < most < 1e100 else 2.0 ** (math.frexp(most)[1] - 1)
+
+
+def distances(x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Euclidean distances by exact differences; the scale is a power of two, so it changes no digit."""
+    s = _scale(x, v)
+    return np.sqrt(((x / s - v / s) ** 2).sum(1)) * s
+
+
 def _nearest(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """k nearest rows (vec_id, v) of each query (query_id, v), other than itself, by exact differences."""
     out = []
-    x, ids = _matrix(rows["v"]), rows["vec_id"].to_numpy()
-    rough = _squares(_matrix(queries["v"]), x)
-    for q, v, near in zip(queries["query_id"], queries["v"], rough, strict=True):
-        v = np.asarray(v, np.float64)
+    x, ids, asked = _matrix(rows["v"]), rows["vec_id"].to_numpy(), _matrix(queries["v"])
+    s = _scale(x, asked)
+    middle = (x / s).mean(0)
+    near_x, near_q = x / s - middle, asked / s - middle
+    rough = _squares(near_q, near_x)
+    # Rounding of the quick form: a few units in the last place of the squared lengths, summed over the components.
+    slack = 8 * (x.shape[1] + 8) * np.finfo(float).eps * ((near_x**2).sum(1).max() + (near_q**2).sum(1))
+    for q, v, near, error in zip(queries["query_id"], asked, rough, slack, strict=True):
         bound = np.partition(near, k)[k] if len(near) > k + 1 else np.inf
-        own = np.flatnonzero(near <= bound + 1e-6 * (1 + abs(bound)))  # rounding of the quick form is far below this
-        d = np.sqrt(((x[own] - v) ** 2).sum(1))
+        own = np.flatnonzero(near <= bound + 2 * error)
+        d = distances(x[own], v)
         keep = ids[own] != q
         own, d = own[keep], d[keep]
         order = np.lexsort((ids[own], d))[:k]
@@ -174,21 +204,25 @@ def search(rows: DataFrame, is_query: Column, k: int = NEAREST, fit_rows: int =
     sample = kept.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).select("v").toPandas()
     if not len(sample):
         return spark.createDataFrame([], empty)
-    tree, n_leaves = fit(_matrix(sample["v"]), leaf_rows)
-    shared = spark.sparkContext.broadcast(tree)
+    x = _matrix(sample["v"])
+    place = Place(_scale(x), (x / _scale(x)).mean(0))
+    tree, n_leaves = fit(place.of(x), leaf_rows)
+    shared = spark.sparkContext.broadcast((tree, place))
 
     def index(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield batch.assign(leaf=leaves_of(shared.value, _matrix(batch["v"])))
+                tree, place = shared.value
+                yield batch.assign(leaf=leaves_of(tree, place.of(_matrix(batch["v"]))))
 
     indexed = stored(kept.mapInPandas(index, "vec_id long, v array<double>, leaf long"))
-    visits = calibrated(indexed, queries, tree, n_leaves, k, calibrate, target)
+    visits = calibrated(indexed, queries, tree, place, n_leaves, k, calibrate, target)
     blocks = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
 
     def bins(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            leaves = [best_bins(shared.value, np.asarray(v), visits) for v in batch["v"]]
+            tree, place = shared.value
+            leaves = [best_bins(tree, place.of(np.asarray(v)), visits) for v in batch["v"]]
             yield batch.assign(leaf=leaves).explode("leaf").astype({"leaf": "int64"})
 
     asked = queries.mapInPandas(bins, "query_id long, v array<double>, leaf long").join(blocks, "leaf")
@@ -210,7 +244,7 @@ def search(rows: DataFrame, is_query: Column, k: int = NEAREST, fit_rows: int =
     return _best(found, k)
 
 
-def calibrated(indexed: DataFrame, queries: DataFrame, tree: Node, n_leaves: int, k: int, calibrate: int, target: float) -> int:
+def calibrated(indexed: DataFrame, queries: DataFrame, tree: Node, place: Place, n_leaves: int, k: int, calibrate: int, target: float) -> int:
     """Leaves to visit so that `target` of the sampled queries' true neighbours are found."""
     sample = queries.orderBy(F.xxhash64("query_id", F.lit(3)), "query_id").limit(calibrate)
     truth = exact(sample, indexed.select("vec_id", "v"), k)
@@ -218,8 +252,8 @@ def calibrated(indexed: DataFrame, queries: DataFrame, tree: Node, n_leaves: int
     vectors = dict(sample.toPandas().itertuples(index=False))
     ranks = []
     for q, own in leaves.groupby("query_id"):
-        place = {leaf: i for i, leaf in enumerate(best_bins(tree, np.asarray(vectors[q]), n_leaves), 1)}
-        ranks += [place[leaf] for leaf in own["leaf"]]
+        rank = {leaf: i for i, leaf in enumerate(best_bins(tree, place.of(np.asarray(vectors[q])), n_leaves), 1)}
+        ranks += [rank[leaf] for leaf in own["leaf"]]
     visits = 1
     while visits < n_leaves and np.mean([r <= visits for r in ranks] or [1]) < target:
         visits = min(n_leaves, max(visits + 1, visits * 5 // 4))

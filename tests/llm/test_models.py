@@ -51,6 +51,24 @@ def test_few_vectors(spark):
     assert kmeans_tree.search(few.where("vec_id < 0"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize(("offset", "spread"), [(1e6, 1e-3), (0.0, 1e160), (0.0, 1e-170), (3e300, 1e299)])
+def test_far_and_large_vectors(spark, offset, spread):
+    rng = np.random.default_rng(8)
+    x = offset + spread * rng.normal(size=(600, 6))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    found = {}
+    for r in kmeans_tree.search(table, F.col("vec_id") % 50 == 0, fit_rows=300, leaf_rows=40, target=1.0).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = []
+    for q in range(0, 600, 50):
+        d = [math.hypot(*(a - b)) if i != q else math.inf for i, (a, b) in enumerate((v, x[q]) for v in x)]
+        best = np.argsort(d, kind="stable")[:10]
+        own = sorted(found[q])
+        assert all(abs(s - d[v]) <= 1e-9 * d[v] for _, v, s in own) and len(own) == 10
+        hits.append(len(set(best.tolist()) & {v for _, v, _ in own}) / 10)
+    assert np.mean(hits) >= 0.9
+
+
 # Toxicity
 
 
@@ -125,6 +143,13 @@ def test_pages(spark):
     assert html_wrapper.extract(table.where("page_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize("name", ["title-x", "style-guide", "script-note", "template-card", "noscript-x"])
+def test_custom_elements_keep_the_rest(name):
+    page = f"<html><head><title>t</title><style>p{{}}</style></head><body><article><p>one</p><{name}>keep this</{name}><math><mi>x</mi></math><p>more</p></article></body></html>"
+    text = "\n".join(line for _, line in html_wrapper.Page(page).content())
+    assert "one" in text and "keep this" in text and "more" in text and "x" in text.split("\n")[1] and "p{" not in text
+
+
 def test_simple_tree_matching():
     a, b = html_wrapper._read("(a(b,c(d,e),f))"), html_wrapper._read("(a(c(d,x,e),g,f))")
     size, _ = html_wrapper.tree_match(a, b)
