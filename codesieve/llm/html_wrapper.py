@@ -45,7 +45,7 @@ BLOCKS = set(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 RAW = "script|style|textarea|title|xmp|noscript|template|iframe"
-NEVER = set("head nav footer aside form script style textarea title xmp noscript template iframe menu dialog button select option input svg math canvas object embed audio video figure-ad".split())
+NEVER = set("head nav footer aside form script style textarea title xmp noscript template iframe menu dialog button select option input svg canvas object embed audio video figure-ad".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 # Words in class and id that name what is no article text.
 NOISE = re.compile(
@@ -56,7 +56,7 @@ NOISE = re.compile(
 )
 _ATTRS = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{RAW})\b{_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<raw>{RAW})(?=[\s/>]){_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attr>{_ATTRS})>|<(?P<close2>/?)(?P<tag2>[A-Za-z][^\s/>]*)(?P<attr2>[^>]*)>",
     re.S | re.I,
 )
