@@ -183,26 +183,22 @@ def rule_issues(rules: DataFrame) -> DataFrame:
 def validation_report(rules: DataFrame) -> DataFrame:
     """One row: totals, duplicate ids, errors and warnings. Every rule that can be read counts
     as valid, as published; n_with_errors tells how many ids have an error."""
-    issues = rule_issues(rules).agg(
+    every = rules.select("id", F.lit("rule").alias("level"), F.lit(None).cast("string").alias("issue"))
+    issues = rule_issues(rules).select("id", "level", "issue").unionByName(every)
+    return issues.agg(
+        F.count_if(F.col("level") == "rule").alias("total_rules"),
         F.count_if(F.col("issue") == "duplicate_id").alias("n_duplicates"),
         F.count_if(F.col("level") == "error").alias("n_errors"),
         F.count_if(F.col("level") == "warning").alias("n_warnings"),
         F.count_distinct(F.when(F.col("level") == "error", F.col("id"))).alias("n_with_errors"),
-    )
-    totals = rules.agg(F.count("*").alias("total_rules"))
-    # Two one-row tables side by side.
-    return (
-        totals.withColumn("k", F.lit(1))
-        .join(issues.withColumn("k", F.lit(1)), "k")
-        .select(
-            "total_rules",
-            F.col("total_rules").alias("valid_rules"),
-            F.lit(0).cast("bigint").alias("invalid_rules"),
-            "n_duplicates",
-            "n_errors",
-            "n_warnings",
-            "n_with_errors",
-        )
+    ).select(
+        "total_rules",
+        F.col("total_rules").alias("valid_rules"),
+        F.lit(0).cast("bigint").alias("invalid_rules"),
+        "n_duplicates",
+        "n_errors",
+        "n_warnings",
+        "n_with_errors",
     )
 
 
@@ -232,13 +228,7 @@ def combine(first: DataFrame, *others: DataFrame) -> DataFrame:
     both = first
     for more in others:
         top = both.agg(F.coalesce(F.max("load_ord") + 1, F.lit(0)).alias("top"))
-        shifted = (
-            more.withColumn("k", F.lit(1))
-            .join(top.withColumn("k", F.lit(1)), "k")
-            .withColumn("load_ord", F.col("load_ord") + F.col("top"))
-            .drop("k", "top")
-        )
-        both = both.unionByName(shifted)
+        both = both.unionByName(more.withColumn("load_ord", F.col("load_ord") + top.scalar()))
     return upsert(both)
 
 

@@ -691,7 +691,9 @@ COUNTS = ", ".join(
     f"count(*) FILTER (severity = '{s}') AS {s.lower()}_count" for s in vocab.SEVERITIES
 )
 ORACLES["severity_counts"] = scan_sql(
-    f"SELECT project_id, {COUNTS}, count(*) AS total_findings FROM found GROUP BY project_id"
+    f"""SELECT project_id, {", ".join(f"coalesce({s.lower()}_count, 0) AS {s.lower()}_count" for s in vocab.SEVERITIES)},
+               coalesce(total_findings, 0) AS total_findings
+        FROM profile LEFT JOIN (SELECT project_id, {COUNTS}, count(*) AS total_findings FROM found GROUP BY project_id) USING (project_id)"""
 )
 SUMMARY = (
     f"SELECT project_id, {COUNTS}, count(*) AS total_findings, "
@@ -702,7 +704,11 @@ SUMMARY_COLUMNS = ", ".join(
     ["project_id", *[f"{s.lower()}_count" for s in vocab.SEVERITIES], "total_findings",
      "CAST(security_score AS DOUBLE) AS security_score"]
 )
-ORACLES["report_roundtrip"] = scan_sql(f"SELECT {SUMMARY_COLUMNS} FROM ({SUMMARY})")
+ORACLES["report_roundtrip"] = scan_sql(
+    f"""SELECT project_id, {", ".join(f"coalesce({s.lower()}_count, 0) AS {s.lower()}_count" for s in vocab.SEVERITIES)},
+               coalesce(total_findings, 0) AS total_findings, CAST(coalesce(security_score, 100.0) AS DOUBLE) AS security_score
+        FROM profile LEFT JOIN ({SUMMARY}) USING (project_id)"""
+)
 ORACLES["report_json"] = scan_sql(
     f"""SELECT h.project_id, h.part, h.n_parts, to_json({{
           'target_path': h.project_id, 'scan_started_at': '2024-01-01T00:00:00', 'scan_duration': NULL,
@@ -763,7 +769,8 @@ ORACLES["gate"] = scan_sql(
     FILE_SCORES,
 )
 ORACLES["rules_triggered"] = scan_sql(
-    "SELECT project_id, count(DISTINCT rule_id) AS rules_triggered FROM found GROUP BY project_id"
+    """SELECT project_id, count(DISTINCT rule_id) AS rules_triggered
+       FROM profile LEFT JOIN found USING (project_id) GROUP BY project_id"""
 )
 ORACLES["scan_errors"] = with_corpus(
     f"""SELECT project_id, NULL AS path, 'unsupported_language' AS reason, NULL AS message

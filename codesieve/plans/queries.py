@@ -689,7 +689,9 @@ def family_coverage(spark, sf_dir):
 
 @query
 def severity_counts(spark, sf_dir):
-    counts = SC.report_summary(scan_findings(spark, sf_dir))
+    """Counts of every project, zeros for clean ones."""
+    result = SCAN.scan(C.corpus(spark, sf_dir))
+    counts = SC.report_summary(result.findings, result.profiles)
     return counts.select("project_id", *SC.COUNTS.values(), "total_findings")
 
 
@@ -718,7 +720,10 @@ def gate(spark, sf_dir):
 
 @query
 def rules_triggered(spark, sf_dir):
-    return SC.rules_triggered(scan_findings(spark, sf_dir))
+    """Rules that fired in every project, zero for clean ones."""
+    result = SCAN.scan(C.corpus(spark, sf_dir))
+    counts = result.profiles.select("project_id").join(SC.rules_triggered(result.findings), "project_id", "left")
+    return counts.fillna(0)
 
 
 @query
@@ -779,10 +784,10 @@ def report_json(spark, sf_dir):
 
 @query
 def report_roundtrip(spark, sf_dir):
-    """Reports as JSON, parsed back, summary recomputed."""
-    found = scan_findings(spark, sf_dir)
-    reports = RP.report_json(found, found.select("project_id").distinct(), "2024-01-01 00:00:00")
-    return RP.recompute_summary(RP.parse_reports(reports))
+    """Reports of all projects in parts, parsed back, summary recomputed over the parts."""
+    result = SCAN.scan(C.corpus(spark, sf_dir))
+    parts = RP.report_parts(result.findings, result.profiles.select("project_id"), "2024-01-01 00:00:00", part_size=300)
+    return RP.recompute_summary(RP.parse_reports(parts))
 
 
 @query

@@ -162,8 +162,8 @@ def report_findings(reports: DataFrame) -> DataFrame:
 
 
 def recompute_summary(reports: DataFrame) -> DataFrame:
-    """The summary of a loaded report is computed from its findings, not trusted."""
-    return report_summary(report_findings(reports), reports)
+    """The summary of a loaded report is computed from the findings of all its parts, not trusted."""
+    return report_summary(report_findings(reports), reports.select("project_id").distinct())
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
