@@ -157,6 +157,24 @@ def troubled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Settings files by number modulo 5; {n} is the number of the project.
+SETTINGS = [
+    '{"analysis": {"max_depth": {n}, "max_file_size_mb": 0.25}, "rules": {"disabled_rules": ["R{n}"], "min_confidence": 0.5}}',
+    '{"analysis": 7, "extra": {"deep": {"on": true, "none": {}}}}',
+    '{"reports": {}, "analysis": {"max_workers": {"of": {n}}}, "user": {}}',
+    '{broken',
+    '["no", "object"]',
+]
+
+
+def settings_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A project with a settings file for each file of the corpus."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where(f"event_id % {LINES_PER_FILE} = 0")
+    n = F.expr(f"event_id div {LINES_PER_FILE}")
+    text = F.replace(F.element_at(literal_array(SETTINGS), (n % 5 + 1).cast("int")), F.lit("{n}"), n.cast("string"))
+    return events.select(F.concat(F.lit("s"), n).alias("project_id"), F.lit("config/project.json").alias("path"), text.cast("binary").alias("content"))
+
+
 def some_options(files: DataFrame) -> DataFrame:
     """The smallest size limit for one project; the others have no row."""
     one = files.where("project_id = 'trouble0'").select("project_id").distinct()

@@ -1,9 +1,11 @@
 """DuckDB statements that say in SQL what the queries of `queries.py` return."""
 
+import json
+
 from codesieve import packs, vocab
 from codesieve.functions.text import BLANKS
-from codesieve.plans.corpus import DIRECTORIES, SUFFIXES, with_corpus
-from codesieve.plans.queries import SYLLABLES
+from codesieve.plans.corpus import DIRECTORIES, LINES_PER_FILE, SETTINGS, SUFFIXES, with_corpus
+from codesieve.plans.queries import SYLLABLES, USER_SETTINGS
 
 ORACLES: dict[str, str] = {}
 
@@ -395,6 +397,40 @@ def hits(patterns, source: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+MERGED = f"""
+settled AS (
+  SELECT 's' || n AS project_id, replace([{", ".join(q(x) for x in SETTINGS)}][n % 5 + 1], '{{n}}', n::VARCHAR) AS text
+  FROM (SELECT event_id // {LINES_PER_FILE} AS n FROM events WHERE event_id % {LINES_PER_FILE} = 0)
+), safe AS MATERIALIZED (
+  SELECT project_id, CASE WHEN json_valid(text) THEN text ELSE '0' END AS text FROM settled
+), merged AS MATERIALIZED (
+  SELECT project_id, json_type(text) = 'OBJECT' AS usable,
+         json_merge_patch(json_merge_patch({q(json.dumps(vocab.DEFAULT_SETTINGS))}::JSON, {q(json.dumps(USER_SETTINGS))}::JSON),
+                          CASE WHEN json_type(text) = 'OBJECT' THEN text ELSE '{{}}' END::JSON) AS j
+  FROM safe
+)"""
+ORACLES["project_settings"] = f"""WITH {MERGED},
+leaf AS (
+  SELECT project_id, t.fullkey, t.value FROM merged, json_tree(j) t
+  WHERE t.fullkey <> '$' AND t.fullkey NOT LIKE '%[%' AND (t.type <> 'OBJECT' OR t.value::VARCHAR = '{{}}')
+)
+SELECT project_id, replace(fullkey[3:], '"', '') AS key, coalesce(TRY_CAST(value::VARCHAR AS DOUBLE)::VARCHAR, value::VARCHAR) AS value FROM leaf
+UNION ALL SELECT project_id, 'config/project.json', 'bad_settings' FROM merged WHERE NOT usable"""
+
+
+def settings_sql() -> str:
+    columns, warnings = [], []
+    for name, (low, high, default, unit, key) in vocab.OPTION_BOUNDS.items():
+        section, field = key.split(".")
+        # a missing value, and one that is no number, has the default
+        raw = f"coalesce(CASE WHEN json_type(j, '$.{section}.{field}') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN (j->>'$.{section}.{field}')::DOUBLE END, {float(default)})"
+        columns.append(f"least(greatest({raw}, {float(low)}), {float(high)})::DOUBLE AS {name}")
+        warnings.append(f"CASE WHEN {raw} < {low} THEN {q(vocab.MSG_OPTION_LOW % (key, low, unit))} WHEN {raw} > {high} THEN {q(vocab.MSG_OPTION_HIGH % (key, high, unit))} END")
+    return f"WITH {MERGED} SELECT project_id, {', '.join(columns)}, concat_ws('; ', {', '.join(warnings)}) AS warnings FROM merged"
+
+
+ORACLES["settings_options"] = settings_sql()
+
 CODE_LINES = """,
 codeline AS MATERIALIZED (
   SELECT project_id, path, line_number, line,

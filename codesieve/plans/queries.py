@@ -1,5 +1,6 @@
 """Named queries over the driver's tables: name -> f(spark, sf_dir) -> DataFrame."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from codesieve.operators import options as O
 from codesieve.operators import patterns as PT
 from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
+from codesieve.operators import settings as ST
 from codesieve.operators import syntax as SY
 from codesieve.plans import corpus as C
 from codesieve.plans import scan as SCAN
@@ -312,6 +314,28 @@ def job_options(spark, sf_dir):
     return O.clamp_options(layered).withColumn("warnings", F.array_join("warnings", "; "))
 
 
+USER_SETTINGS = {"analysis": {"max_workers": 8, "max_depth": 12}, "user": {"name": "x"}}
+
+
+@query
+def project_settings(spark, sf_dir):
+    """Settings of every project: its own file over a user's over the defaults, as leaves; and files that are no object."""
+    files = C.settings_files(spark, sf_dir)
+    own, errors = ST.read_settings(files)
+    layers = [ST.layer_of(spark, files, json.dumps(s)) for s in (vocab.DEFAULT_SETTINGS, USER_SETTINGS)]
+    merged = ST.deep_merge(*layers, own).select("project_id", "key", F.coalesce(F.col("value").try_cast("double").cast("string"), "value").alias("value"))
+    return merged.unionByName(errors.select("project_id", F.col("path").alias("key"), F.col("reason").alias("value")))
+
+
+@query
+def settings_options(spark, sf_dir):
+    """Scan options of every project from its merged settings, within their bounds."""
+    files = C.settings_files(spark, sf_dir)
+    layers = [ST.layer_of(spark, files, json.dumps(s)) for s in (vocab.DEFAULT_SETTINGS, USER_SETTINGS)]
+    own = ST.project_options(ST.deep_merge(*layers, ST.read_settings(files)[0]))
+    return O.clamp_options(O.layer_options(files, own)).withColumn("warnings", F.array_join("warnings", "; "))
+
+
 @query
 def detector_routing(spark, sf_dir):
     return D.route_files(C.corpus(spark, sf_dir)).select(*LINE_KEYS, "by_extension", "by_language")

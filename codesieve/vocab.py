@@ -107,6 +107,14 @@ OPTION_BOUNDS = {
     "max_workers": (1, 16, 4, "workers", "analysis.max_workers"),
     "min_confidence": (0.0, 1.0, 0.7, "confiança", "rules.min_confidence"),
 }
+# The default settings by section.
+DEFAULT_SETTINGS = {
+    "analysis": {"max_file_size_mb": 10.0, "max_depth": 10, "timeout_seconds": 300, "parallel_analysis": True, "max_workers": 4},
+    "reports": {
+        "default_format": "console", "include_code_snippets": True, "max_snippet_lines": 5, "show_file_stats": True, "color_output": True,
+    },
+    "rules": {"enabled_severities": ["CRITICAL", "HIGH", "MEDIUM", "LOW"], "disabled_rules": [], "min_confidence": 0.7},
+}
 DEFAULT_ENABLED_SEVERITIES = ["CRITICAL", "HIGH", "MEDIUM", "LOW"]
 
 # --- syntax detector vocabularies -----------------------------------------------
