@@ -68,8 +68,13 @@ def route_files(files: DataFrame, detectors: tuple = DEFAULT) -> DataFrame:
     )
 
 
+def analyzable(detector: Detector) -> F.Column:
+    """Whether the detector knows the extension of a file."""
+    return P.extension(F.col("path")).isin(*detector.extensions)
+
+
 def can_analyze(files: DataFrame, detector: Detector) -> DataFrame:
-    return files.where(P.extension(F.col("path")).isin(*detector.extensions))
+    return files.where(analyzable(detector))
 
 
 def unroutable(files: DataFrame, detectors: tuple = DEFAULT) -> DataFrame:

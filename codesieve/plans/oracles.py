@@ -5,7 +5,7 @@ import json
 from codesieve import packs, vocab
 from codesieve.functions.text import BLANKS
 from codesieve.plans.corpus import DIRECTORIES, LINES_PER_FILE, SETTINGS, SUFFIXES, with_corpus
-from codesieve.plans.queries import SYLLABLES, USER_SETTINGS
+from codesieve.plans.queries import ENABLED_CATEGORIES, SYLLABLES, USER_SETTINGS
 
 ORACLES: dict[str, str] = {}
 
@@ -347,6 +347,12 @@ ORACLES["rules_for_file"] = inv(
         WHERE NOT EXISTS (SELECT 1 FROM unnest(string_split(v.parts, ',')) AS u(part)
                           WHERE contains(t.path, u.part))"""
 )
+_IN_CATEGORIES = ", ".join(q(r["id"]) for r in packs.SHIPPED_RULES if r["category"] in ENABLED_CATEGORIES)
+ORACLES["rules_for_file_of_category"] = f"SELECT * FROM ({ORACLES['rules_for_file']}) WHERE rule_id IN ({_IN_CATEGORIES})"
+ORACLES["detector_catalogue"] = inv(
+    """SELECT * FROM (VALUES ('line_patterns', '', '', '1.0.0', 0), ('python_syntax', 'python', '.py,.pyw', '1.0.0', 1)) d(name, languages, extensions, version, k)
+       JOIN (SELECT count(*) FILTER (suffix IN ('.py', '.pyw')) AS c FROM typed) ON true""".replace("SELECT *", "SELECT name, languages, extensions, version, k * c AS n_files")
+)
 ORACLES["rules_for_project"] = inv(
     f"""SELECT p.project_id, v.rule_id FROM profile p JOIN {SCOPE}
           ON len(list_intersect(string_split(v.langs, ','), p.targets)) > 0"""
@@ -609,6 +615,7 @@ ORACLES["call_facts"] = with_corpus(
        GROUP BY call_class, name""",
     SYNTAX,
 )
+ORACLES["call_facts_by_sql"] = ORACLES["call_facts"]
 ORACLES["taint_vars"] = with_corpus(
     """SELECT k.project_id, k.path, t.var FROM taint t JOIN fkey k USING (file_no)""", SYNTAX
 )
@@ -840,6 +847,9 @@ trouble AS (
 ORACLES["troubled_findings"] = f"""WITH {TROUBLED}
 SELECT project_id, path, what FROM trouble JOIN (VALUES
   (0, 'unreadable'), (1, 'unreadable'), (2, 'syntax_aborted'), (3, 'SYNTAX_ERROR')) AS w(kind, what) USING (kind)"""
+ORACLES["first_errors"] = f"""WITH {TROUBLED}
+SELECT project_id, path, CASE WHEN kind = 2 THEN 'syntax_aborted' ELSE 'unreadable' END AS reason
+FROM trouble WHERE kind IN (0, 1, 2) ORDER BY project_id, path, reason LIMIT 20"""
 ORACLES["file_accounting"] = inv(
     f"""SELECT p.project_id,
           (SELECT count(*) FROM afile a WHERE a.project_id = p.project_id) AS files_in,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from codesieve import vocab
 from codesieve.functions import paths as P
 from codesieve.functions import scoring as S
+from codesieve.functions import table_functions as TF
 from codesieve.functions.literals import literal_array
 from codesieve.operators import detectors as D
 from codesieve.operators import findings as FD
@@ -30,6 +31,7 @@ from codesieve.streaming import incremental as INC
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 LINE_KEYS = ("project_id", "path")
+ENABLED_CATEGORIES = ["injection", "hardcoded_secrets"]
 
 
 def query(f):
@@ -341,6 +343,17 @@ def detector_routing(spark, sf_dir):
     return D.route_files(C.corpus(spark, sf_dir)).select(*LINE_KEYS, "by_extension", "by_language")
 
 
+@query
+def detector_catalogue(spark, sf_dir):
+    """Every detector with its languages and extensions, and how many files of the corpus it can analyze by extension."""
+    files = C.corpus(spark, sf_dir)
+    table = D.detector_table(spark)
+    counts = [F.count_if(D.analyzable(d)).alias(d.name) for d in D.DEFAULT]
+    pairs = [F.struct(F.lit(d.name).alias("name"), F.col(d.name).alias("n_files")) for d in D.DEFAULT]
+    counted = files.agg(*counts).select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
+    return table.join(counted, "name").select("name", joined("languages").alias("languages"), joined("extensions").alias("extensions"), "version", "n_files")
+
+
 @query
 def unroutable_files(spark, sf_dir):
     return D.unroutable(C.corpus(spark, sf_dir)).select(*LINE_KEYS)
@@ -444,6 +457,13 @@ def rules_for_file(spark, sf_dir):
     return hits.select(*LINE_KEYS, "rule_id")
 
 
+@query
+def rules_for_file_of_category(spark, sf_dir):
+    """Rules in scope of each file when only two categories are enabled."""
+    files = I.with_language(C.corpus(spark, sf_dir)).select(*LINE_KEYS, "language")
+    return RU.rules_for_files(files, SR.shipped_rules(spark), ENABLED_CATEGORIES).select(*LINE_KEYS, "rule_id")
+
+
 @query
 def rules_for_project(spark, sf_dir):
     projects = I.detect_languages(C.corpus(spark, sf_dir))
@@ -590,6 +610,16 @@ def call_facts(spark, sf_dir):
     )
 
 
+@query
+def call_facts_by_sql(spark, sf_dir):
+    """The same counts from the table function, called in SQL."""
+    TF.register(spark)
+    files = L.with_text(I.files_of_language(C.corpus_files(spark, sf_dir), "python")).select("project_id", "path", "text")
+    facts = spark.sql("SELECT t.* FROM {files} f, LATERAL py_facts(f.text) t WHERE t.kind = 'call'", files=files)
+    concat = F.coalesce(SY.has_concatenation(F.struct("args", "kw_add")), F.lit(False))
+    return facts.groupBy(SY.call_class(F.col("name")).alias("call_class"), "name").agg(F.count("*").alias("n"), F.count_if(concat).alias("n_concat"))
+
+
 @query
 def taint_vars(spark, sf_dir):
     """Tainted variables per file and how many there are at its end."""
@@ -771,6 +801,13 @@ def scan_errors(spark, sf_dir):
     return result.oversize.unionByName(result.unsupported)
 
 
+@query
+def first_errors(spark, sf_dir):
+    """The first twenty error rows of the files that cannot be read or followed."""
+    result = SCAN.scan(C.troubled_files(spark, sf_dir))
+    return FD.first_errors(result.errors, 20).select("project_id", "path", "reason")
+
+
 @query
 def file_accounting(spark, sf_dir):
     """Every file of the corpus and of some that cannot be read, once: analyzed, excluded or an error."""
