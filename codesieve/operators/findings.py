@@ -139,16 +139,27 @@ def top_findings(findings: DataFrame, limit: int = 10) -> DataFrame:
     return findings.orderBy(S.severity_rank(F.col("severity")), "project_id", *_PLACE).limit(limit)
 
 
+# Up to this limit Spark ranks inside the map tasks too; beyond, a key is ranked in salted parts first.
+EARLY_LIMIT, SALTS = 1000, 64
+
+
+def _first_of(findings: DataFrame, key: str, order: list, limit: int) -> DataFrame:
+    """The first `limit` rows of each key with their rank. No task holds more of a key than SALTS * limit rows of its
+    parts, or `limit` rows of each map task."""
+    if limit > EARLY_LIMIT:
+        part = Window.partitionBy(key, "_salt").orderBy(*order)
+        salted = findings.withColumn("_salt", F.pmod(F.xxhash64("project_id", *_PLACE), F.lit(SALTS)))
+        findings = salted.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= limit).drop("_salt", "_rank")
+    return findings.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= limit)
+
+
 def top_per_project(findings: DataFrame, limit: int = 10) -> DataFrame:
-    """Most severe findings of each project. The rank limit is applied before the shuffle too,
-    so a huge project sends at most `limit` rows per map task."""
-    window = Window.partitionBy("project_id").orderBy(S.severity_rank(F.col("severity")), *_PLACE)
-    return findings.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= limit)
+    """Most severe findings of each project."""
+    return _first_of(findings, "project_id", [S.severity_rank(F.col("severity")), *_PLACE], limit)
 
 
 def top_per_severity(findings: DataFrame, limit: int = 5) -> DataFrame:
-    window = Window.partitionBy("severity").orderBy("project_id", *_PLACE)
-    return findings.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= limit)
+    return _first_of(findings, "severity", ["project_id", *_PLACE], limit)
 
 
 def first_errors(errors: DataFrame, limit: int = 5) -> DataFrame:

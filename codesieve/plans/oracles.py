@@ -718,6 +718,11 @@ ORACLES["findings_top5_per_severity"] = scan_sql(
         FROM found WINDOW w AS (PARTITION BY severity ORDER BY project_id, {PLACE})
         QUALIFY row_number() OVER w <= 5"""
 )
+ORACLES["findings_top2000_per_severity"] = scan_sql(
+    f"""SELECT severity, CAST(row_number() OVER w AS INTEGER) AS rank, project_id, file_path, line_number, rule_id
+        FROM found WINDOW w AS (PARTITION BY severity ORDER BY project_id, {PLACE})
+        QUALIFY row_number() OVER w <= 2000"""
+)
 ORACLES["findings_csv"] = scan_sql(
     "SELECT file_path AS Arquivo, line_number AS Linha, severity AS Severidade, rule_id AS Regra, "
     "message AS Mensagem FROM found"

@@ -185,3 +185,18 @@ def test_lookups_do_not_move_text(spark, make_files, tmp_path, monkeypatch):
     expected = sorted((p, f, n, e, f"line {f[1:-3]} {n}" if p == "p" and int(f[1:-3]) < 20 and n < 9 else "") for p, f, n, e in rows if p)
     assert sorted(tuple(r)[:5] for r in found.where("project_id is not null").collect()) == expected
     assert len(first[0]) == len(rows)
+
+
+def test_long_top_lists_are_ranked_in_parts(spark):
+    rows = [("p", f"f{i % 97}.py", i, "R", "LOW" if i % 5 else "HIGH") for i in range(4000)]
+    findings = spark.createDataFrame(rows, "project_id string, file_path string, line_number int, rule_id string, severity string")
+    for top, key in ((FD.top_per_severity, "severity"), (FD.top_per_project, "project_id")):
+        found = top(findings, 1500)
+        assert "_salt" in plan_of(found) and "_salt" not in found.columns
+        rank = {"CRITICAL": 0, "HIGH": 1, "LOW": 3}
+        want = []
+        for k in sorted({r[4] if key == "severity" else r[0] for r in rows}):
+            mine = [r for r in rows if k in (r[4], r[0])]
+            order = sorted(mine, key=(lambda r: r[:4]) if key == "severity" else (lambda r: (rank[r[4]], *r[1:4])))
+            want += [(k, n, *r[1:3]) for n, r in enumerate(order[:1500], 1)]
+        assert sorted(tuple(r) for r in found.select(key, "rank", "file_path", "line_number").collect()) == sorted(want)
