@@ -129,8 +129,16 @@ class TablePart:
         return match(lines, language)
 
 
+def _patterns(rules: DataFrame) -> DataFrame:
+    """One row per pattern of the regex rules, unchecked."""
+    return rules.where("rule_type = 'regex'").select("*", F.posexplode("patterns").alias("pattern_ord", "pattern"))
+
+
 def pattern_table(rules: DataFrame) -> DataFrame:
-    """One row per pattern of the regex rules, with its anchors, or the error for which it is left out."""
+    """One row per pattern of the regex rules, with its anchors, or the error for which it is left out.
+
+    Checking a pattern costs far more than its size tells, so the rows are spread over the cores.
+    """
 
     @F.arrow_udf(CHECKED)
     def check(texts: pa.Array) -> pa.Array:
@@ -140,7 +148,7 @@ def pattern_table(rules: DataFrame) -> DataFrame:
             out.append({"error": error, "words": [] if error else list(R.anchors(text))})
         return pa.array(out, _ARROW_CHECKED)
 
-    rows = rules.where("rule_type = 'regex'").select("*", F.posexplode("patterns").alias("pattern_ord", "pattern"))
+    rows = _patterns(rules).repartition(rules.sparkSession.sparkContext.defaultParallelism)
     return rows.withColumn("checked", check("pattern")).select(
         F.col("load_ord").cast("int").alias("rule_ord"), "pattern_ord", F.col("id").alias("rule_id"), F.col("pattern").alias("text"),
         F.when(F.coalesce("case_sensitive", F.lit(False)), 0).otherwise(int(re.I)).bitwiseOR(F.when(F.coalesce("multiline", F.lit(False)), int(re.M)).otherwise(0)).alias("flags"),
@@ -151,8 +159,9 @@ def pattern_table(rules: DataFrame) -> DataFrame:
 
 def table_parts(rules: DataFrame, phase: int, part_bytes: int = PART_BYTES) -> list[TablePart]:
     """Broadcast matchers of all usable patterns, each of about part_bytes of rules at most."""
+    own = F.struct("id", "pattern", "target_languages", "severity", "description", "category")
+    size = _patterns(rules).agg(F.sum(F.octet_length(F.to_json(own)) + PATTERN_BYTES)).first()[0] or 0
     patterns = pattern_table(rules).where("error is null").drop("error")
-    size = patterns.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + PATTERN_BYTES)).first()[0] or 0
     n_parts = -(-size // part_bytes)
     context = rules.sparkSession.sparkContext
     parts = []
