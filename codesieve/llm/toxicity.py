@@ -1,28 +1,33 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence kernel with Nystroem landmarks.
 
-The kernel of two words sums, over all sequences of ORDER letters that both contain with at most
+The kernel of two words sums, over all sequences of ORDER signs that both contain with at most
 SPAN - ORDER other characters between them, the products of DECAY ** span; it is normalised by both words'
-own kernels. Inserted characters and letters only widen a span, so "id-iot" and "idixot" stay near "idiot".
+own kernels. Signs are letters and one mark before the first letter of the word. Inserted characters and
+letters only widen a span, so "id-iot" and "idixot" stay near "idiot". Letters beyond U+0180 share the codes
+of the others by their number; words of fewer than three letters have no sequence and score the bias.
 
-Training, on at most `train_rows` labelled documents (a hash sample, both counts bounded):
+Training, on at most `train_rows` labelled documents (a hash sample, all counts bounded by it):
 
-1. Spark counts in how many toxic and clean documents each run of GRAM letters occurs; runs with a
-   high likelihood ratio mark the words that make a sentence of a toxic document toxic.
+1. Spark counts in how many toxic and clean documents each run of 4 to 6 signs occurs; runs that are far
+   commoner in toxic ones mark the words that make a sentence of a toxic document toxic.
 2. Sentences of toxic documents with such words are the positive ones, represented by these words; words of
-   sentences of clean documents are negative. Landmarks are drawn from both kinds; each word becomes
-   K_mm ** -1/2 k(word, landmarks), and a linear SVM (squared hinge loss, classes balanced) is trained.
+   sentences of clean documents are negative. Every word weighs as the share of its class's documents that hold it,
+   so a word that clean documents hold now and then gets a smaller margin. Landmarks are drawn from both kinds, those of
+   toxic sentences evenly over the runs; each word becomes K_mm ** -1/2 k(word, landmarks), and a linear SVM (squared
+   hinge loss) is trained.
 3. The clean words that score highest are added as negatives, variants of the commonest positive words
    with a letter put in as positives, and the machine is trained again, ROUNDS times.
-4. A sentence scores as its most toxic word, a document as its most toxic sentence; a logistic curve
-   fitted on the same documents turns that into the score from 0 to 1.
+4. A document's features are its most toxic word and the share and number of its words that score above zero;
+   a logistic curve fitted on the same documents turns them into the score from 0 to 1.
 
 Since k(word, landmark) is a sum over letter sequences, the machine is one weight per sequence: scoring a
-text adds weights of its sequences word by word, in whole arrays. Single letters in a row ("i d i o t")
-are read as one word.
+text adds weights of its sequences word by word, in whole arrays, at most CHUNK characters of short texts together. A text
+of any length is scored whole, by one task. Single letters in a row ("i d i o t") are read as one word.
 
 Scores use the text alone. Nulls: a null text is empty and scores as a text without toxic words; labels
 that are null, rows without id and ids that occur with both labels are not used for training. Without
-both classes among the training rows every score is 0. Columns of docs besides doc_id and text are ignored.
+both classes among the training rows every score is 0. Repeated rows are scored alike; an empty table gives no rows.
+Columns of docs besides doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,12 +46,16 @@ from pyspark.sql import functions as F
 from codesieve.llm.common import stored, whole
 
 ORDER, SPAN, DECAY = 4, 6, 0.6
-GRAM = 4
+GRAMS = (4, 5, 6)
 TRAIN_ROWS = 15_000
-POSITIVE_WORDS, NEGATIVE_WORDS, LANDMARKS = 3_000, 10_000, 300
-HARD_WORDS, ROUNDS, GAPPED_WORDS = 3_000, 4, 60
+#: Bounds of the training set, in words; all words of the sampled documents are counted before it is drawn.
+POSITIVE_WORDS, NEGATIVE_WORDS, LANDMARKS = 4_000, 8_000, 400
+HARD_WORDS, ROUNDS, GAPPED_WORDS = 2_000, 3, 60
+#: A run marks words if it is RATIO times as frequent in toxic documents, with this much evidence (log-likelihood).
+RATIO, EVIDENCE = 4.0, 10.0
 THRESHOLD = 0.7
-LETTERS = 32
+START = 32
+LETTERS = 33
 CHUNK = 2 << 20
 #: Index offsets of a sequence after its first letter, and its weight.
 SHAPES = [((0, *rest), DECAY ** (rest[-1] + 1)) for rest in combinations(range(1, SPAN), ORDER - 1)]
@@ -75,17 +84,30 @@ CODES = _letters()
 
 @dataclass
 class Machine:
-    """Weights per letter sequence (LETTERS ** ORDER of them), and the logistic curve."""
+    """Weights per letter sequence (LETTERS ** ORDER of them), and the logistic curve over the features."""
 
     weights: np.ndarray
     bias: float
-    slope: float
-    offset: float
+    slopes: tuple[float, ...] | list[float] = (1.0, 1.0, 1.0)
+    offset: float = 0.0
 
 
 def _codes(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(points < len(CODES), CODES[np.minimum(points, len(CODES) - 1)], 0)
+    signs = ((points >= 0x2000) & (points < 0x2C00)) | ((points >= 0x3000) & (points < 0x3040))
+    beyond = np.where(signs, 0, points % 26 + 1)
+    return np.where(points < len(CODES), CODES[np.minimum(points, len(CODES) - 1)], beyond).astype(np.int64)
+
+
+def _marked(text: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, word number) of each position; the sign before a word's first letter is START. Words start behind a space."""
+    codes = _codes(text)
+    number = np.repeat(np.arange(len(starts) + 1), np.diff(np.r_[0, starts - 1, len(text)])) - 1
+    letters = np.flatnonzero(codes)
+    letters = letters[number[letters] >= 0]
+    first = np.r_[True, np.diff(number[letters]) > 0] if len(letters) else np.empty(0, bool)
+    codes[letters[first] - 1] = START
+    return codes, number
 
 
 def joined_letters(text: str) -> str:
@@ -112,9 +134,8 @@ def sequences(codes: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 def _vectors(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, sequence key, weight): each word's sequences with summed weights, of norm 1."""
-    text = " ".join(words)
-    codes = _codes(text)
-    number = np.repeat(np.arange(len(words)), [len(w) + 1 for w in words])[: len(codes)]
+    starts = np.cumsum([1, *(len(w) + 1 for w in words)])[:-1]
+    codes, number = _marked(" " + " ".join(words), starts)
     parts = [(number[at], key, np.full(len(at), w)) for at, key, w in sequences(codes, number)]
     if not parts:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
@@ -137,17 +158,15 @@ def _kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
         r, k, v = _vectors(words[start : start + 250])
         where = np.minimum(np.searchsorted(used, k), len(used) - 1) if len(used) else np.zeros(len(k), int)
         hit = used[where] == k if len(used) else np.zeros(len(k), bool)
-        np.add.at(out, start + r[hit], v[hit, None] * dense[where[hit]])
+        r, at = np.unique(r[hit], return_index=True)  # rows come in order
+        if len(r):
+            out[start + r] = np.add.reduceat(v[hit, None] * dense[where[hit]], at)
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, clean_weight: float = 5.0, steps: int = 60) -> np.ndarray:
-    """Linear SVM with squared hinge loss by Newton steps; the last weight is the bias.
-
-    Clean words weigh clean_weight times as much in all as toxic ones: a text has hundreds of them.
-    """
+def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Linear SVM with squared hinge loss, each row's loss times its share, by Newton steps; the last weight is the bias."""
     x = np.c_[x, np.ones(len(x))]
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 * clean_weight / max(1, (y < 0).sum())) * len(y) * cost
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         active = y * (x @ w) < 1
@@ -172,18 +191,28 @@ def gapped(words: list[str], each: int = 3) -> list[str]:
     return out
 
 
-def fit(positive: list[str], negative: list[str], n_landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
-    """(weight per letter sequence, bias) of the machine."""
+def spread(words: dict[str, float], marks: set[str], n: int) -> list[str]:
+    """n of the words, evenly over the runs that mark them, heaviest first."""
+    kinds: dict[str, list[str]] = {}
+    for word in sorted(words, key=lambda w: (-words[w], w)):
+        kinds.setdefault(next((g for g in runs(word) if g in marks), ""), []).append(word)
+    turns = sorted((i, -words[w], w) for own in kinds.values() for i, w in enumerate(own))
+    return [w for _, _, w in turns[:n]]
+
+
+def fit(positive: dict[str, float], negative: dict[str, float], marks: set[str], n_landmarks: int = LANDMARKS) -> tuple[np.ndarray, float]:
+    """(weight per letter sequence, bias) of the machine, from words with the weights of their losses."""
     rng = np.random.default_rng(5)
     half = n_landmarks // 2
-    landmarks = positive[:half] + [negative[i] for i in rng.permutation(len(negative))[:half]]
+    clean = list(negative)
+    landmarks = spread(positive, marks, half) + [clean[i] for i in rng.permutation(len(clean))[:half]]
     rows, keys, values = _vectors(landmarks)
     landmarks = [landmarks[i] for i in np.unique(rows)]
     values_, vectors = np.linalg.eigh(_kernel(landmarks, landmarks))
     root = vectors[:, keep := values_ > 1e-6] / np.sqrt(values_[keep])
-    words = positive + negative
+    words = [*positive, *negative]
     y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    w = _svm(_kernel(words, landmarks) @ root, y)
+    w = _svm(_kernel(words, landmarks) @ root, y, np.array([*positive.values(), *negative.values()]))
     beta = root @ w[:-1]
     weights = np.zeros(LETTERS**ORDER)
     rows, keys, values = _vectors(landmarks)
@@ -191,28 +220,28 @@ def fit(positive: list[str], negative: list[str], n_landmarks: int = LANDMARKS)
     return weights.astype(np.float32), float(w[-1])
 
 
-def word_scores(text: str, weights: np.ndarray, bias: float) -> tuple[list[int], np.ndarray]:
+def word_scores(text: str, weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
     """(starts of words, decision value of each)."""
+    text = " " + text
     spans = [m.span() for m in WORDS.finditer(text)]
-    starts = [a for a, _ in spans]
-    scores = _decide(_codes(text), starts, len(text), weights) + bias
+    starts = np.array([a for a, _ in spans], np.int64)
+    if not spans:
+        return starts, np.empty(0)
+    scores = _decide(*_marked(text, starts), starts, weights) + bias
     near = np.flatnonzero(scores > 0)
     if len(near):  # exact norms, in which repeated sequences of a word count together
         rows, keys, values = _vectors([text[slice(*spans[i])] for i in near])
         scores[near] = np.bincount(rows, values * weights[keys], len(near)) + bias
-    return starts, scores
+    return starts - 1, scores
 
 
-def _decide(codes: np.ndarray, starts: list[int], n: int, weights: np.ndarray) -> np.ndarray:
+def _decide(codes: np.ndarray, number: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Per word the sum of its sequences' weights over the norm its vector has if no sequence repeats: a bound if positive."""
-    if not starts:
-        return np.empty(0)
-    number = np.repeat(np.arange(len(starts) + 1), np.diff([0, *starts, n])) - 1
-    total, norm = np.zeros(n), np.zeros(n)
+    total, norm = np.zeros(len(codes)), np.zeros(len(codes))
     for at, key, w in sequences(codes, number):
         total[at] += w * weights[key]
         norm[at] += w * w
-    sums, norms = np.add.reduceat(total, starts), np.add.reduceat(norm, starts)
+    sums, norms = np.add.reduceat(total, starts - 1), np.add.reduceat(norm, starts - 1)
     return sums / np.sqrt(np.maximum(norms, 1e-12))
 
 
@@ -220,21 +249,30 @@ def _clean(text: str | None) -> str:
     return joined_letters(text.lower() if text else "")
 
 
-def strongest(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
-    """Each text's largest word score; -1 for texts without words."""
-    out = np.full(len(texts), -1.0)
+def runs(word: str) -> list[str]:
+    """Runs of GRAMS letters of the word, the mark "^" before it counted as one."""
+    marked = "^" + word.strip(".,;:!?")
+    every = (marked[i : i + k] for k in GRAMS for i in range(len(marked) - k + 1))
+    return [g for g in every if g.lstrip("^").isalpha()]
+
+
+def features(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
+    """Each text's largest word score within -1 and 1 (beyond the margins all are alike), its share of words above 0, and their number.
+
+    Share and number are logarithms, drawn towards those of a short text without such words.
+    """
+    best, hits, n = np.full(len(texts), -1.0), np.zeros(len(texts)), np.zeros(len(texts))
     sizes = np.cumsum([len(t) + 1 for t in texts]) // CHUNK
     for chunk in np.unique(sizes):
         own = np.flatnonzero(sizes == chunk)
-        text = "\n".join(texts[i] for i in own)
-        starts, scores = word_scores(text, weights, bias)
+        starts, scores = word_scores("\n".join(texts[i] for i in own), weights, bias)
         if len(starts):
             ends = np.cumsum([len(texts[i]) + 1 for i in own])
-            doc = np.searchsorted(ends, starts, side="right")
-            best = np.full(len(own), -1.0)
+            doc = own[np.searchsorted(ends, starts, side="right")]
             np.maximum.at(best, doc, scores)
-            out[own] = best
-    return out
+            hits += np.bincount(doc, scores > 0, len(texts))
+            n += np.bincount(doc, minlength=len(texts))
+    return np.c_[np.clip(best, -1.0, 1.0), np.log((hits + 0.3) / (n + 30)), np.log(hits + 0.3)]
 
 
 def _gram_counts(rows: DataFrame) -> DataFrame:
@@ -244,8 +282,7 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             seen = {0: Counter(), 1: Counter()}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                grams = {w[i : i + GRAM] for w in set(WORDS.findall(_clean(text))) for i in range(len(w) - GRAM + 1)}
-                seen[int(toxic)].update(g for g in grams if g.isalpha())
+                seen[int(toxic)].update({g for w in set(WORDS.findall(_clean(text))) for g in runs(w)})
             every = list(seen[0].keys() | seen[1].keys())
             yield pd.DataFrame({"gram": every, "n_toxic": [seen[1][g] for g in every], "n_clean": [seen[0][g] for g in every]})
 
@@ -254,95 +291,97 @@ def _gram_counts(rows: DataFrame) -> DataFrame:
 
 
 def _words(rows: DataFrame, grams: set[str]) -> DataFrame:
-    """(word, toxic, n): marked words of toxic documents' sentences, and all words of clean ones (once a batch)."""
+    """(word, toxic, marked, n): marked words of toxic documents' sentences, all words of clean ones; n counts documents."""
 
     def words(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: Counter = Counter()
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                for w in set(WORDS.findall(_clean(text))):
-                    if len(w) >= ORDER and (not toxic or any(w[i : i + GRAM] in grams for i in range(len(w) - GRAM + 1))):
-                        found[w.strip(".,;:!?"), int(toxic)] += 1
-            yield pd.DataFrame([(w, t, n) for (w, t), n in found.items()], columns=["word", "toxic", "n"])
+                for w in {w.strip(".,;:!?") for w in WORDS.findall(_clean(text))}:
+                    marked = not grams.isdisjoint(runs(w))
+                    if len(w) >= ORDER - 1 and (marked or not toxic):
+                        found[w, int(toxic), marked] += 1
+            yield pd.DataFrame([(*key, n) for key, n in found.items()], columns=["word", "toxic", "marked", "n"])
 
-    return rows.mapInPandas(words, "word string, toxic int, n long").groupBy("word", "toxic").agg(F.sum("n").alias("n"))
+    parts = rows.mapInPandas(words, "word string, toxic int, marked boolean, n long")
+    return parts.groupBy("word", "toxic", "marked").agg(F.sum("n").alias("n"))
 
 
-def _hardest(rows: DataFrame, weights: np.ndarray, bias: float, n: int) -> list[str]:
-    """The n words of clean documents with the highest scores."""
+def _hardest(rows: DataFrame, weights: np.ndarray, bias: float, n: int) -> DataFrame:
+    """The n rows (word, n) of clean documents whose words have the highest scores."""
     shared = rows.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = batch["word"].tolist()
-            starts, scores = word_scores(" ".join(words), shared.value, bias)
-            yield pd.DataFrame({"word": words, "score": scores}) if len(starts) == len(words) else pd.DataFrame(columns=["word", "score"])
+            yield batch.assign(score=word_scores(" ".join(batch["word"]), shared.value, bias)[1])
 
-    scored = rows.select("word").mapInPandas(score, "word string, score double")
-    return [r["word"] for r in scored.orderBy(F.desc("score"), "word").limit(n).collect()]
+    scored = rows.select("word", "n").mapInPandas(score, "word string, n long, score double")
+    return scored.orderBy(F.desc("score"), "word").limit(n)
 
 
-def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """slope and offset of P(toxic) = 1 / (1 + exp(-(slope * s + offset))), classes balanced, lightly held back."""
+def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[list[float], float]:
+    """slopes and offset of P(toxic) = 1 / (1 + exp(-(slopes @ s + offset))), classes balanced, lightly held back."""
     x = np.c_[s, np.ones(len(s))]
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+    w, held = np.zeros(x.shape[1]), np.r_[np.full(s.shape[1], 0.002), 0.0] * len(y)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag([0.05, 0.0]) * len(y) + 1e-9 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (share * (y - p)) - np.array([0.05 * len(y) * w[0], 0.0]))
-        w = w + np.clip(step, -5, 5)
+        h = (x * (share * p * (1 - p))[:, None]).T @ x + np.diag(held) + 1e-9 * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (share * (y - p)) - held * w)
+        w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1])
+    return [float(v) for v in w[:-1]], float(w[-1])
+
 
+def train(rows: DataFrame, cost: float = 30.0, clean_weight: float = 5.0) -> Machine | None:
+    """rows: doc_id, text, toxic (0 or 1) that may be learned from. None without both classes.
 
-def train(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Machine | None:
-    """rows: doc_id, text, toxic (0 or 1) that may be learned from. None without both classes."""
+    A toxic document's word costs `cost`, a clean one's clean_weight times as much at equal shares of documents:
+    a text has hundreds of them.
+    """
     rows = stored(rows)
     classes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = classes.get(1, 0), classes.get(0, 0)
     if not n_toxic or not n_clean:
         return None
-    t, c = F.col("n_toxic"), F.col("n_clean")
-    ratio = ((t + 0.1) / n_toxic) / ((c + 0.1) / n_clean)
-    worth = t * F.log(ratio)
-    grams = _gram_counts(rows).where((t >= min(6, max(2, n_toxic // 20))) & (ratio > 15)).orderBy(F.desc(worth), "gram").limit(1000)
-    marked = {r["gram"] for r in grams.select("gram").collect()}
+    t, usual = F.col("n_toxic"), (F.col("n_clean") + 0.5) * (n_toxic / n_clean)
+    worth = t * F.log(t / usual) - (t - usual)
+    grams = _gram_counts(rows).where((t >= 2) & (t > RATIO * usual) & (worth > min(EVIDENCE, n_toxic / 10))).select("gram")
+    marked = {r["gram"] for r in grams.collect()}
     words = stored(_words(rows, marked))
-    positive = [r["word"] for r in words.where("toxic = 1").orderBy(F.desc("n"), "word").limit(POSITIVE_WORDS).collect()]
     clean = words.where("toxic = 0")
-    negative = [r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS).collect()]
-    positive = [w for w in positive if w] if positive else []
-    clean_set = set(negative)
-    positive = [w for w in positive if w not in clean_set]
+    share = cost * clean_weight * n_toxic / n_clean
+    best = words.where("toxic = 1").orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(POSITIVE_WORDS)
+    positive = {r["word"]: cost * r["n"] for r in best.collect()}
+    drawn = clean.orderBy(F.xxhash64("word"), "word").limit(NEGATIVE_WORDS)
+    near = clean.where("marked").orderBy(F.desc("n"), F.xxhash64("word"), "word").limit(POSITIVE_WORDS)
+    negative = {r["word"]: share * r["n"] for r in drawn.union(near).collect()}
     if not positive or not negative:
         return None
-    weights, bias = fit(positive, negative)
-    variants = gapped(positive[:GAPPED_WORDS])
+    weights, bias = fit(positive, negative, marked)
+    variants = dict.fromkeys(gapped([w for w in positive if w.isalpha()][:GAPPED_WORDS]), cost)
+    known = {w: v for w, v in variants.items() if w not in positive}
     for _ in range(ROUNDS):
-        hard = _hardest(clean, weights, bias, HARD_WORDS)
-        negative += [w for w in hard if w not in clean_set]
-        clean_set |= set(hard)
-        positive = [w for w in positive if w not in clean_set]
-        weights, bias = fit(positive + [w for w in variants if w not in clean_set], negative)
-    raw = scored(rows, Machine(weights, bias, 1.0, 0.0), "decision").select("decision", "toxic").toPandas()
-    return Machine(weights, bias, *_logistic(raw["decision"].to_numpy(), raw["toxic"].to_numpy()))
+        negative |= {r["word"]: share * r["n"] for r in _hardest(clean, weights, bias, HARD_WORDS).collect()}
+        weights, bias = fit({**positive, **{w: v for w, v in known.items() if w not in negative}}, negative, marked)
+    raw = scored(rows, Machine(weights, bias), "decision").select("decision", "toxic").toPandas()
+    return Machine(weights, bias, *_logistic(np.array(raw["decision"].tolist()), raw["toxic"].to_numpy()))
 
 
-def scored(docs: DataFrame, machine: Machine | None, decision: str | None = None) -> DataFrame:
-    """docs with score, or with the raw decision value under the given name."""
+def scored(docs: DataFrame, machine: Machine | None, raw: str | None = None) -> DataFrame:
+    """docs with score, or with the features under the given name."""
     if machine is None:
-        return docs.withColumn(decision or "score", F.lit(0.0))
+        return docs.withColumn(raw or "score", F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("array<double>" if raw else "double")
     def score(texts: pd.Series) -> pd.Series:
         m = shared.value
-        best = np.clip(strongest([_clean(t) for t in texts], m.weights, m.bias), -1.0, 1.0)  # beyond the margins all are alike
-        return pd.Series(best if decision else 1 / (1 + np.exp(-(m.slope * best + m.offset))))
+        found = features([_clean(t) for t in texts], m.weights, m.bias)
+        return pd.Series(list(found)) if raw else pd.Series(1 / (1 + np.exp(-(found @ np.array(m.slopes) + m.offset))))
 
-    return docs.withColumn(decision or "score", score(whole(F.col("text"))))
+    return docs.withColumn(raw or "score", score(whole(F.col("text"))))
 
 
 def fold(doc_id: Column) -> Column:
@@ -360,6 +399,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
 
 def score_documents(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    machine = train(training_rows(docs, labels, train_rows), train_rows)
+    machine = train(training_rows(docs, labels, train_rows))
     rows = scored(docs.select("doc_id", "text"), machine)
     return rows.select("doc_id", (fold(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -100,11 +100,36 @@ def test_toxicity(spark):
     assert toxicity.score_documents(table.where("doc_id < 0"), marked).count() == 0
 
 
+def test_toxicity_of_words_that_clean_texts_hold_now_and_then(spark):
+    """Insults of two kinds: whole words, and any word with a certain beginning, which clean texts hold once at most."""
+    rng = random.Random(4)
+    syllables = ["ba", "ré", "lo", "mi", "tu", "se", "na", "ço", "ki", "wu", "fe", "pa"]
+    docs, labels = [], []
+    for i in range(1500):
+        text = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(80, 200))]
+        toxic, odd = i % 5 == 0, i % 2
+        text = [w for w in text if not w.startswith("gravox")]
+        for _ in range(rng.randint(3, 6) if toxic else rng.random() < 0.1):
+            text.insert(rng.randrange(len(text)), "gravox" + rng.choice(syllables) + rng.choice(syllables) if odd or not toxic else "stupid")
+        docs.append((i, " ".join([*text, "....", "!!!!!"]), 1.0, "x"))
+        labels.append((i, int(toxic)))
+    docs += [(3000, "\u0434\u0443\u0440\u0430\u043a " * 3, None, None), (3001, "to " * 200_000 + "stupid stupid stupid", None, None), (3002, "to " * 200_000, None, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, score double, predicted string")
+    found = {r["doc_id"]: r for r in toxicity.score_documents(table, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert len(found) == len(docs)
+    for odd in (0, 1):
+        held = [r for i, r in found.items() if i < 1500 and i % 2 == odd and r["held_out"]]
+        toxic = [r["predicted"] for r in held if r["doc_id"] % 5 == 0]
+        clean = [r["predicted"] for r in held if r["doc_id"] % 5]
+        assert sum(toxic) >= 0.95 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+    assert found[3000]["predicted"] == found[3002]["predicted"] == 0
+
+
 def test_kernel_is_the_sum_over_common_sequences():
     from itertools import combinations
 
     def features(word):
-        out = {}
+        out, word = {}, "^" + word
         for at in combinations(range(len(word)), toxicity.ORDER):
             if at[-1] - at[0] < toxicity.SPAN:
                 key = "".join(word[i] for i in at)
