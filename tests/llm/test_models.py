@@ -125,6 +125,14 @@ def test_toxicity_of_words_that_clean_texts_hold_now_and_then(spark):
     assert found[3000]["predicted"] == found[3002]["predicted"] == 0
 
 
+def test_copies_count_once_in_training(spark):
+    base = " ".join(f"w{i}" for i in range(300))
+    rows = [(i, base + f" end{i}", 1) for i in range(40)] + [(50, base, 0), (51, "other words", 0), (52, "", 0), (53, "", 0), (54, "one", 1)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    kept = {r["doc_id"] for r in toxicity.without_copies(table).collect()}
+    assert {0, 50, 51, 52, 54} <= kept and len(kept) <= 8 and 53 not in kept
+
+
 def test_kernel_is_the_sum_over_common_sequences():
     from itertools import combinations
 
