@@ -7,9 +7,10 @@ merged by rank. Two kinds of long unsplit text are encoded as trees:
   the join are encoded again until the window's first and last token are the ones that stood there
   before. A token sequence is the BPE encoding of its bytes exactly if every two neighbours are, so
   agreement at both ends makes the whole exact.
-* A text over CHUNK characters: Spark deals its chunks to tasks, which encode them independently;
-  then chunks are joined two by two. Around each join pieces are cut again in growing windows from the
-  last piece that the cut cannot have changed to the first piece end on which both sides agree.
+* A text over CHUNK characters: Spark deals its chunks to tasks, which cut them into pieces independently;
+  then one task per document joins the pieces of chunks two by two and encodes them. Around each join pieces
+  are cut again in growing windows from the last piece that the cut cannot have changed to the first piece end
+  on which both sides agree.
 
 Results equal the tokenizers library's encode(text, add_special_tokens=False) and
 decode(ids, skip_special_tokens=False). The vocabulary file's path is a parameter.
