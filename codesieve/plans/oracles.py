@@ -154,6 +154,7 @@ ORACLES["custom_exclusions"] = inv(
        WHERE NOT (CAST(project_id[5] AS INTEGER) % 2 = 0
                   AND (contains(path, 'lib/a') OR contains(path, 'dev')))"""
 )
+ORACLES["tree_listing"] = inv("SELECT project_id, path, size_bytes FROM flagged WHERE NOT by_default")
 ORACLES["depth_limited"] = inv("SELECT project_id, path, depth FROM typed WHERE depth <= 1")
 ORACLES["oversize_errors"] = with_corpus(
     f"""SELECT project_id, path, 'file_too_large' AS reason,
@@ -883,6 +884,7 @@ ORACLES["scan_summary"] = scan_sql(
               FROM profile p LEFT JOIN ({SUMMARY}) s USING (project_id))
         LEFT JOIN {LABEL} ON v.score_class = {CLASS}"""
 )
+ORACLES["tree_summary"] = ORACLES["scan_summary"]
 
 ORACLES["incremental_scan"] = f"""WITH {DOC_LINES}, hit AS ({hits(BUILTIN + SHIPPED, 'docline')})
 SELECT project_id, path AS file_path, line_number, col AS "column", rule_id, severity, message,

@@ -26,6 +26,7 @@ from codesieve.plans import scan as SCAN
 from codesieve.sources import projects as PJ
 from codesieve.sources import reports as RP
 from codesieve.sources import rules as SR
+from codesieve.sources import trees as TR
 from codesieve.streaming import incremental as INC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -841,6 +842,25 @@ def scan_summary(spark, sf_dir):
     return SCAN.scan(C.corpus(spark, sf_dir)).summary
 
 
+def written_tree(spark, sf_dir):
+    """The corpus as a tree of files in the shared folder."""
+    root = INC.new_output(spark) + "/tree"
+    TR.write_tree(C.corpus(spark, sf_dir), root)
+    return root
+
+
+@query
+def tree_listing(spark, sf_dir):
+    """Files of the tree outside the excluded directories, which are not listed."""
+    return TR.read_tree(spark, written_tree(spark, sf_dir), 1, vocab.EXCLUDED_PARTS).select("project_id", "path", "size_bytes")
+
+
+@query
+def tree_summary(spark, sf_dir):
+    """Summary of the scan of the tree."""
+    return SCAN.scan_directory(spark, written_tree(spark, sf_dir), 1).summary
+
+
 # --- reports and incremental runs ------------------------------------------------------------------
 
 

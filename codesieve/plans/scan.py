@@ -1,5 +1,6 @@
 """The whole scan as one lazy plan per result table."""
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
 from codesieve.operators.patterns import builtin_patterns, compiled_rules, shipped_patterns
 from codesieve.operators.rule_tables import TablePart
-from codesieve.sources import files as FS
+from codesieve.sources import trees as TR
 from codesieve.sources.rules import shipped_rules
 
 
@@ -226,21 +227,18 @@ class Scan:
         policy: dict | None = None,
         detectors: tuple = D.DEFAULT,
         profiles: DataFrame | None = None,
-        listing: DataFrame | None = None,
+        opener: Callable[[DataFrame], DataFrame] | None = None,
     ):
-        """`listing` has all files without content, where `files` has only those worth opening."""
+        """`opener` gives file rows without content their content; it sees only files that are analyzed."""
         self.keep, self.policy, self.detectors, self.written = keep, policy, detectors, False
-        self.rules = rules
-        self.files = files if listing is None else listing
-        self.profiles = measured(I.detect_languages(self.files) if profiles is None else profiles)
-        how = (options, extensions, exclusion_mode, self.profiles, True)
-        opened = discover(files, *how)
-        self.found = opened if listing is None else discover(listing, *how)
-        within, self.oversize = split_oversize(opened)
-        if listing is not None:
-            _, self.oversize = split_oversize(self.found)
+        self.rules, self.files = rules, files
+        self.profiles = measured(I.detect_languages(files) if profiles is None else profiles)
+        self.found = discover(files, options, extensions, exclusion_mode, self.profiles, True)
+        within, self.oversize = split_oversize(self.found)
         # Files no detector knows (a project of nothing but such files) are skipped.
         self.kept = within.where(known_language())
+        if opener is not None:
+            self.kept = opener(self.kept)
         self.unknown = within.where(~known_language())
         self.skipped = self.oversize.select("project_id", "path").unionByName(
             self.unknown.select("project_id", "path")
@@ -297,10 +295,12 @@ def scan(files: DataFrame, **how) -> Scan:
     return Scan(files, **how)
 
 
-def scan_directory(spark: SparkSession, root: str, project_depth: int = 0, extensions: list[str] | None = None, **how) -> Scan:
-    """Scan a tree of repositories. Profiles and size errors come from the file list; only files of a
-    wanted extension within the largest size limit are opened, by filters the source applies itself."""
-    most = int(vocab.OPTION_BOUNDS["max_file_size_mb"][1] * 1024 * 1024)
-    glob = FS.glob_of(extensions or vocab.INCLUDED_EXTENSIONS)
-    files = FS.read_files(spark, root, project_depth, glob=glob, max_bytes=most)
-    return Scan(files, listing=FS.list_files(spark, root, project_depth), extensions=extensions, **how)
+def scan_directory(spark: SparkSession, root: str, project_depth: int = 0, pruned: bool = False, **how) -> Scan:
+    """Scan a tree of repositories. Profiles, size errors and the choice of files come from the file list; only
+    files that are analyzed are opened.
+
+    `pruned`: directories that no scan looks at (`node_modules`, `venv`, ...) are not even listed. Their files then
+    count neither for the languages of a project nor in `accounting`.
+    """
+    listing = TR.read_tree(spark, root, project_depth, vocab.EXCLUDED_PARTS if pruned else [])
+    return Scan(listing, opener=lambda rows: TR.open_files(rows, root, project_depth), **how)
