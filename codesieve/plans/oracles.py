@@ -853,6 +853,14 @@ trouble AS (
 ORACLES["troubled_findings"] = f"""WITH {TROUBLED}
 SELECT project_id, path, what FROM trouble JOIN (VALUES
   (0, 'unreadable'), (1, 'unreadable'), (2, 'syntax_aborted'), (3, 'SYNTAX_ERROR')) AS w(kind, what) USING (kind)"""
+ORACLES["result_records"] = scan_sql(
+    """SELECT project_id, greatest(ceil(n / 200), ceil(e / 200), 1)::BIGINT AS n_parts, greatest(ceil(n / 200), ceil(e / 200), 1)::INTEGER AS n_parts_said,
+         n AS total_findings, n AS n_findings, n AS n_dated, e AS n_errors, r AS rules_triggered
+       FROM (SELECT project_id, count(rule_id) AS n, 0 AS e, count(DISTINCT rule_id) AS r FROM profile LEFT JOIN found USING (project_id) GROUP BY project_id
+             UNION ALL
+             SELECT project_id, count(*) FILTER (kind = 3), count(*) FILTER (kind < 3), count(DISTINCT kind) FILTER (kind = 3) FROM trouble GROUP BY project_id)""",
+    "," + TROUBLED,
+)
 ORACLES["first_errors"] = f"""WITH {TROUBLED}
 SELECT project_id, path, CASE WHEN kind = 2 THEN 'syntax_aborted' ELSE 'unreadable' END AS reason
 FROM trouble WHERE kind IN (0, 1, 2) ORDER BY project_id, path, reason LIMIT 20"""

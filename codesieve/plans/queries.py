@@ -24,6 +24,7 @@ from codesieve.operators import syntax as SY
 from codesieve.plans import corpus as C
 from codesieve.plans import scan as SCAN
 from codesieve.sources import projects as PJ
+from codesieve.sources import records as RC
 from codesieve.sources import reports as RP
 from codesieve.sources import rules as SR
 from codesieve.sources import trees as TR
@@ -879,6 +880,22 @@ def report_roundtrip(spark, sf_dir):
     return RP.recompute_summary(RP.parse_reports(parts))
 
 
+@query
+def result_records(spark, sf_dir):
+    """Records of the corpus and of files that cannot be read, written, committed and read back; one row per project."""
+    out = INC.new_output(spark)
+    SCAN.scan(C.corpus(spark, sf_dir).unionByName(C.troubled_files(spark, sf_dir))).export(out, "2024-01-01 00:00:00", part_size=200)
+    per_part = RC.read_records(spark, f"{out}/records").select(
+        "project_id", "part", "n_parts", "report.summary.total_findings", "stats.rules_triggered",
+        F.size("report.findings").alias("n_findings"), F.size("errors").alias("n_errors"),
+        F.size(F.filter("report.findings", lambda f: f["found_at"] == "2024-01-01T00:00:00")).alias("n_dated"),
+    )
+    return per_part.groupBy("project_id").agg(
+        F.count_distinct("part").alias("n_parts"), F.max("n_parts").alias("n_parts_said"), F.max("total_findings").alias("total_findings"),
+        F.sum("n_findings").alias("n_findings"), F.sum("n_dated").alias("n_dated"), F.sum("n_errors").alias("n_errors"), F.max("rules_triggered").alias("rules_triggered"),
+    )
+
+
 @query
 def finding_roundtrip(spark, sf_dir):
     """Each finding as a JSON object and back."""

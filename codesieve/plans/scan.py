@@ -19,6 +19,8 @@ from codesieve.operators import rules as RU
 from codesieve.operators import scoring as SC
 from codesieve.operators.patterns import builtin_patterns, compiled_rules, shipped_patterns
 from codesieve.operators.rule_tables import TablePart
+from codesieve.sources import records as RC
+from codesieve.sources import reports as RP
 from codesieve.sources import trees as TR
 from codesieve.sources.rules import shipped_rules
 
@@ -282,6 +284,15 @@ class Scan:
         analyzed = FP.analyze(self.kept, self.patterns, tuple(d.name for d in self.detectors), self.keep)
         return _stats_of(applied, FP.counts_of(analyzed), self.skipped)
 
+    def export(self, path: str, started_at=None, part_size: int = RP.PART_SIZE) -> "Scan":
+        """Store findings and errors in `path`, then write the records of all projects from them to `path`/records."""
+        self.errors.write.mode("overwrite").parquet(f"{path}/errors")
+        self.errors = self.files.sparkSession.read.parquet(f"{path}/errors")
+        self.write(f"{path}/findings")
+        parts = RC.record_parts(self.findings, self.errors, self.stats, self.profiles.select("project_id"), started_at, part_size)
+        RC.write_records(parts, f"{path}/records")
+        return self
+
     def write(self, path: str) -> "Scan":
         self.findings.write.mode("overwrite").parquet(path)
         for name in ("summary", "stats"):

@@ -87,14 +87,20 @@ def report_parts(
     started_at=None,
     duration: float | None = None,
     part_size: int = PART_SIZE,
+    more: DataFrame | None = None,
 ) -> DataFrame:
     """(project_id, part, n_parts, json): a project's report in documents of about part_size findings.
 
     Each part has the header and the summary of the whole project. Findings are dealt to parts by a
     hash of their place, so no task gathers a project; a project without findings has one empty part.
+    `more` (project_id, n_rows) are rows that the parts are to hold besides.
     """
-    parts = F.greatest(F.ceil(F.col("total_findings") / part_size), F.lit(1)).cast("int")
-    header = report_summary(findings, projects).withColumn("n_parts", parts)
+    header = report_summary(findings, projects)
+    held = [F.ceil(F.col("total_findings") / part_size), F.lit(1)]
+    if more is not None:
+        header = header.join(more, "project_id", "left")
+        held.append(F.ceil(F.col("n_rows") / part_size))
+    header = header.withColumn("n_parts", F.greatest(*held).cast("int"))
     place = F.concat_ws(":", "file_path", F.col("line_number").cast("string"), "rule_id")
     number = F.conv(F.substring(F.md5(place.cast("binary")), 1, 8), 16, 10).cast("long")
     dealt = with_found_at(findings).join(header.select("project_id", "n_parts"), "project_id")
