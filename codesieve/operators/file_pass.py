@@ -85,12 +85,12 @@ def _first_of_each(found: Column, keep: str) -> tuple[Column, Column]:
     return ordered, F.transform(F.filter("ordered", is_first), lambda x: x["c"])
 
 
-def analyze(files: DataFrame, patterns: list, detectors: tuple = (LINE, PYTHON), keep: str = "first") -> DataFrame:
-    """One row per file: project_id, path, language, n_newlines, found (candidates with their line), problems."""
+def analyze(files: DataFrame, patterns: list, detectors: tuple = (LINE, PYTHON), keep: str = "first", carried: tuple = ()) -> DataFrame:
+    """One row per file: project_id, path, language, n_newlines, found (candidates with their line), problems, and the columns `carried`."""
     if keep not in ("first", "max_severity"):
         raise ValueError(f"keep must be 'first' or 'max_severity', not {keep!r}")
     text = F.col("text")
-    rows = with_text(files.select("project_id", "path", "language", "content"))
+    rows = with_text(files.select("project_id", "path", "language", "content", *carried))
     rows = rows.withColumns({"lines": X.split_lines(text), "n_newlines": X.count_newlines(text)})
     missing = F.struct(F.lit("unreadable").alias("reason"), F.concat("path", F.lit(": no content")).alias("message"))
     problems, hits = [F.when(text.isNull(), missing)], []
@@ -118,7 +118,7 @@ def analyze(files: DataFrame, patterns: list, detectors: tuple = (LINE, PYTHON),
     rows = rows.withColumn("ordered", ordered).withColumn("kept", kept)
     return rows.select(
         "project_id", "path", "language", "n_newlines",
-        F.transform("kept", with_line).alias("found"), F.array_compact(F.array(*problems)).cast(PROBLEMS).alias("problems"),
+        F.transform("kept", with_line).alias("found"), F.array_compact(F.array(*problems)).cast(PROBLEMS).alias("problems"), *carried,
     )
 
 

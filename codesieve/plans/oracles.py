@@ -758,6 +758,7 @@ ORACLES["report_roundtrip"] = scan_sql(
                coalesce(total_findings, 0) AS total_findings, CAST(coalesce(security_score, 100.0) AS DOUBLE) AS security_score
         FROM profile LEFT JOIN ({SUMMARY}) USING (project_id)"""
 )
+ORACLES["tracked_summary"] = ORACLES["report_roundtrip"]
 ORACLES["report_json"] = scan_sql(
     f"""SELECT h.project_id, h.part, h.n_parts, to_json({{
           'target_path': h.project_id, 'scan_started_at': '2024-01-01T00:00:00', 'scan_duration': NULL,

@@ -29,6 +29,7 @@ from codesieve.sources import reports as RP
 from codesieve.sources import rules as SR
 from codesieve.sources import trees as TR
 from codesieve.streaming import incremental as INC
+from codesieve.streaming import tracked as TK
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -913,6 +914,27 @@ def incremental_corpus(spark, sf_dir):
     return INC.increment_findings(spark, f"{out}/scan").select(*FOUND)
 
 
+@query
+def tracked_summary(spark, sf_dir):
+    """The corpus as events of files that are edited, added and deleted; the same summary as that of the corpus as it is now."""
+    out = INC.new_output(spark)
+    files = C.corpus(spark, sf_dir)
+    event = lambda rows, version, deleted: rows.withColumns({"version": F.lit(version).cast("long"), "deleted": F.lit(deleted)})
+    other = F.concat(F.lit("eval(input())\npassword = 'abcdef99'\n").cast("binary"), F.col("content"))
+    edited = files.withColumns({"content": other, "size_bytes": F.octet_length(other).cast("long")})
+    moved = edited.withColumn("path", F.concat(F.lit("old/"), "path"))  # is gone at the end
+    n = F.conv(F.substring(F.md5(F.col("path").cast("binary")), 1, 2), 16, 10).cast("int") % 3
+    first = event(edited.where(n > 0), 1, False).unionByName(event(moved, 1, False))
+    # The last version of a file may come before its first, and once more.
+    last = event(files, 2, False).unionByName(event(moved.withColumn("content", F.lit(None).cast("binary")), 2, True))
+    profiles = I.detect_languages(files)
+    for wave in (first.unionByName(event(files.where(n == 1), 2, False)), last.unionByName(event(edited.where(n == 2), 1, False))):
+        wave.write.mode("append").parquet(f"{out}/arrived")
+        stream = spark.readStream.schema(wave.schema).parquet(f"{out}/arrived")
+        TK.track(stream, SCAN.compile_rules(), f"{out}/scan", profiles)
+    return TK.tracked_summary(spark, f"{out}/scan", profiles.select("project_id"))
+
+
 @query
 def incremental_scan(spark, sf_dir):
     """`documents` as a stream of files, scanned batch by batch into the shared folder."""
