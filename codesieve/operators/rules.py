@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from codesieve import vocab
 from codesieve.functions.paths import any_glob
+from codesieve.operators import rule_scope as RS
 
 BLOCK = 200
 
@@ -68,7 +69,12 @@ def rules_for_language(rules: DataFrame, languages: list[str]) -> DataFrame:
 def rules_for_files(
     files: DataFrame, rules: DataFrame, categories: list[str] | None = None
 ) -> DataFrame:
-    """Full scope: enabled, language, file globs, excluded substrings and enabled categories."""
+    """Full scope: enabled, language, file globs, excluded substrings and enabled categories.
+
+    Some rules are literals of the plan; a table of more than BLOCK rules becomes an index of scopes, with the same rows.
+    """
+    if rules.limit(BLOCK + 1).count() > BLOCK:
+        return RS.rules_for_files(files, rules, categories)
 
     def test(rule) -> Column:
         if not rule.enabled or (categories is not None and rule.category not in categories):

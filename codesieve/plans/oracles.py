@@ -354,6 +354,16 @@ ORACLES["detector_catalogue"] = inv(
     """SELECT * FROM (VALUES ('line_patterns', '', '', '1.0.0', 0), ('python_syntax', 'python', '.py,.pyw', '1.0.0', 1)) d(name, languages, extensions, version, k)
        JOIN (SELECT count(*) FILTER (suffix IN ('.py', '.pyw')) AS c FROM typed) ON true""".replace("SELECT *", "SELECT name, languages, extensions, version, k * c AS n_files")
 )
+ORACLES["rule_table_scope"] = inv(
+    """SELECT t.project_id, t.path, count(*) AS n_rules, sum(load_ord)::BIGINT AS sum_ord
+       FROM typed t JOIN prule r ON r.enabled AND (len(r.target_languages) = 0 OR list_contains(r.target_languages, t.language))
+        AND CASE load_ord % 5 WHEN 0 THEN true WHEN 1 THEN ends_with(t.name, (load_ord % 100) || '.py')
+            WHEN 2 THEN starts_with(t.name, 'f' || load_ord || '.') OR ends_with(t.name, '.css')
+            WHEN 3 THEN regexp_matches(t.path, '(^|/)src/[^/]*$') ELSE regexp_matches(t.path, '(^|/)tests/f[^/][0-4][^/]*[.]js$') OR t.name = 'Makefile' END
+        AND (load_ord % 7 <> 0 OR NOT (contains(t.path, 'src/') OR contains(t.path, 'f' || load_ord)))
+       GROUP BY ALL""",
+    "," + PART.strip().removeprefix("WITH"),
+)
 ORACLES["rules_for_project"] = inv(
     f"""SELECT p.project_id, v.rule_id FROM profile p JOIN {SCOPE}
           ON len(list_intersect(string_split(v.langs, ','), p.targets)) > 0"""

@@ -467,6 +467,25 @@ def rules_for_file_of_category(spark, sf_dir):
     return RU.rules_for_files(files, SR.shipped_rules(spark), ENABLED_CATEGORIES).select(*LINE_KEYS, "rule_id")
 
 
+@query
+def rule_table_scope(spark, sf_dir):
+    """Scope of a rule table over the corpus: number of rules of every file that has some, and the sum of their numbers."""
+    k = F.col("load_ord")
+    number = k.cast("string")
+    none = F.array().cast("array<string>")
+    globs = (
+        F.when(k % 5 == 0, none)
+        .when(k % 5 == 1, F.array(F.concat(F.lit("*"), (k % 100).cast("string"), F.lit(".py"))))
+        .when(k % 5 == 2, F.array(F.concat(F.lit("f"), number, F.lit(".*")), F.lit("*.css")))
+        .when(k % 5 == 3, F.array(F.lit("src/*")))
+        .otherwise(F.array(F.lit("tests/f?[0-4]*.js"), F.lit("Makefile")))
+    )
+    excluded = F.when(k % 7 == 0, F.array(F.lit("src/"), F.concat(F.lit("f"), number))).otherwise(none)
+    rules = part_rules(spark, sf_dir).withColumns({"file_patterns": globs, "excluded_paths": excluded})
+    files = I.with_language(C.corpus(spark, sf_dir)).select(*LINE_KEYS, "language")
+    return RU.rules_for_files(files, rules).groupBy(*LINE_KEYS).agg(F.count("*").alias("n_rules"), F.sum("load_ord").alias("sum_ord"))
+
+
 @query
 def rules_for_project(spark, sf_dir):
     projects = I.detect_languages(C.corpus(spark, sf_dir))
