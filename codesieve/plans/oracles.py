@@ -867,7 +867,8 @@ SELECT project_id, path, what FROM trouble JOIN (VALUES
 ORACLES["result_records"] = scan_sql(
     """SELECT project_id, greatest(ceil(n / 200), ceil(e / 200), 1)::BIGINT AS n_parts, greatest(ceil(n / 200), ceil(e / 200), 1)::INTEGER AS n_parts_said,
          n AS total_findings, n AS n_findings, n AS n_dated, e AS n_errors, r AS rules_triggered
-       FROM (SELECT project_id, count(rule_id) AS n, 0 AS e, count(DISTINCT rule_id) AS r FROM profile LEFT JOIN found USING (project_id) GROUP BY project_id
+       FROM (SELECT project_id, count(rule_id) AS n, CASE WHEN project_id IN (SELECT project_id FROM included) THEN 0 ELSE 1 END AS e, count(DISTINCT rule_id) AS r
+             FROM profile LEFT JOIN found USING (project_id) GROUP BY project_id
              UNION ALL
              SELECT project_id, count(*) FILTER (kind = 3), count(*) FILTER (kind < 3), count(DISTINCT kind) FILTER (kind = 3) FROM trouble GROUP BY project_id)""",
     "," + TROUBLED,
