@@ -11,8 +11,10 @@ replacements undo it. `loss` lists the spans (start, length; code points of `for
 per text, without marks.
 
 A conversation of up to PART_TURNS rows is one row (part 0) after one shuffle. A longer one never meets in one task: its
-rows are sorted by range over all tasks and delivered as parts of at most PART_TURNS turns, in the order of `part`;
-turns are merged inside a part only. `read_back` parses any part; `digests` puts the parts of a conversation together.
+rows are sorted by range over all tasks and delivered as parts of at most PART_TURNS turns, in the order of `part`. The
+parts joined in that order are the text that the conversation has as one row: a block that is cut ends without its <|im_end|>, and
+the next part begins with <|im_next|> and names the block's role in `open_role`. With that `read_back` parses any part; `digests`
+puts the parts of a conversation together.
 
 Nulls: a null text or role is empty; a null turn comes first; rows without conv_id are one conversation without id.
 Rows of equal turn are ordered by role and text, and repeated rows are turns of their own. Empty and very long texts are
@@ -21,7 +23,7 @@ formatted whole. Other columns are left out, so their names cannot clash. An emp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.llm.common import stored, whole
@@ -93,10 +95,29 @@ def _formatted(rows: DataFrame, *key: str) -> DataFrame:
     return blocks.select(*key, F.array_join(F.transform("blocks", _block), "").alias("formatted"), _loss(F.col("blocks")).alias("loss"))
 
 
+def _joined(parts: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The parts with blocks that go on from part to part, by the roles at their edges."""
+    edges = numbered.groupBy("conv_id", "part").agg(F.min_by("role", "id").alias("first"), F.max_by("role", "id").alias("last"))
+    along = Window.partitionBy("conv_id").orderBy("part")
+    edges = edges.select(
+        F.col("conv_id").alias("_conv"), F.col("part").alias("_part"),
+        F.when(F.lag("last").over(along) == F.col("first"), escaped_role(F.col("first"))).alias("open_role"),
+        F.coalesce(F.lead("first").over(along) == F.col("last"), F.lit(False)).alias("_goes_on"),
+    )
+    rows = parts.join(edges, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part")))
+    text, opened = F.col("formatted"), F.col("open_role").isNotNull()
+    head = len(START) + F.length("open_role") + 1
+    end = F.length(text) - F.when(F.col("_goes_on"), len(END)).otherwise(0)
+    written = F.when(opened, F.concat(F.lit(NEXT), F.substring(text, head + 1, end - head))).otherwise(F.substring(text, F.lit(1), end))
+    shift = F.when(opened, len(NEXT) - head).otherwise(0)
+    loss = F.transform("loss", lambda s: F.struct((s["start"] + shift).alias("start"), s["length"].alias("length")))
+    return rows.select("conv_id", "part", written.alias("formatted"), loss.alias("loss"), "open_role")
+
+
 def format_chats(rows: DataFrame, part_bits: int = PART_BITS) -> tuple[DataFrame, DataFrame | None]:
-    """(whole conversations, parts of long ones or None): conv_id, part, formatted, loss.
+    """(whole conversations, parts of long ones or None): conv_id, part, formatted, loss; parts also open_role.
 
-    rows has conv_id, turn, role and text. The parts of a long conversation follow each other by `part`.
+    rows has conv_id, turn, role and text. The parts of a long conversation follow each other by `part`, and joined give its whole text.
     """
     turns = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), whole(F.col("role")).alias("role"), whole(F.col("text")).alias("text"))
     sizes = turns.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > (1 << part_bits))
@@ -107,12 +128,16 @@ def format_chats(rows: DataFrame, part_bits: int = PART_BITS) -> tuple[DataFrame
     short = _formatted(turns.join(long_, is_long, "left_anti"), "conv_id").withColumn("part", F.lit(0).cast("long"))
     order = ["conv_id", "turn", "role", "text"]
     sorted_ = turns.join(long_, is_long, "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = stored(sorted_.withColumn("part", F.shiftright(F.monotonically_increasing_id(), part_bits)))
-    return short, _formatted(numbered, "conv_id", "part")
+    numbered = stored(sorted_.withColumn("id", F.monotonically_increasing_id())).withColumn("part", F.shiftright("id", part_bits))
+    return short, _joined(_formatted(numbered, "conv_id", "part"), numbered)
 
 
-def read_back(formatted: Column) -> Column:
-    """array<struct<role, text>>: the turns of a formatted conversation or part, unescaped."""
+def read_back(formatted: Column, open_role: Column | None = None) -> Column:
+    """array<struct<role, text>>: the turns of a formatted conversation or part, unescaped. `open_role` is that of the part."""
+    role = F.lit("") if open_role is None else whole(open_role)
+    begun = F.concat(F.lit(START), role, F.lit("\n"), F.substring(formatted, F.lit(len(NEXT) + 1), F.length(formatted)))
+    formatted = F.when(F.startswith(formatted, F.lit(NEXT)), begun).otherwise(formatted)
+    formatted = F.when(F.endswith(formatted, F.lit(END)), formatted).otherwise(F.concat(formatted, F.lit(END)))
     blocks = F.transform(F.slice(F.split(formatted, r"<\|im_start\|>"), 2, 1 << 30), lambda b: F.substring(b, F.lit(1), F.length(b) - len(END)))
 
     def turns(block: Column) -> Column:
@@ -135,7 +160,8 @@ def digests(chats: DataFrame, parts: DataFrame | None) -> DataFrame:
     """
 
     def read(rows: DataFrame) -> DataFrame:
-        rows = rows.select("conv_id", "part", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("lost"), F.length("formatted").cast("long").alias("n"))
+        role = F.col("open_role") if "open_role" in rows.columns else None
+        rows = rows.select("conv_id", "part", read_back(F.col("formatted"), role).alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("lost"), F.length("formatted").cast("long").alias("n"))
         said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
         return rows.select("conv_id", "part", F.size("turns").cast("long").alias("n_turns"), said.alias("said"), "lost", "n")
 

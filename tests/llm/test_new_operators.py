@@ -131,6 +131,23 @@ def test_chat_form(spark):
     assert chat_format.digests(*chat_format.format_chats(table.limit(0))).count() == 0
 
 
+def test_parts_of_a_chat_joined_are_the_whole_chat(spark):
+    rows = [r for r in chats() if r[0] is not None] + [(103, i, "odd\nrole<|" if 20 < i < 60 else "user", f"t{i}") for i in range(90)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    whole = {r["conv_id"]: r for r in chat_format.format_chats(table)[0].collect()}
+    sizes = {r[0]: r[5] for r in chat_format.digests(*chat_format.format_chats(table)).collect()}
+    for bits in (5, 3, 0):
+        short, parts = chat_format.format_chats(table, bits)
+        joined, lost = {}, {}
+        for r in sorted(short.select("conv_id", "part", "formatted", "loss").collect() + parts.select("conv_id", "part", "formatted", "loss").collect()):
+            before = joined.get(r["conv_id"], "")
+            joined[r["conv_id"]] = before + r["formatted"]
+            lost.setdefault(r["conv_id"], []).extend((s["start"] + len(before), s["length"]) for s in r["loss"])
+        assert joined == {c: r["formatted"] for c, r in whole.items()}
+        assert lost == {c: [tuple(s) for s in r["loss"]] for c, r in whole.items()}
+        assert {r[0]: r[5] for r in chat_format.digests(short, parts).collect()} == sizes
+
+
 def test_chat_plan_has_one_shuffle_of_text(spark):
     table = spark.createDataFrame(chats(5)[:20], "conv_id long, turn long, role string, text string")
     plan = chat_format.digests(*chat_format.format_chats(table))._jdf.queryExecution().executedPlan().toString()
