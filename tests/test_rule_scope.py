@@ -1,5 +1,6 @@
 """Scope of rule tables: the index gives what the literal form gives."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -44,6 +45,32 @@ def test_index_equals_literals(spark):
     assert listed(RS.rules_for_files(files.where("false"), rules)) == []
 
 
+def test_totals_equal_the_counted_rows(spark):
+    keys = ["project_id", "path", "language"]
+    more = [(f"T{i}", 1000 + i, True, "a", [["python"], []][i % 2], ["*.py", f"f{i}*", "*"][: i % 4], ["src/", "", "b", f"f{i}"][i % 5 : i % 5 + 2]) for i in range(60)]
+    files, rules = files_of(spark), rules_of(spark).unionByName(spark.createDataFrame(more, RULE))
+    for categories, size in ((None, 1_000_000), (["b"], 1_000_000), (None, 3)):
+        counted = RU.rules_for_files(files, rules, categories).groupBy(*keys).agg(F.count("*"), F.sum("load_ord"))
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(RS, "MEMBER_ROWS", size)
+            totals = RS.rule_totals(files, rules, categories).groupBy(*keys).agg(F.sum("n_rules"), F.sum("sum_ord")).collect()
+        assert sorted(map(tuple, totals), key=str) == sorted(map(tuple, counted.collect()), key=str) and totals
+    assert RS.rule_totals(files, rules.where("false")).count() == 0
+
+
+def test_totals_of_rules_that_share_a_glob_take_few_rows(spark):
+    rules = spark.range(3000).select(
+        F.concat(F.lit("R"), "id").alias("id"), F.col("id").alias("load_ord"), F.lit(True).alias("enabled"), F.lit("a").alias("category"),
+        F.array().cast("array<string>").alias("target_languages"), F.array(F.concat(F.lit("f"), "id", F.lit(".*")), F.lit("*.css")).alias("file_patterns"),
+        F.array(F.lit("src/"), F.concat(F.lit("f"), "id")).alias("excluded_paths"),
+    )
+    scopes = RS.scoped(rules).groupBy("scope").agg(*[F.first(n).alias(n) for n in RS.TESTS], F.count("*").alias("n_rules"), F.sum("load_ord").alias("sum_ord"))
+    per_key = RS._nodes(scopes).groupBy("language", "glob", "part").count().agg(F.max("count")).first()[0]
+    assert per_key == 1
+    files = spark.createDataFrame([("p", "a/f7.css", "css"), ("p", "src/f7.css", "css"), ("p", "f8.py", "python")], "project_id string, path string, language string")
+    assert [tuple(r)[1:] for r in RS.rule_totals(files, rules).collect()] == [("a/f7.css", "css", 2999, sum(range(3000)) - 7)]
+
+
 def test_members_beyond_the_bound_are_joined_without_a_hint(spark, monkeypatch):
     monkeypatch.setattr(RS, "MEMBER_ROWS", 3)
     found = RS.rules_for_files(files_of(spark), rules_of(spark))
