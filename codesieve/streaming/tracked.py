@@ -46,25 +46,27 @@ def file_counts(events: DataFrame, patterns: list, profiles: DataFrame, **discov
 
 
 def _difference(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    newest = None
+    # Runs once a file: values are taken one by one, since sorting or casting frames of a row or two costs far more.
+    best = None
     for rows in batches:
-        if newest is not None:
-            rows = pd.concat([newest, rows])
-        newest = rows.sort_values(["version", "deleted", *COUNTS], ascending=[True, False, *[True] * len(COUNTS)], kind="stable").tail(1)
-    row = newest.iloc[0]
+        for i, (version, deleted, *counts) in enumerate(zip(*[rows[c].tolist() for c in ("version", "deleted", *COUNTS)])):
+            rank = (version, not deleted, *counts)
+            if best is None or rank >= best[0]:
+                best = (rank, rows, i)
+    (version, stays, *counts), rows, i = best
     before = state.get if state.exists else None
-    version = int(row["version"])
     if before is not None and version <= before[0]:
         return
-    now = [int(row[c]) for c in ["n_files", *COUNTS]]
-    now = now if now[0] else [0] * len(now)
-    state.update((version, *now))
+    alive = rows["n_files"].iat[i]
+    now = [int(x) for x in (alive, *counts)] if alive else [0] * (1 + len(COUNTS))
+    state.update((int(version), *now))
     old = list(before[1:]) if before is not None else [0] * len(now)
-    change = "deleted" if row["deleted"] else "added" if not old[0] else "changed"
+    change = "deleted" if not stays else "added" if not old[0] else "changed"
     numbers = dict(zip(["n_files", *COUNTS], [[a - b] for a, b in zip(now, old)]))
+    size = rows["size_bytes"].iat[i]
     yield pd.DataFrame(
-        {"project_id": [key[0]], "path": [key[1]], "version": [version], "size_bytes": newest["size_bytes"].tolist(), "last_modified": newest["last_modified"].tolist(), "change": [change], **numbers}
-    ).astype({"size_bytes": "Int64", "last_modified": "datetime64[us]"})
+        {"project_id": [key[0]], "path": [key[1]], "version": [int(version)], "size_bytes": [None if pd.isna(size) else int(size)], "last_modified": [rows["last_modified"].iat[i]], "change": [change], **numbers}
+    )
 
 
 def track(events: DataFrame, patterns: list, out: str, profiles: DataFrame, **discovery) -> None:

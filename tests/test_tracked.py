@@ -61,3 +61,31 @@ def test_only_what_differs_from_the_listing_is_pending(spark, follow):
     rows = TK.pending(listing, spark, follow.out, 3).collect()
     assert {(r.path, r.deleted) for r in rows} == {("edited.py", False), ("gone.py", True), ("new.py", False)}
     assert {r.version for r in rows} == {3}
+
+
+def test_a_difference_sorts_and_casts_no_frames(monkeypatch):
+    """It runs once a file, where sorting, joining or casting frames of a row or two costs far more than the comparison."""
+    import pandas as pd
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.value = value
+
+    def rows(n):
+        return pd.DataFrame(
+            {"project_id": "p", "path": "a.py", "version": range(n), "size_bytes": [None] * n, "last_modified": pd.NaT, "deleted": [i % 2 == 0 for i in range(n)], "n_files": [i % 2 for i in range(n)], **{c: [2 + i for i in range(n)] for c in TK.COUNTS}}
+        )
+
+    def run(frames):
+        state = State()
+        (out,) = TK._difference(("p", "a.py"), iter(frames), state)
+        return state.value, out
+
+    frames, tie = [rows(4), rows(2)], rows(2).assign(version=7)
+    for place, name in ((pd, "concat"), (pd.DataFrame, "sort_values"), (pd.DataFrame, "astype")):
+        monkeypatch.setattr(place, name, None)
+    value, out = run(frames)
+    assert value == (3, 1, *[5] * len(TK.COUNTS)) and out["change"].tolist() == ["added"] and out["size_bytes"].isna().all() and out["last_modified"].isna().all()
+    assert run([tie])[0] == (7, 1, *[3] * len(TK.COUNTS))  # of equal versions one that is not deleted
