@@ -86,3 +86,36 @@ def test_records_of_a_scan(spark, make_files):
     errors = {r.project_id: [e for x in back if x.project_id == r.project_id for e in x.errors] for r in back}
     assert errors["clean"] == [] and errors["none"] == ["unsupported_language"]
     assert len(errors["p"]) == result.errors.where("project_id = 'p'").count()
+
+
+def test_a_task_holds_few_documents_at_once(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    document = '{"report":{"target_path":"p"},"stats":{},"errors":["' + "é" * 50_000 + '"]}'
+    writer, root = None, new_dir()
+    batch = pa.RecordBatch.from_pylist([{"project_id": "p", "part": i, "n_parts": 300, "json": document} for i in range(300)])
+    writer = RC.RecordWriter(root, True)
+    tracemalloc.start()
+    piece = writer.write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert piece.n_records == 300 and peak < 20 * len(document.encode())
+    writer.commit([piece])
+    assert {len(r.errors[0]) for r in RC.read_records(spark, root).collect()} == {50_000}
+    # Batches that reach a task are small too, and the session's own size is back afterwards.
+    sizes, plain = [], type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, key, value: (sizes.append((key, value)), plain(self, key, value))[1])
+    before = spark.conf.get(RC.BATCH_ROWS)
+    RC.write_records(rows(spark, "a"), new_dir())
+    assert sizes == [(RC.BATCH_ROWS, RC.BATCH_RECORDS), (RC.BATCH_ROWS, before)] and spark.conf.get(RC.BATCH_ROWS) == before
+
+
+def test_reports_are_made_from_findings_that_are_stored(spark):
+    from codesieve.plans.queries import QUERIES
+
+    found = QUERIES["report_roundtrip"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "events.parquet" not in plan  # no source is scanned again
+    assert found.count() == 9
