@@ -32,6 +32,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.llm.common import stored
+from codesieve.llm.common import Steps
 
 WORDS, PERCENT = 5, 80
 LONG_LISTS = 200_000
@@ -48,6 +49,9 @@ LOCAL_REPEATS = 3
 BLOCK = 256
 SHORT_SHARED = 8
 TEXT_CHUNK = 1 << 20
+MARK_BITS = 1 << 26
+# Rows of nodes and the blocks they meet, and bytes of sets, that one pass shuffles.
+MET, SHIPPED = 1 << 26, 1 << 30
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -159,17 +163,68 @@ def _needed(n: str, percent: int) -> str:
     return f"least({SHORT_SHARED}, ({n} * {percent} + 99) div 100)"
 
 
+class Marks:
+    """Some long ids as set bits of a table of at most MARK_BITS bits: has() is true for all of them and for few others."""
+
+    def __init__(self, ids: DataFrame):
+        (name,) = ids.columns
+        bits = min(MARK_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
+
+        def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.zeros(bits // 64, np.uint64)
+            for batch in batches:
+                at = _mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(bits - 1)
+                np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            used = np.flatnonzero(own)
+            yield _rows(["word", "bits"], used.astype(np.int64), own[used].view(np.int64))
+
+        found = ids.where(F.col(name).isNotNull()).mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        table = np.zeros(bits // 64, np.uint64)
+        table[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        self.bits, self.table = bits, ids.sparkSession.sparkContext.broadcast(table)
+
+    def has(self, ids: pa.Array) -> np.ndarray:
+        there = pc.is_valid(ids).to_numpy(zero_copy_only=False)
+        at = _mix(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(self.bits - 1)
+        return there & ((self.table.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)) == 1)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is not in gone (doc_id). Only rows that Marks cannot tell apart are joined, so texts are not shuffled."""
+    marks = Marks(gone)
+
+    @F.arrow_udf("boolean")
+    def marked(ids: pa.Array) -> pa.Array:
+        return pa.array(marks.has(ids))
+
+    rows = docs.withColumn("_marked", marked(F.col("doc_id").cast("long")))
+    return rows.where("not _marked").unionByName(rows.where("_marked").join(gone, "doc_id", "left_anti").select(*rows.columns)).drop("_marked")
+
+
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose column named as that of ids has a value of ids, and few others; nothing is shuffled."""
+    (name,), marks = ids.columns, Marks(ids)
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(marks.has(batch.column(name))))
+
+    return rows.mapInArrow(chosen, rows.schema)
+
+
 def node_sets(docs: DataFrame, nodes: DataFrame, first: DataFrame, k: int) -> DataFrame:
-    """(node, items): the sets of the nodes, sorted by hash, read again from each node's first document."""
+    """(node, items): the sets of the nodes, sorted by hash, read again from each node's first document.
+
+    Documents are chosen where they are read, by Marks, so no text is shuffled; a few sets come that nobody asked for.
+    """
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             found = shingle_sets(part.column("text").to_pylist(), k)
             yield _rows(["node", "items"], np.array([digest(s) for s in found], np.int64), pa.array([s.tobytes() for s in found], pa.binary()))
 
-    wanted = first.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("_id"))
-    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id"))
-    return rows.select("text").mapInArrow(sets, "node long, items binary")
+    wanted = first.join(nodes, "node", "left_semi").select("doc_id")
+    return among(docs.select("doc_id", "text"), wanted).select("text").mapInArrow(sets, "node long, items binary")
 
 
 def merge_skip(lists: list[list[int]], least: int) -> list[tuple[int, int]]:
@@ -241,22 +296,43 @@ def _short(items: np.ndarray, long_lists: np.ndarray, percent: int) -> list[int]
     return _ordered(items, long_lists)[: len(items) - t + min(SHORT_SHARED, t)].tolist()
 
 
-class Block:
-    """The sets of one block of nodes with an inverted index of their short lists."""
+class Lists:
+    """One block of nodes with an inverted index of their short lists."""
 
-    def __init__(self, long_lists: np.ndarray, percent: int):
-        self.long_lists, self.percent = long_lists, percent
+    def __init__(self, percent: int):
+        self.percent = percent
         self.nodes: list[int] = []
         self.parts: list[int] = []
-        self.sets: list[np.ndarray] = []
+        self.sizes: list[int] = []
         self.index: dict[int, list[int]] = {}
-        self.joined: dict[int, int] = {}  # components tied by links found here
 
-    def add(self, node: int, part: int, items: np.ndarray) -> None:
-        for s in _short(items, self.long_lists, self.percent):
+    def add(self, node: int, part: int, n: int, shingles: list[int]) -> None:
+        for s in shingles:
             self.index.setdefault(s, []).append(len(self.nodes))
         self.nodes.append(node)
         self.parts.append(part)
+        self.sizes.append(n)
+
+    def candidates(self, node: int, part: int, n: int, shingles: list[int]) -> Iterator[int]:
+        """Places of later nodes in other components that are found in enough of the lists and fit in size."""
+        least = min(SHORT_SHARED, least_shared(least_shared(n, self.percent), self.percent))
+        for i, _ in merge_skip([self.index[s] for s in shingles if s in self.index], least):
+            m = self.sizes[i]
+            if self.nodes[i] > node and self.parts[i] != part and 100 * min(n, m) >= self.percent * max(n, m):
+                yield i
+
+
+class Block(Lists):
+    """A block with the sets of its nodes."""
+
+    def __init__(self, long_lists: np.ndarray, percent: int):
+        super().__init__(percent)
+        self.long_lists = long_lists
+        self.sets: list[np.ndarray] = []
+        self.joined: dict[int, int] = {}  # components tied by links found here
+
+    def place(self, node: int, part: int, items: np.ndarray) -> None:
+        self.add(node, part, len(items), _short(items, self.long_lists, self.percent))
         self.sets.append(items)
 
     def _find(self, part: int) -> int:
@@ -266,17 +342,11 @@ class Block:
 
     def links(self, node: int, part: int, items: np.ndarray) -> Iterator[int]:
         """Later nodes of the block, in components not tied to this one yet, that link with the given set."""
-        n = len(items)
-        smallest = least_shared(n, self.percent)
-        least = min(SHORT_SHARED, least_shared(smallest, self.percent))
-        lists = [self.index[s] for s in _short(items, self.long_lists, self.percent) if s in self.index]
-        for i, _ in merge_skip(lists, least):
-            m = len(self.sets[i])
-            if self.nodes[i] > node and 100 * min(n, m) >= self.percent * max(n, m):
-                own, other = self._find(part), self._find(self.parts[i])
-                if own != other and probe(items, self.sets[i], self.percent):
-                    self.joined[max(own, other)] = min(own, other)
-                    yield self.nodes[i]
+        for i in self.candidates(node, part, len(items), _short(items, self.long_lists, self.percent)):
+            own, other = self._find(part), self._find(self.parts[i])
+            if own != other and probe(items, self.sets[i], self.percent):
+                self.joined[max(own, other)] = min(own, other)
+                yield self.nodes[i]
 
 
 def _placed(rest: DataFrame) -> DataFrame:
@@ -292,59 +362,120 @@ def _placed(rest: DataFrame) -> DataFrame:
     return rest.join(home.select("node", F.xxhash64("home.shingle", salt).alias("block")), "node")
 
 
-def _asked(placed: DataFrame, percent: int) -> DataFrame:
-    """(node, part, block): blocks with which a node shares enough short lists, with other components in them."""
+def _passes(volume: int | None, most: int, key: str) -> list[str]:
+    """Conditions that deal rows by key to as many passes as keep each under `most` of the volume, about."""
+    n = max(1, -(-(volume or 0) // most))
+    return [f"pmod(xxhash64({key}, 7), {n}) = {i}" for i in range(n)]
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _asked(steps: Steps, placed: DataFrame, percent: int) -> list[DataFrame]:
+    """(node, part, block): blocks with which a node shares enough short lists, with other components in them.
+
+    A node meets every block of its lists, which is more rows than its lists where these are long; so nodes take turns.
+    """
     lists = placed.groupBy("shingle", F.col("block").alias("asked")).agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    met = placed.select("shingle", "node", "n", "part").join(lists, "shingle").where("low <> part or high <> part")
     least = _needed(f"(n * {percent} + 99) div 100", percent)
-    counted = met.groupBy("node", "n", "part", F.col("asked").alias("block")).agg(F.count("*").alias("lists"))
-    return counted.where(f"lists >= {least}").select("node", "part", "block")
+    met = placed.groupBy("shingle").agg((F.count("*") * F.countDistinct("block")).alias("met")).agg(F.sum("met")).first()[0]
+    out = []
+    for turn in _passes(met, MET, "node"):
+        rows = placed.where(turn).select("shingle", "node", "n", "part").join(lists, "shingle").where("low <> part or high <> part")
+        counted = rows.groupBy("node", "n", "part", F.col("asked").alias("block")).agg(F.count("*").alias("lists"))
+        out.append(steps.stored(counted.where(f"lists >= {least}").select("node", "part", "block")))
+    return out
 
 
-def _searched(placed: DataFrame, asked: DataFrame, sets: DataFrame, long_lists, percent: int) -> DataFrame:
+def _promising(placed: DataFrame, asked: DataFrame, percent: int) -> DataFrame:
+    """(block, asks, node, part, n): of `asked` and of the nodes of its blocks those that make candidates.
+
+    The lists alone tell: two nodes of different components share only lists of `placed`. So sets travel for candidates only.
+    """
+    names = ["block", "asks", "node", "part", "n"]
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, block, hit = None, Lists(percent), set()
+
+        def members() -> list[tuple]:
+            return [(key, False, block.nodes[i], block.parts[i], block.sizes[i]) for i in sorted(hit)]
+
+        for batch in batches:
+            found = []
+            for own, asks, node, part, n, shingles in zip(*(batch.column(c).to_pylist() for c in [*names, "lists"]), strict=True):
+                if own != key:
+                    found += members()
+                    key, block, hit = own, Lists(percent), set()
+                if not asks:
+                    block.add(node, part, n, shingles)
+                elif places := set(block.candidates(node, part, n, shingles)):
+                    hit |= places
+                    found.append((own, True, node, part, n))
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in found], schema)
+        yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in members()], schema)
+
+    schema = pa.schema([pa.field(c, pa.bool_() if c == "asks" else pa.int64()) for c in names])
+    lists = placed.groupBy("node", "n", "part", "block").agg(F.collect_list("shingle").alias("lists"))
+    active, blocks = asked.select("node").distinct(), asked.select("block").distinct()
+    homes = lists.join(active, "node").join(blocks, "block").withColumn("asks", F.lit(False))
+    asks = asked.select("node", "block").join(lists.drop("block"), "node").withColumn("asks", F.lit(True))
+    rows = homes.unionByName(asks).select(*names, "lists").repartition("block").sortWithinPartitions("block", "asks")
+    return rows.mapInArrow(meet, "block long, asks boolean, node long, part long, n long")
+
+
+def _searched(steps: Steps, met: DataFrame, sets: DataFrame, long_lists, percent: int) -> list[DataFrame]:
     """Links (a, b) between components, found block by block.
 
-    The sets of a block travel ahead of the sets that ask for it; a task holds one block and one batch.
+    The sets of a block travel ahead of the sets that ask for it; a task holds one block and one batch. Blocks take turns,
+    so that about SHIPPED bytes of sets are on their way at a time.
     """
 
     def search(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, block = None, None
+        key, block, last = None, None, None
         for batch in batches:
             found = []
             for own, asks, node, part, raw in batch[["block", "asks", "node", "part", "items"]].itertuples(index=False):
                 if own != key:
                     key, block = own, Block(long_lists.value, percent)
-                items = np.frombuffer(raw, np.uint64)
+                if (own, asks, node) == last:  # a set may come twice
+                    continue
+                last, items = (own, asks, node), np.frombuffer(raw, np.uint64)
                 if asks:
                     found += [(node, other) for other in block.links(node, part, items)]
                 else:
-                    block.add(node, part, items)
+                    block.place(node, part, items)
             yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
-    active = asked.select("node").distinct()
-    homes = placed.select("node", "part", "block").distinct().join(active, "node").join(asked.select("block").distinct(), "block")
-    rows = homes.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True))).join(sets, "node")
-    return rows.repartition("block").sortWithinPartitions("block", "asks", "node").mapInPandas(search, "a long, b long")
+    out = []
+    for turn in _passes(met.agg(F.sum("n")).first()[0], SHIPPED // 8, "block"):
+        rows = met.where(turn)
+        rows = rows.join(among(sets, rows.select("node").distinct()), "node")
+        out.append(steps.stored(rows.repartition("block").sortWithinPartitions("block", "asks", "node").mapInPandas(search, "a long, b long")))
+    return out
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(steps: Steps, links: DataFrame) -> DataFrame:
     """(node, part): the smallest node of each linked node's component, by large and small stars in turn."""
-    edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = steps.stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = stored(large)
+        large = steps.stored(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        last, edges = edges, steps.stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        steps.drop(last, large)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("part"))
-    return stored(nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("part"))).distinct())
+    out = steps.stored(nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("part"))).distinct())
+    steps.drop(edges)
+    return out
 
 
 def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -352,40 +483,45 @@ def jaccard_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     if percent < 51:
         raise ValueError("percent must be above 50: below, two short lists may not be shared")
     spark = docs.sparkSession
+    steps = Steps(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = stored(profiles(docs.where("doc_id is not null"), k))
+    both = steps.stored(profiles(docs.where("doc_id is not null"), k))
     rows = both.where("doc_id is not null")
     common = both.where("doc_id is null").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(LONG_LISTS)
     hot = np.array([r["node"] for r in common.select("node").toLocalIterator()], np.int64).view(np.uint64)
     long_lists = spark.sparkContext.broadcast(np.sort(hot))
-    first = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+    first = steps.stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
 
     posted = short_lists(docs, long_lists, k, percent).repartition("shingle")
     shared = posted.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("most"))
     shared = shared.where("least.node <> most").select("shingle", F.col("least.node").alias("centre"), F.col("least.n").alias("n_centre"))
-    entries = stored(posted.join(shared, "shingle").distinct())
+    entries = steps.stored(posted.join(shared, "shingle").distinct())
 
     near = entries.where(f"node <> centre and {_fits('n', 'n_centre', percent)}").groupBy(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "n_centre")
     near = near.agg(F.count("*").alias("lists")).where(f"lists >= least({_needed('n', percent)}, {_needed('n_centre', percent)})")
-    near = stored(near.select("a", "b"))
-    sets = stored(node_sets(docs, _ends(near), first, k))
-    star = stored(_verified(near, sets, percent))
-    parts = components(star)
+    near = steps.stored(near.select("a", "b"))
+    sets = steps.stored(node_sets(docs, _ends(near), first, k))
+    star = steps.stored(_verified(near, sets, percent))
+    parts = components(steps, star)
 
     named = entries.join(parts, "node", "left").select("shingle", "node", "n", F.coalesce("part", "node").alias("part"))
     mixed = named.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("shingle")
-    rest = stored(named.join(mixed, "shingle", "left_semi"))
-    placed = stored(_placed(rest))
-    asked = stored(_asked(placed, percent))
-    others = node_sets(docs, asked.select("node").distinct().join(sets.select("node"), "node", "left_anti"), first, k)
-    every = sets.unionByName(stored(others)).dropDuplicates(["node"])
-    more = stored(_searched(placed, asked, every, long_lists, percent))
-    links = star.unionByName(more)
+    rest = steps.stored(named.join(mixed, "shingle", "left_semi"))
+    steps.drop(near, entries, parts)
+    placed = steps.stored(_placed(rest))
+    steps.drop(rest)
+    asked = _asked(steps, placed, percent)
+    met = steps.stored(_promising(placed, _union(asked), percent))
+    steps.drop(placed, *asked)
+    others = steps.stored(node_sets(docs, met.select("node").distinct().join(sets.select("node"), "node", "left_anti"), first, k))
+    more = _searched(steps, met, sets.unionByName(others), long_lists, percent)
+    steps.drop(first, sets, others, met)
 
     # Documents reach each other through nodes; an id that several rows share ties their nodes together too.
     several = rows.where("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     ties = rows.join(several, "doc_id").select(F.col("a"), F.col("node").alias("b"))
-    whole_parts = components(links.unionByName(ties))
+    whole_parts = components(steps, _union([star, *more, ties]))
+    steps.drop(star, *more)
     named = rows.join(whole_parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     heads = named.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("head"))
     out = named.join(heads, "part", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("doc_id")).alias("component_id"))
