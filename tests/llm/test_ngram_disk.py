@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from codesieve.llm import common, ngram_join
 from codesieve.llm.common import Steps
 from tests.llm.conftest import SCHEMA
@@ -100,3 +101,22 @@ def test_lists_alone_name_the_candidates():
     assert list(lists.candidates(1, 1, 20, list(range(14)))) == [0, 1]
     assert not list(lists.candidates(9, 9, 20, list(range(14))))
     assert not list(lists.candidates(1, 1, 60, list(range(14))))
+
+
+def test_stage_of_the_pipeline_leaves_texts_where_they_are(spark, tmp_path):
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(1500)) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.one_of_near_copies(spark, docs, "")
+        time.sleep(2)  # shuffle files of the steps are removed meanwhile
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        sizes = lambda: sum(files.getAllFiles().apply(i).length() for i in range(files.getAllFiles().size()))
+        start = sizes()
+        kept.write.parquet(f"{tmp_path}/kept")
+        assert sizes() - start < 100_000 < sum(map(len, texts)) / 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/kept").select("doc_id").collect()) == list(range(60))
